@@ -11,8 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import changelog as cl
+from ..operators import counters as co
+from ..operators import decode as dc
 from ..operators import fold as fo
 from ..sources import fixture as fx
+from ..session import scratch_path
 from ..spec import LSN, orders_spec
 
 SPEC = orders_spec()
@@ -71,3 +75,155 @@ def fold_order_independent(spark, sf_dir):
 @query("dedup_to_latest")
 def dedup_to_latest(spark, sf_dir):
     return fo.dedup_latest(fx.with_batch(log(spark, sf_dir)), SPEC, ("batch",), fx.ARRIVAL)
+
+
+# -- counters and net changes ------------------------------------------------------------------
+
+def flags(spark, sf_dir):
+    return co.applied_flags(fx.with_batch(log(spark, sf_dir)), SPEC, fx.ARRIVAL)
+
+
+@query("applied_events")
+def applied_events(spark, sf_dir):
+    return flags(spark, sf_dir).select("slot", "pos", "dup", "batch", SPEC.key, LSN, "op", "applied")
+
+
+@query("merge_stats")
+def merge_stats(spark, sf_dir):
+    return co.merge_stats(flags(spark, sf_dir))
+
+
+@query("batch_stats")
+def batch_stats(spark, sf_dir):
+    return co.batch_stats(flags(spark, sf_dir))
+
+
+@query("pipeline_stats")
+def pipeline_stats(spark, sf_dir):
+    state = fo.fold_state(log(spark, sf_dir), SPEC, fo.MODE_LSN, fx.ARRIVAL)
+    return co.run_stats(flags(spark, sf_dir), state)
+
+
+@query("batch_net_changes")
+def batch_net_changes(spark, sf_dir):
+    return co.batch_net_changes(fx.with_batch(log(spark, sf_dir)), SPEC, fx.ARRIVAL)
+
+
+@query("batch_changed_keys")
+def batch_changed_keys(spark, sf_dir):
+    return batch_net_changes(spark, sf_dir).select("batch", SPEC.key)
+
+
+@query("batch_against_state")
+def batch_against_state(spark, sf_dir):
+    probed = co.against_prior_batches(fx.with_batch(log(spark, sf_dir)), SPEC)
+    return probed.select("slot", "pos", "dup", "batch", SPEC.key, LSN,
+                         "stored_lsn", "stored_deleted", "verdict")
+
+
+# -- change-log images, envelopes and decode ---------------------------------------------------
+
+IMAGE_COLS = [SPEC.key, *SPEC.value_names]
+
+
+@query("changelog_before_after")
+def changelog_before_after(spark, sf_dir):
+    imaged = cl.with_before_images(fx.canonical_log(log(spark, sf_dir)), SPEC)
+    return imaged.select(SPEC.key, LSN, "op", *[cl.BEFORE + n for n in SPEC.value_names],
+                         *SPEC.value_names)
+
+
+def envelopes(spark, sf_dir, changes=None):
+    changes = changes if changes is not None else log(spark, sf_dir)
+    return cl.to_envelopes(cl.with_before_images(changes, SPEC), SPEC, keep=fx.ARRIVAL)
+
+
+DECODED = [*fx.ARRIVAL, SPEC.key, *SPEC.value_names, "op", LSN, "ts_ms"]
+
+
+@query("decode_envelope")
+def decode_envelope(spark, sf_dir):
+    decoded = dc.decode(envelopes(spark, sf_dir), SPEC, keep=fx.ARRIVAL)
+    return dc.accepted(decoded, "strict").select(*DECODED)
+
+
+@query("decode_wrapped")
+def decode_wrapped(spark, sf_dir):
+    env = envelopes(spark, sf_dir)
+    wrapped = env.select(*fx.ARRIVAL, F.concat(
+        F.lit('{"schema":{"type":"struct","name":"envelope"},"payload":'), F.col("value"),
+        F.lit("}")).alias("value"))
+    decoded = dc.decode(wrapped, SPEC, keep=fx.ARRIVAL)
+    return dc.accepted(decoded, "strict").select(*DECODED)
+
+
+@query("json_round_trip")
+def json_round_trip(spark, sf_dir):
+    """Envelopes written as JSON lines to the shared folder, read back and decoded."""
+    path = scratch_path(spark, "jsonl")
+    envelopes(spark, sf_dir).write.mode("overwrite").json(path)
+    lines = spark.read.json(path, schema="slot BIGINT, pos BIGINT, dup INT, value STRING")
+    decoded = dc.decode(lines, SPEC, keep=fx.ARRIVAL)
+    return dc.accepted(decoded, "strict").select(*DECODED)
+
+
+@query("decode_op_counts")
+def decode_op_counts(spark, sf_dir):
+    decoded = dc.accepted(dc.decode(envelopes(spark, sf_dir), SPEC), "strict")
+    return decoded.groupBy("op").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("decode_event_time")
+def decode_event_time(spark, sf_dir):
+    """Envelope ts_ms zero or absent on some events, source ts_ms absent on some: the event
+    time falls back envelope -> source -> 0."""
+    changes = log(spark, sf_dir)
+    env_ts = (F.when(F.col("pos") % 4 == 0, F.lit(0)).when(F.col("pos") % 4 == 1, F.lit(None))
+              .otherwise(F.col("ts_ms")).cast("bigint"))
+    src_ts = F.when(F.col("pos") % 8 == 1, F.lit(None)).otherwise(F.col("ts_ms")).cast("bigint")
+    imaged = cl.with_before_images(changes, SPEC)
+    env = F.struct(
+        F.col("op"), F.when(F.col("op") == "d", F.struct(*IMAGE_COLS)).alias("before"),
+        F.when(F.col("op") != "d", F.struct(*IMAGE_COLS)).alias("after"),
+        env_ts.alias("ts_ms"),
+        F.struct(F.lit(SPEC.name).alias("table"), F.col(LSN).alias("lsn"), src_ts.alias("ts_ms")).alias("source"))
+    lines = imaged.select(*fx.ARRIVAL, F.to_json(env).alias("value"))
+    decoded = dc.accepted(dc.decode(lines, SPEC, keep=fx.ARRIVAL), "strict")
+    return decoded.select(*fx.ARRIVAL, SPEC.key, LSN, "ts_ms")
+
+
+# Fault injection for decode_rejects, by position modulo FAULT_EVERY.
+FAULT_EVERY = 997
+FAULTS = {1: "bad_json", 2: "unknown_op", 3: "bad_lsn", 4: "no_image", 5: "no_key",
+          6: "bad_value", 7: "blank", 8: "null"}
+
+
+@query("decode_rejects")
+def decode_rejects(spark, sf_dir):
+    """Every delivered line decoded after faults are injected into some of them; count per
+    reason (blank and null lines are skipped, not rejected)."""
+    fault = F.col("pos") % FAULT_EVERY
+    changes = log(spark, sf_dir)
+    imaged = cl.with_before_images(changes, SPEC)
+    is_del = F.col("op") == "d"
+    key_or_null = F.when(fault == 5, F.lit(None)).otherwise(F.col(SPEC.key))
+    bkey_or_null = F.when(fault == 5, F.lit(None)).otherwise(F.col(cl.BEFORE + SPEC.key))
+    amount = F.when(fault == 6, F.lit("abc")).otherwise(F.col("amount").cast("string"))
+    after = F.struct(key_or_null.alias(SPEC.key), "customer_id", "status",
+                     amount.alias("amount"), "updated_ms")
+    before = F.struct(bkey_or_null.alias(SPEC.key),
+                      *[F.col(cl.BEFORE + n).alias(n) for n in SPEC.value_names])
+    env = F.struct(
+        F.when(fault == 2, F.lit("x")).otherwise(F.col("op")).alias("op"),
+        F.when(F.col(cl.BEFORE + SPEC.key).isNotNull() & ~((fault == 4) & is_del), before).alias("before"),
+        F.when(~is_del & (fault != 4), after).alias("after"),
+        F.col("ts_ms"),
+        F.struct(F.lit(SPEC.name).alias("table"),
+                 F.when(fault == 3, F.lit("x1")).otherwise(F.col(LSN).cast("string")).alias("lsn"),
+                 F.col("ts_ms")).alias("source"))
+    rendered = imaged.select("pos", F.to_json(env).alias("_t"))
+    truncated = F.expr("substring(_t, 1, length(_t) - 1)")
+    lines = rendered.select(
+        F.when(fault == 1, truncated).when(fault == 7, F.lit("   ")).when(fault == 8, F.lit(None))
+        .otherwise(F.col("_t")).alias("value"))
+    return dc.reject_counts(dc.decode(lines, SPEC)).select("reason", "n")

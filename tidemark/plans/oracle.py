@@ -90,3 +90,98 @@ register("dedup_to_latest", with_log(
   FROM LB)""",
     final="""SELECT batch, order_id, CASE WHEN op = 'd' THEN 'd' ELSE 'u' END AS op,
   customer_id, status, amount, updated_ms, _lsn FROM R WHERE rn = 1"""))
+
+# -- counters and net changes ------------------------------------------------------------------
+
+FLAG_CTES = (
+    """W2 AS (
+  SELECT *, max(_lsn) OVER (PARTITION BY order_id ORDER BY slot, pos, dup
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior
+  FROM LB)""",
+    """FL AS (
+  SELECT slot, pos, dup, batch, order_id, _lsn, op, (prior IS NULL OR _lsn > prior) AS applied
+  FROM W2)""",
+)
+
+register("applied_events", with_log(*FLAG_CTES, final="SELECT * FROM FL"))
+register("merge_stats", with_log(*FLAG_CTES, final="""
+SELECT count(*) AS seen, count(*) FILTER (WHERE applied) AS applied,
+       count(*) FILTER (WHERE NOT applied) AS ignored FROM FL"""))
+register("batch_stats", with_log(*FLAG_CTES, final="""
+SELECT batch, count(*) AS delivered, count(*) FILTER (WHERE applied) AS applied,
+       count(*) FILTER (WHERE NOT applied) AS ignored FROM FL GROUP BY batch"""))
+register("pipeline_stats", with_log(*FLAG_CTES, *FOLD_CTES, final="""
+SELECT (SELECT count(*) FROM FL) AS delivered,
+       (SELECT count(*) FROM FL WHERE applied) AS applied,
+       (SELECT count(*) FROM FL WHERE NOT applied) AS ignored,
+       (SELECT count(DISTINCT batch) FROM FL) AS batches,
+       (SELECT count(*) FROM T) AS live_rows"""))
+
+NET_CTES = (
+    """BR AS (
+  SELECT *, row_number() OVER (PARTITION BY batch, order_id ORDER BY _lsn DESC, slot, pos, dup) AS rn
+  FROM LB)""",
+    """BP AS (
+  SELECT *, max(_lsn) OVER (PARTITION BY order_id ORDER BY batch
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
+  FROM BR WHERE rn = 1)""",
+    """NC AS (
+  SELECT batch, order_id, customer_id, status, amount, updated_ms, _lsn,
+         CASE WHEN op = 'd' THEN 'delete' ELSE 'upsert' END AS action
+  FROM BP WHERE prev IS NULL OR _lsn > prev)""",
+)
+register("batch_net_changes", with_log(*NET_CTES, final="SELECT * FROM NC"))
+register("batch_changed_keys", with_log(*NET_CTES, final="SELECT batch, order_id FROM NC"))
+register("batch_against_state", with_log(
+    """PB AS (
+  SELECT batch, order_id, max(_lsn) AS mx, arg_max(op = 'd', _lsn) AS del
+  FROM LB GROUP BY batch, order_id)""",
+    """PR AS (
+  SELECT batch, order_id, max(mx) OVER w AS stored_lsn, arg_max(del, mx) OVER w AS stored_deleted
+  FROM PB
+  WINDOW w AS (PARTITION BY order_id ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
+    final="""
+SELECT e.slot, e.pos, e.dup, e.batch, e.order_id, e._lsn, p.stored_lsn, p.stored_deleted,
+       CASE WHEN p.stored_lsn IS NULL THEN 'new' WHEN e._lsn > p.stored_lsn THEN 'apply'
+            ELSE 'stale' END AS verdict
+FROM LB e JOIN PR p ON e.batch = p.batch AND e.order_id = p.order_id"""))
+
+# -- change-log images, envelopes and decode ---------------------------------------------------
+
+register("changelog_before_after", with_log(
+    """CP AS (
+  SELECT *, lag(op) OVER w AS pop, lag(customer_id) OVER w AS pc, lag(status) OVER w AS ps,
+         lag(amount) OVER w AS pa, lag(updated_ms) OVER w AS pu
+  FROM L WHERE dup = 0
+  WINDOW w AS (PARTITION BY order_id ORDER BY _lsn))""",
+    final="""
+SELECT order_id, _lsn, op,
+  CASE WHEN pop <> 'd' THEN pc END AS before_customer_id,
+  CASE WHEN pop <> 'd' THEN ps END AS before_status,
+  CASE WHEN pop <> 'd' THEN pa END AS before_amount,
+  CASE WHEN pop <> 'd' THEN pu END AS before_updated_ms,
+  customer_id, status, amount, updated_ms
+FROM CP"""))
+
+DECODED_SQL = with_log(final="""
+SELECT slot, pos, dup, order_id, customer_id, status, amount, updated_ms,
+       CASE WHEN op = 'd' THEN 'd' ELSE 'u' END AS op, _lsn, ts_ms
+FROM L""")
+register("decode_envelope", DECODED_SQL)
+register("decode_wrapped", DECODED_SQL)
+register("json_round_trip", DECODED_SQL)
+register("decode_op_counts", with_log(final="""
+SELECT CASE WHEN op = 'd' THEN 'd' ELSE 'u' END AS op, count(*) AS n FROM L GROUP BY 1"""))
+register("decode_event_time", with_log(final="""
+SELECT slot, pos, dup, order_id, _lsn,
+  COALESCE(NULLIF(CASE WHEN pos % 4 = 0 THEN 0 WHEN pos % 4 = 1 THEN NULL ELSE ts_ms END, 0),
+           NULLIF(CASE WHEN pos % 8 = 1 THEN NULL ELSE ts_ms END, 0), 0) AS ts_ms
+FROM L"""))
+register("decode_rejects", with_log(final="""
+SELECT reason, count(*) AS n FROM (
+  SELECT CASE pos % 997
+    WHEN 1 THEN 'bad_json' WHEN 2 THEN 'unknown_op' WHEN 3 THEN 'bad_lsn'
+    WHEN 4 THEN 'no_image' WHEN 5 THEN 'no_key'
+    WHEN 6 THEN CASE WHEN op = 'd' THEN 'ok' ELSE 'bad_value' END
+    WHEN 7 THEN 'skipped' WHEN 8 THEN 'skipped' ELSE 'ok' END AS reason
+  FROM L) GROUP BY reason"""))
