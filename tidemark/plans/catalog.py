@@ -15,6 +15,8 @@ from ..operators import changelog as cl
 from ..operators import counters as co
 from ..operators import decode as dc
 from ..operators import fold as fo
+from ..operators import reconcile as rc
+from ..functions.exprs import coerce_text
 from ..sources import fixture as fx
 from ..session import scratch_path
 from ..spec import LSN, orders_spec
@@ -227,3 +229,84 @@ def decode_rejects(spark, sf_dir):
         F.when(fault == 1, truncated).when(fault == 7, F.lit("   ")).when(fault == 8, F.lit(None))
         .otherwise(F.col("_t")).alias("value"))
     return dc.reject_counts(dc.decode(lines, SPEC)).select("reason", "n")
+
+
+# -- typed projection and reconciliation ---------------------------------------------------------
+
+@query("typed_projection")
+def typed_projection(spark, sf_dir):
+    """Upsert images sent as text with a third decimal place, coerced back onto the spec:
+    ints via try_cast, money rounded half-even ('12.345' -> 12.34, '12.355' -> 12.36)."""
+    changes = log(spark, sf_dir).where(F.col("op") != "d")
+    text = {
+        "customer_id": F.col("customer_id").cast("string"),
+        "status": F.col("status"),
+        "amount": (F.col("amount") + F.lit(0.005).cast("decimal(4,3)")).cast("decimal(18,3)").cast("string"),
+        "updated_ms": F.col("updated_ms").cast("string"),
+    }
+    return changes.select(*fx.ARRIVAL, SPEC.key, *[
+        coerce_text(text[n], SPEC.column(n)).alias(n) for n in SPEC.value_names])
+
+
+def truth(spark, sf_dir):
+    return fo.fold_live(log(spark, sf_dir), SPEC, fo.MODE_LSN, fx.ARRIVAL)
+
+
+def arrival_lake(spark, sf_dir):
+    """The lake a last-arrival-wins consumer would have written (the negative control)."""
+    return fo.fold_live(log(spark, sf_dir), SPEC, fo.MODE_ARRIVAL, fx.ARRIVAL)
+
+
+def drift_keys(spark, sf_dir):
+    return rc.compare(truth(spark, sf_dir), arrival_lake(spark, sf_dir), SPEC)
+
+
+# Fixed value: the lake for recon_missing lost every key of one partition out of this many.
+LOST_PARTITIONS = 101
+
+
+@query("canonical_rows")
+def canonical_rows(spark, sf_dir):
+    src = rc.canonical_rows(truth(spark, sf_dir), SPEC).select(F.lit("source").alias("side"), "*")
+    lake = rc.canonical_rows(arrival_lake(spark, sf_dir), SPEC).select(F.lit("lake").alias("side"), "*")
+    return src.unionByName(lake)
+
+
+@query("recon_keys")
+def recon_keys(spark, sf_dir):
+    return drift_keys(spark, sf_dir).select(SPEC.key, "class", "drift")
+
+
+@query("recon_missing")
+def recon_missing(spark, sf_dir):
+    """Truth against a correct lake that lost one key partition: those live keys are missing."""
+    t = truth(spark, sf_dir)
+    lossy = t.where(F.col(SPEC.key) % LOST_PARTITIONS != 0)
+    keys = rc.compare(t, lossy, SPEC)
+    return keys.where(F.col("class") == rc.MISSING).select(SPEC.key, "drift")
+
+
+@query("recon_extra")
+def recon_extra(spark, sf_dir):
+    return drift_keys(spark, sf_dir).where(F.col("class") == rc.EXTRA).select(SPEC.key, "drift")
+
+
+@query("recon_mismatch")
+def recon_mismatch(spark, sf_dir):
+    return (drift_keys(spark, sf_dir).where(F.col("class") == rc.MISMATCH)
+            .select(SPEC.key, "source_value", "lake_value", "drift"))
+
+
+@query("recon_summary")
+def recon_summary(spark, sf_dir):
+    return rc.summary(drift_keys(spark, sf_dir))
+
+
+@query("recon_drift")
+def recon_drift(spark, sf_dir):
+    return rc.drift_by_class(drift_keys(spark, sf_dir))
+
+
+@query("recon_samples")
+def recon_samples(spark, sf_dir):
+    return rc.samples(drift_keys(spark, sf_dir), SPEC).withColumn("rn", F.col("rn").cast("int"))

@@ -185,3 +185,55 @@ SELECT reason, count(*) AS n FROM (
     WHEN 6 THEN CASE WHEN op = 'd' THEN 'ok' ELSE 'bad_value' END
     WHEN 7 THEN 'skipped' WHEN 8 THEN 'skipped' ELSE 'ok' END AS reason
   FROM L) GROUP BY reason"""))
+
+# -- typed projection and reconciliation ---------------------------------------------------------
+
+register("typed_projection", with_log(final="""
+SELECT slot, pos, dup, order_id, customer_id, status,
+       CAST(round_even(amount + 0.005, 2) AS DECIMAL(18,2)) AS amount, updated_ms
+FROM L WHERE op <> 'd'"""))
+
+RECON_CTES = FOLD_CTES + ARRIVAL_FOLD_CTES + (
+    """J AS (
+  SELECT COALESCE(t.order_id, a.order_id) AS order_id,
+         t.order_id IS NOT NULL AS in_s, a.order_id IS NOT NULL AS in_l,
+         (t.customer_id IS DISTINCT FROM a.customer_id OR t.status IS DISTINCT FROM a.status
+          OR t.amount IS DISTINCT FROM a.amount OR t.updated_ms IS DISTINCT FROM a.updated_ms) AS differs,
+         CAST(t.amount AS DECIMAL(38,2)) AS source_value, CAST(a.amount AS DECIMAL(38,2)) AS lake_value
+  FROM T t FULL JOIN A a ON t.order_id = a.order_id)""",
+    """K AS (
+  SELECT order_id,
+         CASE WHEN NOT in_l THEN 'missing' WHEN NOT in_s THEN 'extra'
+              WHEN differs THEN 'mismatch' ELSE 'match' END AS class,
+         CAST(abs(COALESCE(source_value, 0) - COALESCE(lake_value, 0)) AS DECIMAL(38,2)) AS drift,
+         source_value, lake_value
+  FROM J)""",
+)
+
+register("canonical_rows", with_log(*FOLD_CTES, *ARRIVAL_FOLD_CTES, final="""
+SELECT 'source' AS side, order_id, customer_id, status, amount, updated_ms FROM T
+UNION ALL
+SELECT 'lake' AS side, order_id, customer_id, status, amount, updated_ms FROM A"""))
+register("recon_keys", with_log(*RECON_CTES, final="SELECT order_id, class, drift FROM K"))
+register("recon_missing", with_log(*FOLD_CTES, final="""
+SELECT order_id, CAST(abs(COALESCE(amount, 0)) AS DECIMAL(38,2)) AS drift
+FROM T WHERE order_id % 101 = 0"""))
+register("recon_extra", with_log(*RECON_CTES, final="SELECT order_id, drift FROM K WHERE class = 'extra'"))
+register("recon_mismatch", with_log(*RECON_CTES, final="""
+SELECT order_id, source_value, lake_value, drift FROM K WHERE class = 'mismatch'"""))
+register("recon_summary", with_log(*RECON_CTES, final="""
+SELECT count(*) FILTER (WHERE class <> 'extra') AS rows_source,
+       count(*) FILTER (WHERE class <> 'missing') AS rows_lake,
+       count(*) FILTER (WHERE class = 'missing') AS missing,
+       count(*) FILTER (WHERE class = 'extra') AS extra,
+       count(*) FILTER (WHERE class = 'mismatch') AS mismatch,
+       (SELECT count(*) FROM (SELECT order_id FROM A GROUP BY order_id HAVING count(*) > 1)) AS duplicate_in_lake,
+       CAST(COALESCE(sum(drift), 0) AS DECIMAL(38,2)) AS drift,
+       CASE WHEN count(*) FILTER (WHERE class <> 'match') = 0 THEN 'parity' ELSE 'drift' END AS verdict
+FROM K"""))
+register("recon_drift", with_log(*RECON_CTES, final="""
+SELECT class, count(*) AS keys, CAST(sum(drift) AS DECIMAL(38,2)) AS drift FROM K GROUP BY class"""))
+register("recon_samples", with_log(*RECON_CTES, final="""
+SELECT class, order_id, rn FROM (
+  SELECT class, order_id, CAST(row_number() OVER (PARTITION BY class ORDER BY order_id) AS INTEGER) AS rn
+  FROM K WHERE class <> 'match') WHERE rn <= 5"""))
