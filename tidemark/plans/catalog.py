@@ -15,6 +15,10 @@ from ..operators import changelog as cl
 from ..operators import counters as co
 from ..operators import decode as dc
 from ..operators import fold as fo
+from ..operators import merge as mg
+from ..sources import snapshot as snap
+from ..streaming import stream as sm
+from ..streaming.state import StateTable
 from ..operators import reconcile as rc
 from ..functions.exprs import coerce_text
 from ..sources import fixture as fx
@@ -310,3 +314,131 @@ def recon_drift(spark, sf_dir):
 @query("recon_samples")
 def recon_samples(spark, sf_dir):
     return rc.samples(drift_keys(spark, sf_dir), SPEC).withColumn("rn", F.col("rn").cast("int"))
+
+
+# -- guarded merge, state table, streaming -------------------------------------------------------
+
+def halves(changes: DataFrame):
+    """Split a batched log at the middle batch (a scalar subquery, no driver round trip)."""
+    cut = F.floor(changes.agg(F.max("batch")).scalar() / F.lit(2))
+    return changes.where(F.col("batch") < cut), changes.where(F.col("batch") >= cut)
+
+
+@query("merge_guarded")
+def merge_guarded(spark, sf_dir):
+    """State folded from the first half of the batches, then the rest merged in with the LSN
+    guard: late lower-LSN events of the second half must neither overwrite nor resurrect."""
+    early, late = halves(fx.with_batch(log(spark, sf_dir)))
+    state = fo.fold_state(early, SPEC, fo.MODE_LSN, fx.ARRIVAL)
+    return mg.merge_guarded(state, late, SPEC, fx.ARRIVAL)
+
+
+@query("apply_changes")
+def apply_changes(spark, sf_dir):
+    """Live table of the first half, then the second half's net changes applied as a sink
+    would: delete changed keys, insert upserted rows."""
+    early, late = halves(fx.with_batch(log(spark, sf_dir)))
+    state = fo.fold_state(early, SPEC, fo.MODE_LSN, fx.ARRIVAL)
+    changes = mg.net_changes(state, late, SPEC, fx.ARRIVAL)
+    return mg.apply_changes(fo.live_rows(state), changes, SPEC)
+
+
+def bulk_state(spark, sf_dir) -> StateTable:
+    st = StateTable(spark, scratch_path(spark, "state"), SPEC)
+    st.write_epochs(fx.with_batch(log(spark, sf_dir)), "batch", "bulk", fx.ARRIVAL)
+    return st
+
+
+@query("state_read_live")
+def state_read_live(spark, sf_dir):
+    return bulk_state(spark, sf_dir).read_live()
+
+
+@query("inspect_table")
+def inspect_table(spark, sf_dir):
+    return bulk_state(spark, sf_dir).inspect()
+
+
+# Fixed value: sequential rounds of merge_microbatches.
+ROUNDS = 4
+
+
+@query("merge_microbatches")
+def merge_microbatches(spark, sf_dir):
+    """The log merged round by round into the state table, one committed epoch per round."""
+    changes = fx.with_batch(log(spark, sf_dir))
+    last = changes.agg(F.max("batch")).scalar()
+    rnd = F.floor(F.col("batch") * F.lit(ROUNDS) / (last + F.lit(1)))
+    st = StateTable(spark, scratch_path(spark, "state"), SPEC)
+    for r in range(ROUNDS):
+        st.write_epoch(changes.where(rnd == r), r, "seq", fx.ARRIVAL)
+    return st.read_live()
+
+
+@query("resolve_on_read")
+def resolve_on_read(spark, sf_dir):
+    """Append-only epochs resolved at read time: half the log appended and compacted into a
+    base, the other half appended on top."""
+    early, late = halves(fx.with_batch(log(spark, sf_dir)))
+    st = StateTable(spark, scratch_path(spark, "state"), SPEC)
+    st.write_epochs(early, "batch", "a", fx.ARRIVAL)
+    st.compact()
+    st.write_epochs(late, "batch", "b", fx.ARRIVAL)
+    return st.read_live()
+
+
+@query("bootstrap_from_snapshot")
+def bootstrap_from_snapshot(spark, sf_dir):
+    """An initial snapshot (live rows at LSN S, as 'r' events) plus the stream of changes after
+    S fold to the same table as the whole log."""
+    changes = log(spark, sf_dir)
+    cut = F.floor(changes.agg(F.max(LSN)).scalar() / F.lit(2))
+    before = fx.canonical_log(changes).where(F.col(LSN) <= cut)
+    snapshot = snap.snapshot_events(fo.live_rows(fo.fold_state(before, SPEC, fo.MODE_LSN, fx.ARRIVAL)),
+                                    SPEC, cut, fx.ARRIVAL)
+    stream = changes.where(F.col(LSN) > cut)
+    return fo.fold_live(snapshot.unionByName(stream, allowMissingColumns=True), SPEC,
+                        fo.MODE_LSN, fx.ARRIVAL)
+
+
+# Change files written for the streaming queries, and files per trigger.
+STREAM_FILES = 16
+FILES_PER_TRIGGER = 2
+
+
+def stream_into(spark, src_dir: str, st: StateTable, checkpoint: str) -> None:
+    q = sm.merge_stream(sm.text_source(spark, src_dir, FILES_PER_TRIGGER), st, SPEC, checkpoint,
+                        on_error="strict")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def write_change_files(spark, sf_dir) -> str:
+    src_dir = scratch_path(spark, "changes")
+    (envelopes(spark, sf_dir).repartitionByRange(STREAM_FILES, "slot").select("value")
+     .write.mode("overwrite").text(src_dir))
+    return src_dir
+
+
+@query("stream_merge")
+def stream_merge(spark, sf_dir):
+    """Change files streamed (availableNow) through decode and per-epoch merge into the state."""
+    src_dir = write_change_files(spark, sf_dir)
+    st = StateTable(spark, scratch_path(spark, "state"), SPEC)
+    stream_into(spark, src_dir, st, scratch_path(spark, "ckpt"))
+    return st.read_live()
+
+
+@query("stream_replay")
+def stream_replay(spark, sf_dir):
+    """The same stream run, restarted on its checkpoint (nothing new: no-op), compacted, then
+    replayed in full under a fresh checkpoint (all duplicates): the table must not change."""
+    src_dir = write_change_files(spark, sf_dir)
+    st = StateTable(spark, scratch_path(spark, "state"), SPEC)
+    ckpt = scratch_path(spark, "ckpt")
+    stream_into(spark, src_dir, st, ckpt)
+    stream_into(spark, src_dir, st, ckpt)
+    st.compact()
+    stream_into(spark, src_dir, st, scratch_path(spark, "ckpt"))
+    return st.read_live()

@@ -237,3 +237,20 @@ register("recon_samples", with_log(*RECON_CTES, final="""
 SELECT class, order_id, rn FROM (
   SELECT class, order_id, CAST(row_number() OVER (PARTITION BY class ORDER BY order_id) AS INTEGER) AS rn
   FROM K WHERE class <> 'match') WHERE rn <= 5"""))
+
+# -- guarded merge, state table, streaming -------------------------------------------------------
+# Each of these must equal the plain fold of the whole log, however the log was cut, replayed,
+# compacted or streamed.
+
+for _name in ("apply_changes", "state_read_live", "merge_microbatches", "resolve_on_read",
+              "stream_merge", "stream_replay"):
+    register(_name, ORACLE["fold_lsn"])
+register("merge_guarded", ORACLE["fold_lsn_state"])
+register("inspect_table", with_log(*FOLD_CTES, final="""
+SELECT (SELECT count(*) FROM T) AS live_rows, (SELECT count(DISTINCT batch) FROM LB) AS snapshots"""))
+# Snapshot rows carry the snapshot's LSN S, so a key untouched after S keeps S as its LSN.
+register("bootstrap_from_snapshot", with_log(
+    *FOLD_CTES, "SN AS (SELECT CAST(floor(max(_lsn) / 2) AS BIGINT) AS s FROM L)", final="""
+SELECT order_id, customer_id, status, amount, updated_ms,
+       CASE WHEN _lsn <= (SELECT s FROM SN) THEN (SELECT s FROM SN) ELSE _lsn END AS _lsn
+FROM T"""))
