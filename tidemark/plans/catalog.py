@@ -442,3 +442,11 @@ def stream_replay(spark, sf_dir):
     st.compact()
     stream_into(spark, src_dir, st, scratch_path(spark, "ckpt"))
     return st.read_live()
+
+
+@query("recon_parity")
+def recon_parity(spark, sf_dir):
+    """The reconciliation verdict for a correctly merged table: the state table written epoch by
+    epoch from the delivered log against the truth folded from the same log."""
+    lake = bulk_state(spark, sf_dir).read_live()
+    return rc.summary(rc.compare(truth(spark, sf_dir), lake, SPEC))

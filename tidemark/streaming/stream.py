@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import decode as dc
-from ..spec import TableSpec
+from ..spec import LSN, TableSpec
 from .state import StateTable
 
 SEQ = "_seq"
@@ -59,9 +59,24 @@ def run_id(checkpoint: str) -> str:
     return "r" + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
 
 
+def epoch_stats(decoded: DataFrame, epoch_id: int) -> DataFrame:
+    """One row of progress counters for a decoded micro-batch."""
+    reason = F.col(dc.REASON)
+    return decoded.agg(
+        F.lit(int(epoch_id)).cast("bigint").alias("epoch"),
+        F.count(F.lit(1)).alias("delivered"),
+        F.count_if(reason == dc.OK).alias("accepted"),
+        F.count_if(reason == dc.SKIPPED).alias("skipped"),
+        F.count_if(~reason.isin(dc.OK, dc.SKIPPED)).alias("rejected"),
+        F.count_if((reason == dc.OK) & (F.col("op") == "d")).alias("deletes"),
+        F.max(F.when(reason == dc.OK, F.col(LSN))).alias("max_lsn"))
+
+
 def epoch_writer(state: StateTable, spec: TableSpec, run: str, arrival: Sequence[str] = (),
-                 on_error: str = "quarantine", rejects_root: str | None = None):
-    """The ``foreachBatch`` function: decode, commit the epoch, side-output rejects."""
+                 on_error: str = "quarantine", rejects_root: str | None = None,
+                 stats_root: str | None = None):
+    """The ``foreachBatch`` function: decode, commit the epoch, side-output rejects and a
+    one-row progress record per epoch."""
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         if arrival:
@@ -76,6 +91,9 @@ def epoch_writer(state: StateTable, spec: TableSpec, run: str, arrival: Sequence
             if rejects_root:
                 path = f"{rejects_root}/{run}/e{int(epoch_id):012d}"
                 dc.rejected(decoded).write.mode("overwrite").parquet(path)
+            if stats_root:
+                path = f"{stats_root}/{run}/e{int(epoch_id):012d}"
+                epoch_stats(decoded, epoch_id).coalesce(1).write.mode("overwrite").parquet(path)
         finally:
             decoded.unpersist()
 
@@ -84,10 +102,11 @@ def epoch_writer(state: StateTable, spec: TableSpec, run: str, arrival: Sequence
 
 def merge_stream(source: DataFrame, state: StateTable, spec: TableSpec, checkpoint: str,
                  arrival: Sequence[str] = (), on_error: str = "quarantine",
-                 rejects_root: str | None = None, available_now: bool = True,
-                 processing_time: str | None = None):
+                 rejects_root: str | None = None, stats_root: str | None = None,
+                 available_now: bool = True, processing_time: str | None = None):
     """Start the streaming merge; returns the ``StreamingQuery``."""
-    writer = epoch_writer(state, spec, run_id(checkpoint), arrival, on_error, rejects_root)
+    writer = epoch_writer(state, spec, run_id(checkpoint), arrival, on_error, rejects_root,
+                          stats_root)
     stream = source.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     if available_now:
         stream = stream.trigger(availableNow=True)
