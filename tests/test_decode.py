@@ -71,3 +71,14 @@ def test_strict_mode_fails_the_job(spark, spec):
     assert [r["_reject"] for r in dc.rejected(decoded).collect()] == ["unknown_op"]
     with pytest.raises(ValueError):
         dc.accepted(decoded, "lenient")
+
+
+def test_timestamp_column_from_epoch_ms(spark):
+    from tidemark.spec import Column, TableSpec
+    spec = TableSpec("events", "id", (Column("id", "int"), Column("at", "ts")))
+    line = json.dumps({"op": "c", "after": {"id": 1, "at": 1700000000123}, "source": {"lsn": 3}})
+    (row,) = dc.decode(lines_df(spark, [line]), spec).collect()
+    assert row["_reject"] == "ok" and str(row["at"]) == "2023-11-14 22:13:20.123000"
+    bad = json.dumps({"op": "c", "after": {"id": 1, "at": "soon"}, "source": {"lsn": 3}})
+    (row,) = dc.decode(lines_df(spark, [bad]), spec).collect()
+    assert row["_reject"] == "bad_value"

@@ -85,7 +85,9 @@ def epoch_writer(state: StateTable, spec: TableSpec, run: str, arrival: Sequence
             # Plain files carry no arrival coordinates; the row position within the micro-batch is
             # stable on replay of the same files and only breaks ties between equal LSNs.
             lines, order = batch.withColumn(SEQ, F.monotonically_increasing_id()), (SEQ,)
-        decoded = dc.decode(lines, spec, keep=order).persist()
+        decoded = dc.decode(lines, spec, keep=order)
+        if rejects_root or stats_root:  # several outputs read the batch: decode it once
+            decoded = decoded.persist()
         try:
             state.write_epoch(dc.accepted(decoded, on_error), epoch_id, run, order)
             if rejects_root:
@@ -95,7 +97,8 @@ def epoch_writer(state: StateTable, spec: TableSpec, run: str, arrival: Sequence
                 path = f"{stats_root}/{run}/e{int(epoch_id):012d}"
                 epoch_stats(decoded, epoch_id).coalesce(1).write.mode("overwrite").parquet(path)
         finally:
-            decoded.unpersist()
+            if decoded.is_cached:
+                decoded.unpersist()
 
     return write
 
