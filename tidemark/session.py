@@ -34,10 +34,18 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) a fresh local folder is
     registered as the checkpoint directory.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext in this client
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # noqa: BLE001
+            pass
     return root.rstrip("/")
 
 

@@ -1,19 +1,42 @@
-"""Minimal file-system probes through Hadoop's FileSystem API (works for any URI the cluster
-can write: HDFS, object stores, local). Metadata only; no data passes through the driver."""
+"""Minimal file-system probes (metadata only; no data passes through the driver).
+
+Through Hadoop's FileSystem API when the session has a JVM gateway, so any URI the cluster can
+write works (HDFS, object stores, local); plain local paths otherwise (e.g. a Spark Connect
+client on the same host).
+"""
 
 from __future__ import annotations
 
+import os
+from urllib.parse import urlparse
+
 from pyspark.sql import SparkSession
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
+def _hadoop(spark: SparkSession, path: str):
+    try:
+        sc = spark.sparkContext
+        jvm = sc._jvm
+    except Exception:  # noqa: BLE001 - no JVM gateway in this client
+        return None
+    if jvm is None:
+        return None
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
+def _local(path: str) -> str:
+    u = urlparse(path)
+    if u.scheme not in ("", "file"):
+        raise OSError(f"cannot probe {path!r} without a JVM gateway")
+    return u.path if u.scheme else path
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs(spark, path)
+    h = _hadoop(spark, path)
+    if h is None:
+        return os.path.exists(_local(path))
+    p, fs = h
     return bool(fs.exists(p))
 
 
@@ -24,14 +47,13 @@ def committed(spark: SparkSession, path: str) -> bool:
 
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-directories of ``path`` (empty if it does not exist)."""
-    p, fs = _fs(spark, path)
+    h = _hadoop(spark, path)
+    if h is None:
+        local = _local(path)
+        if not os.path.isdir(local):
+            return []
+        return sorted(n for n in os.listdir(local) if os.path.isdir(os.path.join(local, n)))
+    p, fs = h
     if not fs.exists(p):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
-
-
-def files(spark: SparkSession, path: str) -> list[str]:
-    p, fs = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isFile())
