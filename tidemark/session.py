@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -31,8 +32,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """Root for everything this library writes: the cluster's ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh local folder is
-    registered as the checkpoint directory.
+    Read from the session. Only a session on a ``local`` master may do without it (tests): a fresh
+    local folder is then registered. Anywhere else a folder of this machine would be seen by no other
+    executor, so an unset setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -41,11 +43,11 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - no SparkContext in this client
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # noqa: BLE001
-            pass
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
