@@ -21,14 +21,21 @@ STRUCTURE = ("log_words", "word_bytes", "upper", "digit", "punct", "non_ascii",
              "meta_chars_ratio")
 
 
-def hashed_words(texts: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased plain words hashed to buckets: ``(document, bucket, count)``, ordered by document."""
+def hashed_words(texts: list[bytes], buckets: int, prefixes: tuple[int, ...] = ()
+                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased plain words, and their first bytes in the given numbers, hashed to buckets:
+    ``(document, bucket, count)``, ordered by document."""
     block = Block(texts, lower=True)
     starts, ends = block.segments(NOT_ALNUM)
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    bucket = (block.hashes(starts, ends) % np.uint64(buckets)).astype(np.int64)
-    cell, count = np.unique(block.documents_of(starts) * buckets + bucket, return_counts=True)
+    doc, hashes = [block.documents_of(starts)], [block.hashes(starts, ends)]
+    for k in prefixes:
+        long = ends - starts >= k
+        doc.append(doc[0][long])
+        hashes.append(mix(block.hashes(starts[long], starts[long] + k) ^ np.uint64(k)))
+    bucket = (np.concatenate(hashes) % np.uint64(buckets)).astype(np.int64)
+    cell, count = np.unique(np.concatenate(doc) * buckets + bucket, return_counts=True)
     return cell // buckets, cell % buckets, count.astype(float)
 
 
