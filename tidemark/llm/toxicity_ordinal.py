@@ -40,11 +40,12 @@ BUCKETS = 1 << 17
 PREFIXES = (4, 5, 6)
 MAX_TRAIN = 12000
 GRADES = 3
+#: Probability of grade 1 or more from which a document is flagged.
+FLAG = 0.4
 LEXICON_ODDS = 3.0
 LEXICON_ROWS = 5
-STEPS = 400
-#: Penalty on weights, which are kept at 0 or above: ordinary words weigh exactly nothing, and no amount of
-#: clean text makes an insult milder.
+STEPS = 600
+#: Penalty on absolute weights: ordinary words weigh exactly nothing, or a long clean text would outweigh one insult.
 L1 = 5e-4
 
 
@@ -132,7 +133,7 @@ def _descend(columns: list[np.ndarray], grades: np.ndarray) -> Ordinal:
         rate = 0.05 / (np.sqrt(state[1] / (1 - 0.999 ** step)) + 1e-6)
         move = rate * state[0] / (1 - 0.9 ** step)
         w -= move[:len(col)]
-        w = np.maximum(w - np.minimum(rate[:len(col)] * L1, 0.05), 0)
+        w = np.sign(w) * np.maximum(np.abs(w) - np.minimum(rate[:len(col)] * L1, 0.05), 0)
         first -= move[len(col)]
         gaps = np.clip(gaps - move[len(col) + 1:], -4, 3)
     weights = np.zeros(BUCKETS)
@@ -155,4 +156,4 @@ def score(docs: DataFrame, model: Ordinal) -> DataFrame:
     probabilities = ", ".join(f"p_{k + 1} double" for k in range(GRADES))
     return _inputs(docs).mapInArrow(run, f"doc_id {kind}, {probabilities}, severity double").select(
         "doc_id", held_out().alias("held_out"), *[f"p_{k + 1}" for k in range(GRADES)], "severity",
-        (F.col("p_1") >= 0.5).alias("toxic"))
+        (F.col("p_1") >= FLAG).alias("toxic"))
