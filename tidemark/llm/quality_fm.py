@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidemark.llm.features import STRUCTURE, hashed_words, structure
 from tidemark.llm.frames import clash_free
@@ -158,15 +159,25 @@ def _descend(columns, values, y, mean, scale) -> Machine:
     return Machine(float(bias), theta[:, 0].copy(), theta[:, 1:].copy(), mean, scale)
 
 
-def score(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every document."""
+def with_score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
+    """The documents with all their columns and their score, in one pass without a shuffle."""
+    if name in docs.columns:
+        raise ValueError(f"the documents already have a column {name}")
+    rows = docs.select("*", F.col("text").cast("binary").alias("_text"), F.col("n_chars").cast("long").alias("_chars"))
+    width = len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in batches_in_blocks(batches, "text"):
-            rows, columns, values = _sparse(texts, batch.column(2).to_pylist(), machine.mean, machine.scale)
-            p = machine.score(rows, columns, values, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p)], ["doc_id", "score"])
+        for batch, texts in batches_in_blocks(batches, "_text"):
+            found, columns, values = _sparse(texts, batch.column(width + 1).to_pylist(), machine.mean, machine.scale)
+            p = machine.score(found, columns, values, len(texts))
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(i) for i in range(width)], pa.array(p)], [*batch.schema.names[:width], name])
+
+    return rows.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return _inputs(docs).mapInArrow(run, f"doc_id {kind}, score double").select(
+
+def score(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` for every document."""
+    scored = with_score(clash_free(docs, "doc_id", "text", "n_chars"), machine)
+    return scored.select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -3,8 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import quality_fm, simhash_golay, toxicity_ordinal
+from tidemark.llm import (
+    bpe_chunks,
+    license_lr,
+    nn_descent,
+    phrase_automata,
+    quality_fm,
+    simhash_golay,
+    template_decontam,
+    token_fst,
+    toxicity_ordinal,
+    url_cascade,
+)
 from tidemark.llm.frames import table
 
 
@@ -13,6 +25,27 @@ def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.score(docs, quality_fm.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_chunks.digests(table(spark, sf_dir, "documents"))
+
+
+def op3_template_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template_decontam.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_cascade.judge(table(spark, sf_dir, "pages"))
+
+
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op6_license_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return license_lr.scan(docs, license_lr.fit(docs))
+
+
 def op7_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_golay.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -22,5 +55,17 @@ def op8_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_ordinal.score(docs, toxicity_ordinal.fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_fm, op7_simhash_golay, op8_toxicity_ordinal)}
-ORACLE: dict[str, str] = {}
+def op9_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_automata.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op10_token_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_fst.token_counts(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_fm, op2_bpe_chunks, op3_template_decontam, op4_url_cascade, op5_nn_descent, op6_license_lr,
+    op7_simhash_golay, op8_toxicity_ordinal, op9_phrase_automata, op10_token_fst)}
+#: Where SQL can express the whole result at whole size; the others are tested against brute force.
+ORACLE: dict[str, str] = {"op4_url_cascade": url_cascade.oracle()}
