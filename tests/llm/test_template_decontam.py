@@ -13,22 +13,31 @@ DOCS = "doc_id long, text string, hash string, w string"
 ITEMS = "item_id long, text string, n string"
 
 
+SIGNS = set("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~“”‘’«»„…–—¿¡")
+
+
 def words_of(text):
     out = []
     for w in re.split(r"[\x20\x09-\x0D]+", text or ""):
-        w = regex.sub(r"^[^\p{L}\p{N}+-]+", "", w)
-        w = regex.sub(r"[^\p{L}\p{N}%]+$", "", w)
-        if regex.search(r"[\p{L}\p{N}]", w):
+        while w and w[0] in SIGNS - set("+-"):
+            w = w[1:]
+        while w and w[-1] in SIGNS - set("%"):
+            w = w[:-1]
+        if set(w) - SIGNS:
             out.append(w)
     return out
 
 
-def canon(w):
-    if regex.fullmatch(r"[+-]?\p{N}[\p{N}.,:/-]*%?", w):
-        return "<num>"
-    if regex.match(r"\p{Lu}\p{Ll}", w):
-        return "<name>"
-    return "<unit>" if w.lower() in op.UNITS else w.lower()
+def forms(words):
+    out = []
+    for w in words:
+        if re.fullmatch(r"[+-]?[0-9][0-9.,:/-]*%?", w):
+            out.append("<num>")
+        elif regex.match(r"\p{Lu}\p{Ll}", w):
+            out.append("<name>")
+        else:
+            out.append("<unit>" if out and out[-1] == "<num>" and w.lower() in op.UNITS else w.lower())
+    return out
 
 
 def plain(docs, items, window=op.WINDOW):
@@ -37,7 +46,7 @@ def plain(docs, items, window=op.WINDOW):
         if i is not None and t is not None:
             texts[i] = max(texts.get(i, t), t)
     for i, t in texts.items():
-        c = [canon(w) for w in words_of(t)]
+        c = forms(words_of(t))
         for at in range(len(c) - window + 1):
             if sum(not x.startswith("<") for x in c[at:at + window]) >= op.LITERALS:
                 table[tuple(c[at:at + window])].append((i, at))
@@ -45,16 +54,17 @@ def plain(docs, items, window=op.WINDOW):
     out = set()
     for d, t in docs:
         raw = words_of(t)
-        c = [canon(w) for w in raw]
+        c = forms(raw)
         hits = collections.defaultdict(set)
         for p in range(len(c) - window + 1):
             for i, at in table.get(tuple(c[p:p + window]), ()):
                 hits[i, p - at].add(at)
         for (i, diagonal), ats in hits.items():
             own = words_of(texts[i])
+            own_forms = forms(own)
             if len(ats) < min(op.RUN, -(-n[i] // 2)):
                 continue
-            met = {(own[p].lower(), raw[p + diagonal].lower()) for a in ats for p in range(a, a + window) if canon(own[p]).startswith("<")}
+            met = {(own[p].lower(), raw[p + diagonal].lower()) for a in ats for p in range(a, a + window) if own_forms[p].startswith("<")}
             if len({x for x, _ in met}) == len(met) == len({y for _, y in met}):
                 out.add((d, i))
     return out
@@ -113,7 +123,7 @@ def test_words_and_forms(spark):
     rows = df.select(op.plain_words(F.col("text")).alias("p")).withColumn("c", op.canonical(F.col("p"))).collect()
     for t, r in zip(texts, rows):
         assert r.p.split(" ") == (words_of(t) or [""])
-        assert r.c.split(" ") == ([canon(w) for w in words_of(t)] or [""])
+        assert r.c.split(" ") == (forms(words_of(t)) or [""])
 
 
 def test_empty(spark, cases):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
@@ -26,6 +28,12 @@ def clash_free(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once: a lambda's variable, which the optimizer never copies
+    into the places of its use, as it may do with a column."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected edge list of longs: rows ``(node, component)``, where
     ``component`` is the smallest node reachable. Nodes without an edge do not appear.

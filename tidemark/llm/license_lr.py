@@ -29,7 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import clash_free, stored
+from tidemark.llm.frames import clash_free, let, stored
 
 MAX_LINES = 3000
 COMMON = 0.004
@@ -84,10 +84,14 @@ def words_of(text: Column) -> Column:
 
 def grams_of(words: Column) -> Column:
     """Distinct 1- and 2-grams."""
-    n = F.size(words)
-    pairs = F.when(n >= 2, F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.concat_ws(
-        " ", F.slice(words, i, 2)))).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.concat(words, pairs))
+
+    def grams(w: Column) -> Column:
+        n = F.size(w)
+        pairs = F.when(n >= 2, F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.concat_ws(
+            " ", F.slice(w, i, 2)))).otherwise(F.array().cast("array<string>"))
+        return F.array_distinct(F.concat(w, pairs))
+
+    return let(words, grams)
 
 
 @dataclass(frozen=True)
@@ -157,7 +161,7 @@ def fit(docs: DataFrame) -> Model:
 def _temperature(scored: DataFrame) -> float:
     """The temperature of least log loss on held-out rows, over a fixed grid, in one aggregate."""
     z = vector_to_array("rawPrediction")
-    grid = [0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0]
+    grid = [0.2, 0.35, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0]
     top = F.array_max(z)
 
     def loss(t: float) -> Column:
@@ -194,8 +198,9 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
         return F.greatest(*from_templates) if len(from_templates) > 1 else from_templates[0]
 
     def scored(x: Column) -> Column:
-        grams = grams_of(words_of(x["line"]))
-        return F.struct(x["paragraph"].alias("paragraph"), grams.alias("grams"), logits(F.array_intersect(grams, vocabulary)).alias("z"))
+        return let(grams_of(words_of(x["line"])), lambda grams: F.struct(
+            x["paragraph"].alias("paragraph"), grams.alias("grams"),
+            let(F.array_intersect(grams, vocabulary), logits).alias("z")))
 
     def against_none(z: Column) -> Column:
         """The families' probability mass over that of none."""

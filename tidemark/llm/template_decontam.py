@@ -1,8 +1,8 @@
 """Benchmark decontamination by template canonicalisation. DataFrame and SQL only.
 
-A text becomes words (runs without ASCII white space, outer punctuation stripped, none left: dropped), and
-each word its canonical form: a number, a capitalised name or a unit gives way to the placeholder of its
-type, everything else is lower-cased. ``WINDOW`` consecutive canonical words are a template window. The
+A text becomes words (runs without ASCII white space, outer signs stripped, none left: dropped), and each
+word its canonical form: a number, a capitalised name or the unit after a number gives way to the
+placeholder of its type, everything else is lower-cased. ``WINDOW`` consecutive canonical words are a template window. The
 windows of the benchmark items with at least ``LITERALS`` words that are no placeholder are joined by hash
 with the windows of all documents; hits of one item in one document on one diagonal (document place less
 item place) belong together, and an item is found where a diagonal has ``RUN`` of its windows, or half of
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import clash_free, stored
+from tidemark.llm.frames import clash_free, let, stored
 
 WINDOW = 8
 LITERALS = 3
@@ -43,27 +43,34 @@ NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 _WS = r"[\x20\x09-\x0D]"
 
 
+#: The signs that are stripped from a word's ends, as a character class.
+SIGNS = r"!-/:-@\[-`{-~“”‘’«»„…–—¿¡"
+
+
 def plain_words(text: Column) -> Column:
-    """Words without outer punctuation, one space between them."""
-    edge = r"(?:[^\p{L}\p{N}%\x20\x09-\x0D]*+" + _WS + r"++)++[^\p{L}\p{N}\x20\x09-\x0D+-]*+"
-    inner = F.regexp_replace(F.concat(F.lit(" "), F.coalesce(text, F.lit("")), F.lit(" ")), edge, " ")
-    # A word of signs alone leaves a gap; one more pass closes it.
-    return F.trim(F.regexp_replace(inner, r" (?:[^\p{L}\p{N} ]+ )+", " "))
+    """Words without outer signs (a leading + or - and a trailing % stay), one space between them."""
+    begin, end = f"[{SIGNS}&&[^+-]]*+", f"[{SIGNS}&&[^%]]*+"
+    inner = F.regexp_replace(F.concat(F.lit(" "), F.coalesce(text, F.lit("")), F.lit(" ")), end + _WS + "++" + begin, " ")
+    # A word of signs alone leaves some of them, or a gap; one more pass closes it.
+    return F.trim(F.regexp_replace(inner, rf" (?:[{SIGNS}]*+ )+", " "))
 
 
 def canonical(words: Column) -> Column:
-    """The same words, as many, in canonical form."""
-    out = F.regexp_replace(words, r"(?<![^ ])[+-]?\p{N}[\p{N}.,:/-]*+%?(?![^ ])", NUM)
+    """The same words, as many, in canonical form; a unit counts as one after a number."""
+    out = F.regexp_replace(words, r"(?<![^ ])[+-]?[0-9][0-9.,:/-]*+%?(?![^ ])", NUM)
     out = F.regexp_replace(out, r"(?<![^ ])\p{Lu}\p{Ll}[^ ]*+", NAME)
-    out = F.lower(out)
-    return F.regexp_replace(out, r"(?<![^ ])(?:" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![^ ])", UNIT)
+    units = "|".join(sorted(UNITS, key=len, reverse=True))
+    return F.regexp_replace(F.lower(out), rf"{NUM} (?:{units})(?![^ ])", f"{NUM} {UNIT}")
 
 
 def _windows(words: Column, window: int) -> Column:
-    n = F.size(words)
-    return F.when(n >= window, F.transform(
-        F.sequence(F.lit(1), F.greatest(n - window + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, window)))).otherwise(
-            F.array().cast("array<bigint>"))
+    def hashes(w: Column) -> Column:
+        n = F.size(w)
+        return F.when(n >= window, F.transform(
+            F.sequence(F.lit(1), F.greatest(n - window + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, window)))).otherwise(
+                F.array().cast("array<bigint>"))
+
+    return let(words, hashes)
 
 
 def _is_slot(word: Column) -> Column:
