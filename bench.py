@@ -15,15 +15,20 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from tidemark.plans.catalog import QUERIES, log  # noqa: E402
+from tidemark.operators import decode as dc  # noqa: E402
+from tidemark.operators import fold as fo  # noqa: E402
+from tidemark.operators import reconcile as rc  # noqa: E402
+from tidemark.plans.catalog import QUERIES, SPEC, envelopes, log  # noqa: E402
 from tidemark.plans.catalog import truth as truth_rows  # noqa: E402
-from tidemark.session import local_session  # noqa: E402
+from tidemark.session import local_session, scratch_path  # noqa: E402
+from tidemark.sources import fixture as fx  # noqa: E402
+from tidemark.streaming.state import StateTable  # noqa: E402
 
 HEADLINE = [
     "fold_lsn",            # merge core: log -> current state
     "applied_events",      # running high-water-mark counters
     "batch_net_changes",   # per-batch net changes
-    "decode_envelope",     # JSON envelopes -> typed changes
+    "decode_envelope",     # log -> before images -> JSON envelopes -> typed changes
     "merge_guarded",       # state + batch guarded merge
     "resolve_on_read",     # epochs appended, compacted, folded at read
     "stream_merge",        # Structured Streaming end to end
@@ -48,7 +53,26 @@ def main() -> None:
     events = log(spark, sf_dir).count()
     live = truth_rows(spark, sf_dir).count()
 
+    # Decoding alone, over change lines written beforehand; and from these lines to the verdict.
+    lines = scratch_path(spark, "bench-lines")
+    envelopes(spark, sf_dir).write.json(lines)
+    state = StateTable(spark, scratch_path(spark, "bench-state"), SPEC)
+    state.write_epochs(fx.with_batch(log(spark, sf_dir)), "batch", "bench", fx.ARRIVAL)
+
+    def decoded():
+        rows = spark.read.json(lines, schema="slot BIGINT, pos BIGINT, dup INT, value STRING")
+        return dc.accepted(dc.decode(rows, SPEC, keep=fx.ARRIVAL), "strict")
+
+    def verdict():
+        truth = fo.fold_live(decoded(), SPEC, fo.MODE_LSN, fx.ARRIVAL)
+        return rc.summary(rc.compare(truth, state.read_live(), SPEC))
+
     times = {}
+    for name, make in (("decode_written_lines", decoded), ("recon_from_lines", verdict)):
+        make().write.format("noop").mode("overwrite").save()
+        t0 = time.perf_counter()
+        make().write.format("noop").mode("overwrite").save()
+        times[name] = round(time.perf_counter() - t0, 3)
     for name in HEADLINE:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -62,6 +86,8 @@ def main() -> None:
         "fold_lsn_events_per_sec": round(events / times["fold_lsn"]),
         "stream_merge_events_per_sec": round(events / times["stream_merge"]),
         "recon_rows_per_sec": round(live / times["recon_summary"]),
+        "decode_lines_per_sec": round(events / times["decode_written_lines"]),
+        "recon_from_lines_rows_per_sec": round(live / times["recon_from_lines"]),
     }))
 
 

@@ -1,3 +1,4 @@
+import pytest
 from test_fold import changes
 
 from tidemark.operators import fold as fo
@@ -53,6 +54,34 @@ def test_state_table_epochs_replay_and_compaction(spark, spec):
     assert live_map(st.read_live()) == {1: "1.00", 3: "4.00"}
 
 
+def test_equal_lsn_of_a_later_run_loses(spark, spec):
+    st = StateTable(spark, scratch_path(spark, "test-tie"), spec)
+    for epoch in range(4):
+        assert st.write_epoch(changes(spark, [(1, 5 if epoch == 3 else epoch, "u", 1)]), epoch, "a", ("seq",))
+    assert st.write_epoch(changes(spark, [(1, 5, "u", 2)]), 0, "b", ("seq",))
+    assert live_map(st.read_live()) == {1: "1.00"}
+    assert st.inspect().first()["snapshots"] == 5
+
+
+def test_retired_commits_are_not_read_again(spark, spec):
+    st = StateTable(spark, scratch_path(spark, "test-retire"), spec)
+    for epoch in range(5):
+        st.write_epoch(changes(spark, [(epoch, epoch + 1, "c", epoch)]), epoch, "a", ("seq",))
+    before = live_map(st.read_live())
+    st.compact()
+    base, rest = st.layout()
+    assert base and rest == []
+    assert st.retire() == 5 and st.commits() == []
+    assert live_map(st.read_live()) == before
+    assert st.write_epoch(changes(spark, [(9, 1, "c", 9)]), 0, "b", ("seq",))
+    assert [c.number for c in st.commits()] == [6] and len(live_map(st.read_live())) == 6
+
+
+def test_missing_table_raises(spark, spec):
+    with pytest.raises(FileNotFoundError):
+        StateTable(spark, scratch_path(spark, "test-nothing"), spec).read_state()
+
+
 def test_restart_keeps_high_water_mark(spark, spec):
     """A fresh process reading the state table still knows each key's LSN."""
     root = scratch_path(spark, "test-restart")

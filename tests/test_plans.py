@@ -22,7 +22,7 @@ def static_plans(spark):
 
 def test_fold_aggregates_map_side_and_shuffles_once(spark, static_plans):
     plan = static_plans(c.fold_lsn(spark, SF))
-    assert "partial_max_by" in plan
+    assert "partial_min_by" in plan
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in plan
 

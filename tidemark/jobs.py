@@ -14,7 +14,6 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import counters as co
 from .operators import decode as dc
 from .operators import fold as fo
 from .operators import reconcile as rc
@@ -24,7 +23,6 @@ from .streaming import stream as sm
 from .streaming.state import StateTable
 
 EXIT_OK, EXIT_DRIFT, EXIT_BAD_INPUT, EXIT_ENGINE = 0, 1, 2, 3
-SEQ = "_seq"
 
 
 @dataclass
@@ -55,48 +53,56 @@ class Verdict:
 
 def read_log(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """Decoded change log from JSON-lines files, strict: a rejected line fails the job.
-    ``_seq`` is the delivery position (file split order, then line order)."""
-    lines = spark.read.text(path).withColumn(SEQ, F.monotonically_increasing_id())
-    return dc.accepted(dc.decode(lines, spec, keep=(SEQ,)), "strict")
+    The delivery position is ``streaming.stream.FILE_ARRIVAL`` (file order, then line order)."""
+    lines = sm.delivered(spark.read.text(path))
+    return dc.accepted(dc.decode(lines, spec, keep=sm.FILE_ARRIVAL), "strict")
 
 
 def run(spark: SparkSession, stream_path: str, state_root: str, spec: TableSpec | None = None,
         mode: str = fo.MODE_LSN, files_per_trigger: int | None = None,
-        checkpoint: str | None = None) -> RunStats:
+        checkpoint: str | None = None, bytes_per_trigger: int | None = None) -> RunStats:
+    """Merge what is new in the stream. The counters are those of this run: of the epochs it committed,
+    or of the whole log in arrival mode, which folds all of it and replaces the table."""
     spec = spec or orders_spec()
     fo.check_mode(mode)
-    if not fs.exists(spark, stream_path):
+    if not fs.matches(spark, stream_path):
         raise FileNotFoundError(stream_path)
     state = StateTable(spark, state_root, spec)
     if mode == fo.MODE_LSN:
-        q = sm.merge_stream(sm.text_source(spark, stream_path, files_per_trigger), state, spec,
-                            checkpoint or f"{state_root.rstrip('/')}/_checkpoint", on_error="strict")
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise ValueError(str(q.exception()))
+        counts = _stream(spark, stream_path, state, spec, files_per_trigger, bytes_per_trigger,
+                         checkpoint or f"{state.root}/_checkpoint")
     else:
-        # Naive baseline: last arrival wins, written as one epoch.
+        # Negative control: last arrival wins. A later run has a longer log, so it replaces the table.
         changes = read_log(spark, stream_path, spec)
-        lake = fo.fold_state(changes, spec, fo.MODE_ARRIVAL, (SEQ,))
-        state.write_epoch(fo.state_as_changes(lake, spec), 0, "arrival")
-    flags = co.applied_flags(read_log(spark, stream_path, spec), spec, (SEQ,))
-    counts = co.merge_stats(flags).first()
-    info = state.inspect().first()
-    applied = counts["seen"] if mode == fo.MODE_ARRIVAL else counts["applied"]
-    return RunStats(delivered=counts["seen"], applied=applied, ignored=counts["seen"] - applied,
+        state.replace(fo.fold_state(changes, spec, fo.MODE_ARRIVAL, sm.FILE_ARRIVAL))
+        seen = changes.count()
+        counts = {"seen": seen, "applied": seen}
+    info = state.inspect().first() if state.exists() else {"snapshots": 0, "live_rows": 0}
+    return RunStats(delivered=counts["seen"], applied=counts["applied"], ignored=counts["seen"] - counts["applied"],
                     epochs=info["snapshots"], live_rows=info["live_rows"])
 
 
+def _stream(spark: SparkSession, stream_path: str, state: StateTable, spec: TableSpec, files: int | None,
+            size: int | None, checkpoint: str) -> dict[str, int]:
+    """Stream the new files into the state; counters summed over the epochs of this call."""
+    done: list[int] = []
+    stats = f"{state.root}/_stats"
+    sm.merge_stream(sm.text_source(spark, stream_path, files, size), state, spec, checkpoint, on_error="strict",
+                    stats_root=stats, done=done).awaitTermination()
+    if not done:
+        return {"seen": 0, "applied": 0}
+    paths = [sm.epoch_path(stats, sm.run_id(checkpoint), e) for e in done]
+    row = spark.read.parquet(*paths).agg(F.sum("accepted").alias("seen"), F.sum("applied").alias("applied")).first()
+    return {"seen": row["seen"] or 0, "applied": row["applied"] or 0}
+
+
 def reconcile(spark: SparkSession, stream_path: str, state_root: str,
               spec: TableSpec | None = None, sample: int = rc.SAMPLE_JSON) -> Verdict:
     spec = spec or orders_spec()
-    if not fs.exists(spark, stream_path):
+    if not fs.matches(spark, stream_path):
         raise FileNotFoundError(stream_path)
-    if not fs.exists(spark, f"{state_root.rstrip('/')}/epochs") and not fs.exists(
-            spark, f"{state_root.rstrip('/')}/base"):
-        raise FileNotFoundError(f"no state table at {state_root}")
-    truth = fo.fold_live(read_log(spark, stream_path, spec), spec, fo.MODE_LSN, (SEQ,))
-    lake = StateTable(spark, state_root, spec).read_live()
+    lake = StateTable(spark, state_root, spec).read_live()  # raises if there is no table
+    truth = fo.fold_live(read_log(spark, stream_path, spec), spec, fo.MODE_LSN, sm.FILE_ARRIVAL)
     keys = rc.compare(truth, lake, spec).persist()
     try:
         row = rc.summary(keys).first().asDict()
@@ -116,6 +122,14 @@ def inspect(spark: SparkSession, state_root: str, spec: TableSpec | None = None)
     return StateTable(spark, state_root, spec).inspect().first().asDict()
 
 
+def merge_topic(spark: SparkSession, bootstrap: str, topic: str, table: str, checkpoint: str,
+                starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None,
+                available_now: bool = False, spec: TableSpec | None = None) -> None:
+    """Run the change topic into a catalog table until it is stopped (or, available now, caught up)."""
+    sm.merge_topic(spark, bootstrap, topic, table, checkpoint, spec or orders_spec(), starting_offsets,
+                   max_offsets_per_trigger, "strict", available_now).awaitTermination()
+
+
 # -- rendering -------------------------------------------------------------------------------------
 
 def render_stats(s: RunStats, mode: str) -> str:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import DELETE_OP
 from ..spec import DELETED, LSN, TableSpec
 from . import fold as fo
-from .ordered import ARRIVAL_CHUNK, BATCH_CHUNK, chunk_of, prior_max
+from .ordered import ARRIVAL_CHUNK, BATCH_CHUNK, chunk_at, chunk_of, prior_max
 
 # Net-change actions and probe verdicts.
 ACTION_UPSERT = "upsert"
@@ -27,10 +27,14 @@ VERDICT_STALE = "stale"
 
 
 def applied_flags(changes: DataFrame, spec: TableSpec, arrival: Sequence[str],
-                  chunk_span: int = ARRIVAL_CHUNK) -> DataFrame:
-    """Each delivered event plus ``_prior_lsn`` (high-water-mark before it) and ``applied``."""
+                  chunk_span: int = ARRIVAL_CHUNK, position: str | None = None) -> DataFrame:
+    """Each delivered event plus ``_prior_lsn`` (high-water-mark before it) and ``applied``.
+
+    ``position`` is the arrival column that counts deliveries, the first one by default; with
+    Kafka's ``(partition, offset)`` it is ``offset``. The arrival columns before it tag its chunks.
+    """
     flagged = prior_max(changes, [spec.key], arrival, F.col(LSN), "_prior_lsn",
-                        chunk_of(arrival[0], chunk_span))
+                        chunk_at(arrival, position or arrival[0], chunk_span))
     return flagged.withColumn(
         "applied", F.col("_prior_lsn").isNull() | (F.col(LSN) > F.col("_prior_lsn")))
 
@@ -88,8 +92,10 @@ def against_prior_batches(changes: DataFrame, spec: TableSpec, batch: str = "bat
     """Every delivered event next to its key's stored state as of the end of the previous batch:
     ``stored_lsn``, ``stored_deleted`` and ``verdict`` ('new' | 'apply' | 'stale')."""
     key = spec.key
+    # Fixed-width buffers only, so the row-level aggregate is a hash aggregate.
     per_batch = changes.groupBy(batch, key).agg(
-        F.max(F.struct(F.col(LSN).alias("l"), (F.col("op") == DELETE_OP).alias("d"))).alias("_m"))
+        F.max(LSN).alias("_l"), F.max_by(F.col("op") == DELETE_OP, F.col(LSN)).alias("_d")).select(
+            batch, key, F.struct(F.col("_l").alias("l"), F.col("_d").alias("d")).alias("_m"))
     stored = prior_max(per_batch, [key], [batch], F.col("_m"), "_stored", chunk_of(batch, chunk_span))
     stored = stored.select(batch, key, F.col("_stored.l").alias("stored_lsn"),
                            F.col("_stored.d").alias("stored_deleted"))
@@ -99,16 +105,21 @@ def against_prior_batches(changes: DataFrame, spec: TableSpec, batch: str = "bat
 def probe_state(batch_changes: DataFrame, state: DataFrame, spec: TableSpec) -> DataFrame:
     """Each change of one incoming batch next to the stored state of its key.
 
-    The state is first cut down to the batch's keys with a left-semi join, so only matching
-    state rows reach the probe join.
+    One left join; of the state only key, LSN and the delete flag are read.
     """
     key = spec.key
-    keys = batch_changes.select(key)
-    stored = (state.join(keys, key, "left_semi")
-              .select(key, F.col(LSN).alias("stored_lsn"), F.col(DELETED).alias("stored_deleted")))
+    stored = state.select(key, F.col(LSN).alias("stored_lsn"), F.col(DELETED).alias("stored_deleted"))
     return with_verdict(batch_changes.join(stored, key, "left"))
 
 
+def applied_to_state(flags: DataFrame, state: DataFrame, spec: TableSpec) -> DataFrame:
+    """Flags of one batch corrected by the stored state: an event is applied iff its LSN beats both
+    the stored one and all earlier ones of its key in the batch."""
+    probed = probe_state(flags, state, spec)
+    beaten = F.greatest(F.col("_prior_lsn"), F.col("stored_lsn"))  # nulls are skipped
+    return probed.withColumn("applied", beaten.isNull() | (F.col(LSN) > beaten))
+
+
 def with_verdict(df: DataFrame) -> DataFrame:
     return df.withColumn(
         "verdict",

@@ -6,6 +6,10 @@ must carry a non-null key; deletes drop ``after``; event time is envelope ``ts_m
 ``source.ts_ms``, else 0, with zero counting as missing. A ``{"schema", "payload"}`` wrapper is
 unwrapped; null and blank lines are skipped. Every scalar is parsed as text and coerced with
 ``try_cast`` / half-even rounding, so "5" is a valid LSN and "12.345" becomes 12.34.
+
+A line holds exactly one JSON object. ``from_json`` alone would read the first value of a line and
+ignore what follows, so the line is parsed as the first element of an array that ends in a sentinel:
+only a single well-formed object leaves the array with these two elements.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import DELETE_OP, coerce_text, event_time, is_legal_op, normalise_op
 from ..spec import LSN, TableSpec
@@ -28,29 +33,41 @@ NO_IMAGE = "no_image"
 NO_KEY = "no_key"
 BAD_VALUE = "bad_value"
 REASON = "_reject"
+_END = "_end"
+BEFORE = "before_"
 
 ON_ERROR = ("strict", "quarantine")
 
 
+def _with_object(df: DataFrame, text: F.Column, spec: TableSpec, name: str) -> DataFrame:
+    """Add the envelope that ``text`` consists of; null unless it is one JSON object and nothing else."""
+    schema = T.ArrayType(spec.envelope_parse_schema(_END))
+    parsed = F.from_json(F.concat(F.lit("["), text, F.lit(f',{{"{_END}":"1"}}]')), schema)
+    df = _evaluate_once(df, parsed, "_a")
+    first, last = F.get("_a", F.lit(0)), F.get("_a", F.lit(1))
+    alone = (F.size("_a") == 2) & (last.getField(_END) == "1") & first.getField(_END).isNull()
+    return df.withColumn(name, F.when(alone, first)).drop("_a")
+
+
 def decode(lines: DataFrame, spec: TableSpec, value: str = "value",
-           keep: Sequence[str] = ()) -> DataFrame:
+           keep: Sequence[str] = (), before: bool = False) -> DataFrame:
     """Every input line -> one row: ``keep...``, the typed spec columns, ``op`` (u/d), ``_lsn``,
     ``ts_ms``, ``_reject`` (ok | skipped | bad_json | unknown_op | bad_lsn | no_image | no_key |
-    bad_value) and the raw ``value`` text."""
-    schema = spec.envelope_parse_schema("_corrupt")
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    bad_value) and the raw ``value`` text. With ``before``, the typed prior image as well, in
+    ``before_<column>``."""
     text = F.col(value).cast("string")
-    parsed = _evaluate_once(lines.select(*keep, text.alias(value)),
-                            F.from_json(F.col(value), schema, options), "_o")
-    unwrapped = F.when(F.col("_o.payload").isNotNull(),
-                       F.from_json(F.col("_o.payload"), schema, options)).otherwise(F.col("_o"))
-    env = _evaluate_once(parsed, unwrapped, "e").drop("_o")
+    outer = _with_object(lines.select(*keep, text.alias(value)), F.col(value), spec, "_o")
+    inner = _with_object(outer, F.col("_o.payload"), spec, "_i")
+    unwrapped = F.when(F.col("_o.payload").isNotNull(), F.col("_i")).otherwise(F.col("_o"))
+    env = _evaluate_once(inner, unwrapped, "e").drop("_o", "_i")
 
     op = F.col("e.op")
     is_delete = op == DELETE_OP
     image = F.when(is_delete, F.col("e.before")).otherwise(F.col("e.after"))
     lsn = F.col("e.source.lsn").try_cast("bigint")
-    typed = {c.name: coerce_text(image.getField(c.name), c) for c in spec.columns}
+    # Typed values are read by the reject rules, by every filter on the result and by the result.
+    env = _evaluate_once(env, F.struct(*[coerce_text(image.getField(c.name), c).alias(c.name) for c in spec.columns]), "t")
+    typed = {c.name: F.col("t").getField(c.name) for c in spec.columns}
     bad_value = F.lit(False)
     for c in spec.columns:
         if c.name != spec.key and c.type != "str":
@@ -59,7 +76,7 @@ def decode(lines: DataFrame, spec: TableSpec, value: str = "value",
     blank = F.col(value).isNull() | (F.trim(F.col(value)) == "")
     reason = (
         F.when(blank, F.lit(SKIPPED))
-        .when(F.col("e").isNull() | F.col("e._corrupt").isNotNull(), F.lit(BAD_JSON))
+        .when(F.col("e").isNull(), F.lit(BAD_JSON))
         .when(op.isNull() | ~is_legal_op(op), F.lit(UNKNOWN_OP))
         .when(lsn.isNull(), F.lit(BAD_LSN))
         .when(image.isNull(), F.lit(NO_IMAGE))
@@ -67,6 +84,8 @@ def decode(lines: DataFrame, spec: TableSpec, value: str = "value",
         .when(bad_value, F.lit(BAD_VALUE))
         .otherwise(F.lit(OK))
     )
+    env = _evaluate_once(env, reason, REASON)
+    images = [coerce_text(F.col("e.before").getField(c.name), c).alias(BEFORE + c.name) for c in spec.columns] if before else []
     return env.select(
         *keep,
         typed[spec.key].alias(spec.key),
@@ -74,7 +93,8 @@ def decode(lines: DataFrame, spec: TableSpec, value: str = "value",
         normalise_op(op).alias("op"),
         lsn.alias(LSN),
         event_time(F.col("e.ts_ms"), F.col("e.source.ts_ms")).alias("ts_ms"),
-        reason.alias(REASON),
+        *images,
+        F.col(REASON),
         F.col(value),
     )
 

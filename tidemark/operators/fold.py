@@ -5,7 +5,7 @@ fold(state UNION batch)``: order independence, replay safety and non-resurrectio
 follow by construction, and one function serves batch folds, micro-batch merges, compaction and
 reconciliation.
 
-It is one ``groupBy(key).agg(max_by(...))``: Spark aggregates partially on the map side, so each
+It is one ``groupBy(key).agg(min_by(...))``: Spark aggregates partially on the map side, so each
 task ships at most one row per key it saw, and a hot key costs one row per task, not one task.
 """
 
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from ..functions.exprs import DELETE_OP, normalise_op
 from ..spec import DELETED, LSN, TableSpec
 
-# Merge modes. "lsn" is correct; "arrival" (last arrival wins) is the naive
-# baseline kept so reconciliation can show the drift it causes.
+# Merge modes. Only "lsn" gives the source's state; "arrival" is the negative control
+# that the reconciliation queries measure drift on.
 MODE_LSN = "lsn"
 MODE_ARRIVAL = "arrival"
 MODES = (MODE_LSN, MODE_ARRIVAL)
@@ -29,20 +29,22 @@ MODES = (MODE_LSN, MODE_ARRIVAL)
 
 def check_mode(mode: str) -> str:
     if mode not in MODES:
-        raise ValueError(f"unknown merge mode {mode!r}")
+        raise ValueError(f"merge mode {mode!r} is none of {', '.join(MODES)}")
     return mode
 
 
-def ordering(mode: str, arrival: Sequence[str]) -> SparkColumn:
-    """Sort key whose maximum is the winning change.
+def winner(payload: SparkColumn, mode: str, arrival: Sequence[str]) -> SparkColumn:
+    """Aggregate: the payload of the winning change. Arrival columns may have any orderable type
+    (Kafka partition and offset, file time and name).
 
-    lsn: greatest LSN; on an LSN tie the first arrival wins (arrival columns negated).
-    arrival: last arrival wins, LSN ignored. Arrival columns must be numeric.
+    lsn: greatest LSN; on an LSN tie the first arrival wins.
+    arrival: last arrival wins, LSN ignored.
     """
     check_mode(mode)
+    arrived = [F.col(a).alias(f"a{i}") for i, a in enumerate(arrival)]
     if mode == MODE_LSN:
-        return F.struct(F.col(LSN).alias("l"), *[(-F.col(a)).alias(f"a{i}") for i, a in enumerate(arrival)])
-    return F.struct(*[F.col(a).alias(f"a{i}") for i, a in enumerate(arrival)])
+        return F.min_by(payload, F.struct((-F.col(LSN)).alias("l"), *arrived))
+    return F.max_by(payload, F.struct(*arrived))
 
 
 def _payload(spec: TableSpec, extra: Sequence[str] = ()) -> SparkColumn:
@@ -62,7 +64,7 @@ def fold_state(changes: DataFrame, spec: TableSpec, mode: str = MODE_LSN,
     """
     keys = [*by, spec.key]
     win = changes.groupBy(*keys).agg(
-        F.max_by(_payload(spec, extra), ordering(mode, arrival)).alias("_w"))
+        winner(_payload(spec, extra), mode, arrival).alias("_w"))
     return win.select(*keys, *[F.col(f"_w.{n}").alias(n) for n in spec.value_names],
                       F.col(f"_w.{LSN}").alias(LSN), F.col(f"_w.{DELETED}").alias(DELETED),
                       *[F.col(f"_w.{e}").alias(e) for e in extra])
@@ -85,7 +87,7 @@ def dedup_latest(changes: DataFrame, spec: TableSpec, by: Sequence[str] = ("batc
     keys = [*by, spec.key]
     payload = F.struct(normalise_op("op").alias("op"),
                        *[F.col(n).alias(n) for n in spec.value_names], F.col(LSN).alias(LSN))
-    win = changes.groupBy(*keys).agg(F.max_by(payload, ordering(MODE_LSN, arrival)).alias("_w"))
+    win = changes.groupBy(*keys).agg(winner(payload, MODE_LSN, arrival).alias("_w"))
     return win.select(*keys, "_w.*")
 
 

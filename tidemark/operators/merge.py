@@ -37,7 +37,7 @@ def net_changes(state: DataFrame, batch: DataFrame, spec: TableSpec,
     key where its LSN beats the stored one (or the key is new). Adds ``action``."""
     key = spec.key
     winners = fo.fold_state(batch, spec, fo.MODE_LSN, arrival)
-    stored = state.select(key, F.col(LSN).alias("_stored_lsn")).join(winners.select(key), key, "left_semi")
+    stored = state.select(key, F.col(LSN).alias("_stored_lsn"))
     probed = winners.join(stored, key, "left")
     changed = probed.where(F.col("_stored_lsn").isNull() | (F.col(LSN) > F.col("_stored_lsn")))
     return changed.drop("_stored_lsn").withColumn(

@@ -31,6 +31,14 @@ def chunk_of(col: str, span: int) -> SparkColumn:
     return F.floor(F.col(col) / F.lit(span)).cast("bigint")
 
 
+def chunk_at(order: Sequence[str], position: str, span: int) -> SparkColumn:
+    """Chunk along ``order`` of which ``position`` is the column that counts: the columns before it,
+    then its value in steps of ``span``. Never decreases along the order."""
+    before = list(order)[:list(order).index(position)]
+    step = chunk_of(position, span)
+    return F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(before)], step.alias("step")) if before else step
+
+
 def prior_max(df: DataFrame, by: Sequence[str], order: Sequence[str], value: SparkColumn,
               out: str, chunk: SparkColumn, strictly_lower: bool = False) -> DataFrame:
     """``df`` plus column ``out``: max of ``value`` over earlier rows (by ``order``) of the same

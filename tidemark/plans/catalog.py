@@ -23,7 +23,7 @@ from ..operators import reconcile as rc
 from ..functions.exprs import coerce_text
 from ..sources import fixture as fx
 from ..session import scratch_path
-from ..spec import LSN, orders_spec
+from ..spec import LSN, Column, TableSpec, orders_spec
 
 SPEC = orders_spec()
 ROW = [SPEC.key, *SPEC.value_names, LSN]
@@ -201,7 +201,7 @@ def decode_event_time(spark, sf_dir):
 # Fault injection for decode_rejects, by position modulo FAULT_EVERY.
 FAULT_EVERY = 997
 FAULTS = {1: "bad_json", 2: "unknown_op", 3: "bad_lsn", 4: "no_image", 5: "no_key",
-          6: "bad_value", 7: "blank", 8: "null"}
+          6: "bad_value", 7: "blank", 8: "null", 9: "trailing text", 10: "two envelopes"}
 
 
 @query("decode_rejects")
@@ -231,6 +231,7 @@ def decode_rejects(spark, sf_dir):
     truncated = F.expr("substring(_t, 1, length(_t) - 1)")
     lines = rendered.select(
         F.when(fault == 1, truncated).when(fault == 7, F.lit("   ")).when(fault == 8, F.lit(None))
+        .when(fault == 9, F.concat("_t", F.lit(" junk"))).when(fault == 10, F.concat("_t", "_t"))
         .otherwise(F.col("_t")).alias("value"))
     return dc.reject_counts(dc.decode(lines, SPEC)).select("reason", "n")
 
@@ -401,23 +402,23 @@ def bootstrap_from_snapshot(spark, sf_dir):
                         fo.MODE_LSN, fx.ARRIVAL)
 
 
-# Change files written for the streaming queries, and files per trigger.
-STREAM_FILES = 16
-FILES_PER_TRIGGER = 2
+# Fixed value: input bytes of a micro-batch of the streaming queries.
+BYTES_PER_TRIGGER = 32 << 20
 
 
 def stream_into(spark, src_dir: str, st: StateTable, checkpoint: str) -> None:
-    q = sm.merge_stream(sm.text_source(spark, src_dir, FILES_PER_TRIGGER), st, SPEC, checkpoint,
-                        on_error="strict")
+    q = sm.merge_stream(sm.text_source(spark, src_dir, max_bytes_per_trigger=BYTES_PER_TRIGGER), st, SPEC,
+                        checkpoint, on_error="strict")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
 
 def write_change_files(spark, sf_dir) -> str:
+    """The envelopes as text files, one for each of their natural partitions: the merge does not
+    depend on the order of delivery, so they need not be sorted into files."""
     src_dir = scratch_path(spark, "changes")
-    (envelopes(spark, sf_dir).repartitionByRange(STREAM_FILES, "slot").select("value")
-     .write.mode("overwrite").text(src_dir))
+    envelopes(spark, sf_dir).select("value").write.mode("overwrite").text(src_dir)
     return src_dir
 
 
@@ -450,3 +451,100 @@ def recon_parity(spark, sf_dir):
     epoch from the delivered log against the truth folded from the same log."""
     lake = bulk_state(spark, sf_dir).read_live()
     return rc.summary(rc.compare(truth(spark, sf_dir), lake, SPEC))
+
+
+# -- Kafka coordinates, several runs, streaming verdicts, a second table -------------------------
+
+# Partitions of the change topic; offsets rise with the slot within a partition.
+TOPIC_PARTITIONS = 4
+KAFKA = ("partition", "offset")
+
+
+def topic(spark, sf_dir):
+    """The log as a change topic keyed by the primary key: arrival ``(partition, offset)``."""
+    step = F.lit(2 * fx.EVENTS_PER_KEY)
+    return (fx.with_batch(log(spark, sf_dir))
+            .withColumn("partition", (F.col(SPEC.key) % TOPIC_PARTITIONS).cast("int"))
+            .withColumn("offset", F.col("slot") * step + (F.col("pos") % fx.EVENTS_PER_KEY) * 2 + F.col("dup")))
+
+
+@query("applied_events_partitioned")
+def applied_events_partitioned(spark, sf_dir):
+    flags_ = co.applied_flags(topic(spark, sf_dir), SPEC, KAFKA, position="offset")
+    return flags_.select(*KAFKA, SPEC.key, LSN, "applied")
+
+
+@query("merge_batches_kafka_shape")
+def merge_batches_kafka_shape(spark, sf_dir):
+    """What the catalog writer does for each batch of a topic: one change per key, merged by LSN."""
+    latest = fo.dedup_latest(topic(spark, sf_dir), SPEC, ("batch",), KAFKA)
+    return fo.fold_live(latest, SPEC, fo.MODE_LSN, ("batch",))
+
+
+@query("state_two_runs")
+def state_two_runs(spark, sf_dir):
+    """Two runs whose epochs both start at 0: the second also redelivers events of the first with
+    their LSN and another payload, which must change nothing, before and after compaction."""
+    early, late = halves(fx.with_batch(log(spark, sf_dir)))
+    forged = early.where((F.col("pos") % fx.REDELIVER_EVERY == 0) & (F.col("op") != "d")).withColumn(
+        "amount", (F.col("amount") + 1000).cast("decimal(18,2)")).withColumn("batch", F.lit(0).cast("bigint"))
+    st = StateTable(spark, scratch_path(spark, "state"), SPEC)
+    st.write_epochs(early, "batch", "first", fx.ARRIVAL)
+    st.write_epochs(late.withColumn("batch", F.col("batch") % 3).unionByName(forged), "batch", "second", fx.ARRIVAL)
+    st.compact()
+    st.retire()
+    st.write_epoch(forged, 0, "third", fx.ARRIVAL)
+    return st.read_live()
+
+
+def rounds(spark, sf_dir):
+    changes = fx.with_batch(log(spark, sf_dir))
+    last = changes.agg(F.max("batch")).scalar()
+    return changes.withColumn("round", F.floor(F.col("batch") * F.lit(ROUNDS) / (last + F.lit(1))).cast("int"))
+
+
+@query("epoch_verdicts")
+def epoch_verdicts(spark, sf_dir):
+    """Per micro-batch, its events by their verdict against the state stored before it, and how many
+    of them were applied (the stored state and earlier events of the batch both count)."""
+    changes = rounds(spark, sf_dir)
+    st = StateTable(spark, scratch_path(spark, "state"), SPEC)
+    out = None
+    for r in range(ROUNDS):
+        batch = changes.where(F.col("round") == r)
+        stored = st.read_state() if r else spark.createDataFrame([], SPEC.state_schema())
+        seen = co.applied_to_state(co.applied_flags(batch, SPEC, fx.ARRIVAL), stored, SPEC)
+        counts = seen.groupBy("round", "verdict").agg(F.count(F.lit(1)).alias("n"), F.count_if("applied").alias("n_applied"))
+        out = counts if out is None else out.unionByName(counts)
+        st.write_epoch(batch, r, "seq", fx.ARRIVAL)
+    return out
+
+
+@query("decode_before_images")
+def decode_before_images(spark, sf_dir):
+    """The prior images that the envelopes carry, as decoded and typed from the text."""
+    decoded = dc.accepted(dc.decode(envelopes(spark, sf_dir), SPEC, keep=fx.ARRIVAL, before=True), "strict")
+    return decoded.select(*fx.ARRIVAL, LSN, *[dc.BEFORE + n for n in SPEC.column_names])
+
+
+TICKETS = TableSpec("tickets", "ticket", (Column("ticket", "str"), Column("opened", "ts"), Column("note", "str"),
+                                          Column("fee", "decimal", 3)), "fee")
+
+
+@query("fold_second_spec")
+def fold_second_spec(spark, sf_dir):
+    """Another table through JSON and back: a string key, a timestamp, money of three places. Each order
+    is a ticket of two versions, sent in reverse; every fifth one is deleted in the second."""
+    orders = fx.read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("bigint").alias("k"), F.col(
+        "o_totalprice").cast("decimal(18,2)").alias("p"), F.explode(F.array(F.lit(1), F.lit(0))).alias("v"))
+    k, v = F.col("k"), F.col("v")
+    gone = (v == 1) & (k % 5 == 0)
+    image = F.struct(
+        F.concat(F.lit("T-"), k.cast("string")).alias("ticket"), (F.lit(1_600_000_000_000) + k * 1000 + v).alias("opened"),
+        F.when(k % 2 == 0, F.lit("even \"quoted\"")).alias("note"),
+        ((F.col("p") + v) / 8).cast("decimal(18,6)").cast("string").alias("fee"))
+    env = F.struct(F.when(gone, F.lit("d")).otherwise(F.lit("u")).alias("op"), F.when(gone, image).alias("before"),
+                   F.when(~gone, image).alias("after"), F.struct((k * 2 + v).alias("lsn")).alias("source"))
+    lines = orders.select(F.to_json(env).alias("value"), k.alias("row"))
+    changes = dc.accepted(dc.decode(lines, TICKETS, keep=("row",)), "strict")
+    return fo.fold_live(changes, TICKETS, fo.MODE_LSN, ("row",))

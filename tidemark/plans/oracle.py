@@ -183,7 +183,8 @@ SELECT reason, count(*) AS n FROM (
     WHEN 1 THEN 'bad_json' WHEN 2 THEN 'unknown_op' WHEN 3 THEN 'bad_lsn'
     WHEN 4 THEN 'no_image' WHEN 5 THEN 'no_key'
     WHEN 6 THEN CASE WHEN op = 'd' THEN 'ok' ELSE 'bad_value' END
-    WHEN 7 THEN 'skipped' WHEN 8 THEN 'skipped' ELSE 'ok' END AS reason
+    WHEN 7 THEN 'skipped' WHEN 8 THEN 'skipped'
+    WHEN 9 THEN 'bad_json' WHEN 10 THEN 'bad_json' ELSE 'ok' END AS reason
   FROM L) GROUP BY reason"""))
 
 # -- typed projection and reconciliation ---------------------------------------------------------
@@ -215,9 +216,9 @@ SELECT 'source' AS side, order_id, customer_id, status, amount, updated_ms FROM
 UNION ALL
 SELECT 'lake' AS side, order_id, customer_id, status, amount, updated_ms FROM A"""))
 register("recon_keys", with_log(*RECON_CTES, final="SELECT order_id, class, drift FROM K"))
-register("recon_missing", with_log(*FOLD_CTES, final="""
-SELECT order_id, CAST(abs(COALESCE(amount, 0)) AS DECIMAL(38,2)) AS drift
-FROM T WHERE order_id % 101 = 0"""))
+register("recon_missing", with_log(*FOLD_CTES, "LOSSY AS (SELECT * FROM T WHERE order_id % 101 <> 0)", final="""
+SELECT t.order_id, CAST(abs(COALESCE(t.amount, 0) - COALESCE(l.amount, 0)) AS DECIMAL(38,2)) AS drift
+FROM T t FULL JOIN LOSSY l ON t.order_id = l.order_id WHERE l.order_id IS NULL"""))
 register("recon_extra", with_log(*RECON_CTES, final="SELECT order_id, drift FROM K WHERE class = 'extra'"))
 register("recon_mismatch", with_log(*RECON_CTES, final="""
 SELECT order_id, source_value, lake_value, drift FROM K WHERE class = 'mismatch'"""))
@@ -254,9 +255,65 @@ register("bootstrap_from_snapshot", with_log(
 SELECT order_id, customer_id, status, amount, updated_ms,
        CASE WHEN _lsn <= (SELECT s FROM SN) THEN (SELECT s FROM SN) ELSE _lsn END AS _lsn
 FROM T"""))
-register("recon_parity", with_log(*FOLD_CTES, final="""
-SELECT count(*) AS rows_source, count(*) AS rows_lake, CAST(0 AS BIGINT) AS missing,
-       CAST(0 AS BIGINT) AS extra, CAST(0 AS BIGINT) AS mismatch,
-       CAST(0 AS BIGINT) AS duplicate_in_lake, CAST(0 AS DECIMAL(38,2)) AS drift,
-       'parity' AS verdict
-FROM T"""))
+# The lake of a correct merge, computed another way: per key the greatest LSN by aggregate, then its row.
+register("recon_parity", with_log(
+    *FOLD_CTES,
+    "MX AS (SELECT order_id, max(_lsn) AS m FROM L GROUP BY order_id)",
+    """B AS (SELECT DISTINCT L.order_id, customer_id, status, amount, updated_ms FROM L JOIN MX
+  ON L.order_id = MX.order_id AND L._lsn = MX.m WHERE op <> 'd')""",
+    """P AS (
+  SELECT t.order_id AS s, b.order_id AS l, t.amount AS sa, b.amount AS la,
+    (t.customer_id IS DISTINCT FROM b.customer_id OR t.status IS DISTINCT FROM b.status
+     OR t.amount IS DISTINCT FROM b.amount OR t.updated_ms IS DISTINCT FROM b.updated_ms) AS differs
+  FROM T t FULL JOIN B b ON t.order_id = b.order_id)""",
+    final="""
+SELECT count(s) AS rows_source, count(l) AS rows_lake,
+       count(*) FILTER (WHERE l IS NULL) AS missing, count(*) FILTER (WHERE s IS NULL) AS extra,
+       count(*) FILTER (WHERE s IS NOT NULL AND l IS NOT NULL AND differs) AS mismatch,
+       (SELECT count(*) FROM (SELECT order_id FROM B GROUP BY order_id HAVING count(*) > 1)) AS duplicate_in_lake,
+       CAST(COALESCE(sum(abs(COALESCE(sa, 0) - COALESCE(la, 0))), 0) AS DECIMAL(38,2)) AS drift,
+       CASE WHEN count(*) FILTER (WHERE l IS NULL OR s IS NULL OR differs) = 0 THEN 'parity' ELSE 'drift' END AS verdict
+FROM P"""))
+
+# -- Kafka coordinates, several runs, streaming verdicts, a second table -------------------------
+
+register("merge_batches_kafka_shape", ORACLE["fold_lsn"])
+register("state_two_runs", ORACLE["fold_lsn"])
+register("applied_events_partitioned", with_log(
+    f"""TP AS (
+  SELECT CAST(order_id % 4 AS INTEGER) AS partition, slot * {2 * fx.EVENTS_PER_KEY} + (pos % {fx.EVENTS_PER_KEY}) * 2 + dup AS "offset",
+         order_id, _lsn FROM L)""",
+    """TW AS (
+  SELECT *, max(_lsn) OVER (PARTITION BY order_id ORDER BY partition, "offset"
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior FROM TP)""",
+    final="""SELECT partition, "offset", order_id, _lsn, (prior IS NULL OR _lsn > prior) AS applied FROM TW"""))
+register("epoch_verdicts", with_log(
+    *FLAG_CTES,
+    """RD AS (
+  SELECT *, CAST(floor(batch * 4 / ((SELECT max(batch) FROM FL) + 1)) AS INTEGER) AS round FROM FL)""",
+    "RM AS (SELECT round, order_id, max(_lsn) AS m FROM RD GROUP BY round, order_id)",
+    """RV AS (
+  SELECT r.round, r.applied, (SELECT max(m) FROM RM WHERE RM.order_id = r.order_id AND RM.round < r.round) AS stored, r._lsn
+  FROM RD r)""",
+    final="""
+SELECT round, CASE WHEN stored IS NULL THEN 'new' WHEN _lsn > stored THEN 'apply' ELSE 'stale' END AS verdict,
+       count(*) AS n, count(*) FILTER (WHERE applied) AS n_applied FROM RV GROUP BY 1, 2"""))
+register("decode_before_images", with_log(
+    """BI AS (
+  SELECT order_id, _lsn, lag(op) OVER w AS pop, lag(order_id) OVER w AS pk, lag(customer_id) OVER w AS pc,
+         lag(status) OVER w AS ps, lag(amount) OVER w AS pa, lag(updated_ms) OVER w AS pu
+  FROM L WHERE dup = 0 WINDOW w AS (PARTITION BY order_id ORDER BY _lsn))""",
+    final="""
+SELECT L.slot, L.pos, L.dup, L._lsn, CASE WHEN pop <> 'd' THEN pk END AS before_order_id,
+  CASE WHEN pop <> 'd' THEN pc END AS before_customer_id, CASE WHEN pop <> 'd' THEN ps END AS before_status,
+  CASE WHEN pop <> 'd' THEN pa END AS before_amount, CASE WHEN pop <> 'd' THEN pu END AS before_updated_ms
+FROM L JOIN BI ON L._lsn = BI._lsn"""))
+ORACLE["fold_second_spec"] = """
+WITH o AS (
+  SELECT CAST(o_orderkey AS BIGINT) AS k, CAST(o_totalprice AS DECIMAL(18,2)) AS p, unnest([0, 1]) AS v FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY v DESC) AS rn FROM o)
+SELECT 'T-' || k AS ticket, make_timestamp((1600000000000 + k * 1000 + v) * 1000) AS opened,
+  CASE WHEN k % 2 = 0 THEN 'even "quoted"' END AS note,
+  CAST(round_even(CAST((p + v) AS DECIMAL(18,6)) * CAST(0.125 AS DECIMAL(4,3)), 3) AS DECIMAL(18,3)) AS fee,
+  k * 2 + v AS _lsn
+FROM r WHERE rn = 1 AND k % 5 <> 0"""

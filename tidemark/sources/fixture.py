@@ -24,7 +24,7 @@ DELAY_ADD = 12345
 DELAY_MOD = 2147483647
 DISORDER = 600
 REDELIVER_EVERY = 50
-TS_BASE_MS = 1_700_000_000_000
+TS_BASE_MS = 1_650_000_000_000
 TS_STEP_MS = 1000
 BATCH_SPAN = 500
 DELIVERY_ORDERINGS = 3

@@ -1,15 +1,12 @@
 """Minimal file-system probes (metadata only; no data passes through the driver).
 
-Through Hadoop's FileSystem API when the session has a JVM gateway, so any URI the cluster can
-write works (HDFS, object stores, local); plain local paths otherwise (e.g. a Spark Connect
-client on the same host).
+Through Hadoop's FileSystem API, so any URI the cluster can write works (HDFS, object stores, local). A
+client without a JVM gateway cannot see the cluster's storage, and its own disk is not that storage: the
+probes then raise instead of reporting nothing.
 """
 
 from __future__ import annotations
 
-import os
-from urllib.parse import urlparse
-
 from pyspark.sql import SparkSession
 
 
@@ -17,29 +14,28 @@ def _hadoop(spark: SparkSession, path: str):
     try:
         sc = spark.sparkContext
         jvm = sc._jvm
-    except Exception:  # noqa: BLE001 - no JVM gateway in this client
-        return None
-    if jvm is None:
-        return None
+    except Exception as error:  # noqa: BLE001 - whatever a client without a gateway raises
+        raise RuntimeError(f"cannot probe {path!r}: this session has no JVM gateway") from error
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
 
 
-def _local(path: str) -> str:
-    u = urlparse(path)
-    if u.scheme not in ("", "file"):
-        raise OSError(f"cannot probe {path!r} without a JVM gateway")
-    return u.path if u.scheme else path
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    h = _hadoop(spark, path)
-    if h is None:
-        return os.path.exists(_local(path))
-    p, fs = h
+    p, fs = _hadoop(spark, path)
     return bool(fs.exists(p))
 
 
+def matches(spark: SparkSession, path: str) -> bool:
+    """True if anything is at ``path``, which may be a glob."""
+    p, fs = _hadoop(spark, path)
+    return bool(fs.globStatus(p))
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop(spark, path)
+    return bool(fs.exists(p)) and bool(fs.getFileStatus(p).isFile())
+
+
 def committed(spark: SparkSession, path: str) -> bool:
     """True once a Spark write to ``path`` has committed (its ``_SUCCESS`` marker exists)."""
     return exists(spark, f"{path.rstrip('/')}/_SUCCESS")
@@ -47,13 +43,18 @@ def committed(spark: SparkSession, path: str) -> bool:
 
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-directories of ``path`` (empty if it does not exist)."""
-    h = _hadoop(spark, path)
-    if h is None:
-        local = _local(path)
-        if not os.path.isdir(local):
-            return []
-        return sorted(n for n in os.listdir(local) if os.path.isdir(os.path.join(local, n)))
-    p, fs = h
+    p, fs = _hadoop(spark, path)
     if not fs.exists(p):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+
+
+def committed_children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the committed sub-directories of ``path``, by one glob."""
+    p, fs = _hadoop(spark, f"{path.rstrip('/')}/*/_SUCCESS")
+    return sorted(s.getPath().getParent().getName() for s in fs.globStatus(p) or [])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop(spark, path)
+    fs.delete(p, True)

@@ -2,22 +2,23 @@
 
 Layout under ``root``::
 
-    epochs/<run>/e<epoch>/   one committed write: the changes of one or more epochs, deduplicated
-                             to one row per (epoch, key), tombstones included, column ``_epoch``
-    folded/b<n>/             the list of epoch directories folded into base n (written first)
-    base/b<n>/               compacted state: one row per key, tombstones included
-
-A write counts once its ``_SUCCESS`` marker exists. An epoch whose directory is already committed
-is skipped, so replaying a micro-batch after a crash between the write and the checkpoint commit
-is a no-op; a replay under a new run only adds duplicates, which the fold absorbs. Readers fold
-the newest complete base with the committed epochs not on its list, so no reader sees half an
-epoch. Nothing is ever rewritten in place: compaction writes a new base, and old directories are
-left to a retention job.
+    epochs/c<n>.<run>.<epoch>/   commit n: one epoch of a run (or ``bulk``: many), one row per
+                                 (epoch, key), tombstones included, column ``_epoch``
+    base/b<n>/                   compacted state of all commits up to n, tombstones included
+
+A write counts once its ``_SUCCESS`` marker exists. Commit numbers rise over all runs, so they say which
+of two changes with equal LSNs came first, whichever run brought it. An epoch that its run has committed
+is skipped, so replaying a micro-batch after a crash between the write and the checkpoint commit is a
+no-op; a replay under a new run only adds duplicates, which the fold absorbs. A base's name says which
+commits it covers, so readers need one listing of names: they fold the newest base with the commits after
+it and never see half an epoch. ``retire`` deletes what a base covers. One writer at a time.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,18 @@ from ..spec import DELETED, LSN, TableSpec
 from . import fs
 
 EPOCH = "_epoch"
-BASE_EPOCH = -1
+COMMIT = "_commit"
+BULK = "bulk"
+NEVER_COMMITTED = 0
+_NAME = re.compile(r"c(\d+)\.(.+)\.(bulk|\d+)$")
+
+
+@dataclass(frozen=True, order=True)
+class Commit:
+    number: int
+    run: str
+    epoch: str  # decimal, or BULK
+    path: str
 
 
 class StateTable:
@@ -36,115 +48,141 @@ class StateTable:
         self.root = root.rstrip("/")
         self.spec = spec
 
-    # -- writing ---------------------------------------------------------------------------------
+    # -- names -------------------------------------------------------------------------------------
+
+    def _parse(self, names: list[str]) -> list[Commit]:
+        found = [(_NAME.match(n), n) for n in names]
+        return sorted(Commit(int(m[1]), m[2], m[3], f"{self.root}/epochs/{n}") for m, n in found if m)
+
+    def commits(self) -> list[Commit]:
+        """Committed and retained writes, oldest first."""
+        return self._parse(fs.committed_children(self.spark, f"{self.root}/epochs"))
+
+    def bases(self) -> list[int]:
+        names = fs.committed_children(self.spark, f"{self.root}/base")
+        return sorted(int(n[1:]) for n in names if n.startswith("b"))
 
-    def epoch_dir(self, run: str, epoch: int) -> str:
-        return f"{self.root}/epochs/{run}/e{int(epoch):012d}"
+    def _place(self, run: str, epoch: str) -> str | None:
+        """Where to write an epoch; None if its run has committed it. A write that never committed is
+        written again in its place."""
+        if not re.fullmatch(r"[\w-]+", run):
+            raise ValueError(f"run id {run!r}: letters, digits, _ and - only")
+        every = self._parse(fs.children(self.spark, f"{self.root}/epochs"))
+        for c in every:
+            if (c.run, c.epoch) == (run, epoch):
+                return None if fs.committed(self.spark, c.path) else c.path
+        last = max([c.number for c in every] + self.bases(), default=NEVER_COMMITTED)
+        return f"{self.root}/epochs/c{last + 1:012d}.{run}.{epoch}"
 
-    def write_epoch(self, changes: DataFrame, epoch: int, run: str,
-                    arrival: Sequence[str] = ()) -> bool:
+    # -- writing -----------------------------------------------------------------------------------
+
+    def write_epoch(self, changes: DataFrame, epoch: int, run: str, arrival: Sequence[str] = ()) -> bool:
         """Commit one micro-batch; False if this (run, epoch) was already committed."""
-        path = self.epoch_dir(run, epoch)
-        if fs.committed(self.spark, path):
+        path = self._place(run, str(int(epoch)))
+        if path is None:
             return False
         rows = fo.fold_state(changes, self.spec, fo.MODE_LSN, arrival)
         rows.withColumn(EPOCH, F.lit(int(epoch)).cast("bigint")).write.mode("overwrite").parquet(path)
         return True
 
-    def write_epochs(self, changes: DataFrame, epoch_col: str, run: str,
-                     arrival: Sequence[str] = ()) -> bool:
+    def write_epochs(self, changes: DataFrame, epoch_col: str, run: str, arrival: Sequence[str] = ()) -> bool:
         """Commit many epochs in one write (bulk load): deduplicated per (epoch, key)."""
-        path = f"{self.root}/epochs/{run}/bulk"
-        if fs.committed(self.spark, path):
+        path = self._place(run, BULK)
+        if path is None:
             return False
         rows = fo.fold_state(changes.withColumn(EPOCH, F.col(epoch_col).cast("bigint")),
                              self.spec, fo.MODE_LSN, arrival, by=(EPOCH,))
         rows.write.mode("overwrite").parquet(path)
         return True
 
-    # -- reading ---------------------------------------------------------------------------------
-
-    def _bases(self) -> list[int]:
-        return sorted(int(name[1:]) for name in fs.children(self.spark, f"{self.root}/base")
-                      if name.startswith("b") and fs.committed(self.spark, f"{self.root}/base/{name}"))
-
-    def _epoch_dirs(self) -> list[str]:
-        out = []
-        for run in fs.children(self.spark, f"{self.root}/epochs"):
-            for name in fs.children(self.spark, f"{self.root}/epochs/{run}"):
-                path = f"{self.root}/epochs/{run}/{name}"
-                if fs.committed(self.spark, path):
-                    out.append(path)
-        return sorted(out)
-
-    def layout(self) -> tuple[str | None, list[str]]:
-        """(newest committed base or None, committed epoch directories not folded into it)."""
-        bases = self._bases()
-        epochs = self._epoch_dirs()
-        if not bases:
-            return None, epochs
-        n = bases[-1]
-        listed = {r[0] for r in self.spark.read.parquet(f"{self.root}/folded/b{n:06d}").collect()}
-        return f"{self.root}/base/b{n:06d}", [e for e in epochs if e not in listed]
+    def replace(self, state: DataFrame) -> str:
+        """Make ``state`` (key, value columns, LSN, delete flag) the whole table, over all commits so far."""
+        every = self._parse(fs.children(self.spark, f"{self.root}/epochs"))
+        n = max([c.number for c in every] + self.bases(), default=NEVER_COMMITTED) + 1
+        path = f"{self.root}/base/b{n:012d}"
+        state.select(self.spec.key, *self.spec.value_names, LSN, DELETED).write.mode("overwrite").parquet(path)
+        return path
+
+    # -- reading -----------------------------------------------------------------------------------
+
+    def exists(self) -> bool:
+        return fs.exists(self.spark, f"{self.root}/epochs") or fs.exists(self.spark, f"{self.root}/base")
+
+    def layout(self) -> tuple[str | None, list[Commit]]:
+        """(newest base or None, commits it does not cover)."""
+        if not self.exists():
+            raise FileNotFoundError(f"no state table at {self.root}")
+        bases = self.bases()
+        covered = bases[-1] if bases else NEVER_COMMITTED
+        return (f"{self.root}/base/b{covered:012d}" if bases else None), [c for c in self.commits() if c.number > covered]
 
     def _rows(self) -> DataFrame | None:
-        base, epochs = self.layout()
+        base, commits = self.layout()
         cols = [self.spec.key, *self.spec.value_names, LSN, DELETED, EPOCH]
         parts = []
         if base:
-            parts.append(self.spark.read.parquet(base).withColumn(EPOCH, F.lit(BASE_EPOCH).cast("bigint")))
-        if epochs:
-            parts.append(self.spark.read.parquet(*epochs))
+            parts.append(self.spark.read.parquet(base).withColumn(EPOCH, F.lit(-1).cast("bigint"))
+                         .select(*cols, F.lit(NEVER_COMMITTED).cast("bigint").alias(COMMIT)))
+        if commits:
+            number = F.regexp_extract(F.col("_metadata.file_path"), r"/c(\d+)\.[^/]+/[^/]+$", 1).cast("bigint")
+            parts.append(self.spark.read.parquet(*[c.path for c in commits]).select(*cols, number.alias(COMMIT)))
         if not parts:
             return None
-        rows = parts[0].select(*cols)
-        for p in parts[1:]:
-            rows = rows.unionByName(p.select(*cols))
-        return rows
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     def read_state(self) -> DataFrame:
-        """One row per key (tombstones included): the fold of base and later epochs, earlier
-        epochs winning LSN ties."""
+        """One row per key (tombstones included): the fold of base and later commits. On an LSN tie the
+        base, then the earlier commit, then the earlier epoch wins. Raises if there is no table."""
         rows = self._rows()
         if rows is None:
             return self.spark.createDataFrame([], self.spec.state_schema())
         changes = rows.withColumn("op", F.when(F.col(DELETED), F.lit("d")).otherwise(F.lit("u")))
-        return fo.fold_state(changes, self.spec, fo.MODE_LSN, (EPOCH,))
+        return fo.fold_state(changes, self.spec, fo.MODE_LSN, (COMMIT, EPOCH))
 
     def read_live(self) -> DataFrame:
         return fo.live_rows(self.read_state())
 
     def inspect(self) -> DataFrame:
-        """One row: live_rows, snapshots (distinct epochs committed and still retained, folded
-        into a base or not)."""
+        """One row: live_rows, snapshots (epochs committed and retained, of all runs; only bulk writes
+        have to be read for it)."""
         live = self.read_state().agg(F.count_if(~F.col(DELETED)).alias("live_rows"))
-        epochs = self._epoch_dirs()
-        if epochs:
-            snaps = self.spark.read.parquet(*epochs).agg(F.count_distinct(EPOCH).alias("snapshots"))
-        else:
-            snaps = self.spark.createDataFrame([(0,)], "snapshots bigint")
+        commits = self.commits()
+        single = len({(c.run, c.epoch) for c in commits if c.epoch != BULK})
+        bulk = [c.path for c in commits if c.epoch == BULK]
+        snaps = self.spark.range(1).select(F.lit(single).cast("bigint").alias("snapshots"))
+        if bulk:
+            run = F.regexp_extract(F.col("_metadata.file_path"), r"/c\d+\.([^/]+)\.bulk/[^/]+$", 1)
+            snaps = self.spark.read.parquet(*bulk).select(run.alias("run"), EPOCH).agg(
+                (F.count_distinct("run", EPOCH) + single).alias("snapshots"))
         both = live.unionByName(snaps, allowMissingColumns=True)
         return both.agg(F.max("live_rows").alias("live_rows"), F.max("snapshots").alias("snapshots"))
 
     # -- compaction --------------------------------------------------------------------------------
 
     def compact(self, drop_tombstones_below_lsn: int | None = None) -> str:
-        """Fold base + epochs into a new base. A tombstone is dropped only below an LSN nothing
+        """Fold base and commits into a new base. A tombstone is dropped only below an LSN nothing
         older than which can still arrive (default: never)."""
-        bases = self._bases()
-        n = (bases[-1] + 1) if bases else 1
-        previous, epochs = self.layout()
+        bases = self.bases()
+        covered = max([c.number for c in self.commits()] + bases, default=NEVER_COMMITTED)
+        if bases and bases[-1] == covered:
+            covered += 1  # nothing new; a base of its own all the same, for another retention rule
         state = self.read_state()
         if drop_tombstones_below_lsn is not None:
             state = state.where(~(F.col(DELETED) & (F.col(LSN) < F.lit(drop_tombstones_below_lsn))))
-        # The list of folded epoch directories is committed first (carrying the previous base's
-        # list forward); the base's _SUCCESS then publishes both.
-        listed = list(epochs)
-        if previous:
-            listed += [r[0] for r in self.spark.read.parquet(
-                f"{self.root}/folded/b{bases[-1]:06d}").collect()]
-        self.spark.createDataFrame([(e,) for e in sorted(set(listed))], "path string") \
-            .coalesce(1).write.mode("overwrite").parquet(f"{self.root}/folded/b{n:06d}")
-        base = f"{self.root}/base/b{n:06d}"
+        base = f"{self.root}/base/b{covered:012d}"
         state.write.mode("overwrite").parquet(base)
         return base
+
+    def retire(self, keep_bases: int = 1) -> int:
+        """Delete the bases before the newest ``keep_bases`` and the commits that the oldest kept one
+        covers; returns how many directories went. Readers that started before may still need them, so
+        run it when none older than the kept bases is left."""
+        bases = self.bases()
+        if not bases or keep_bases < 1:
+            return 0
+        kept = bases[-keep_bases:]
+        gone = [f"{self.root}/base/b{n:012d}" for n in bases[:-keep_bases]]
+        gone += [c.path for c in self.commits() if c.number <= kept[0]]
+        for path in gone:
+            fs.remove(self.spark, path)
+        return len(gone)

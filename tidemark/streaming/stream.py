@@ -11,16 +11,44 @@ duplicates, which the fold absorbs.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import counters as co
 from ..operators import decode as dc
+from ..operators import fold as fo
 from ..spec import LSN, TableSpec
+from . import fs
 from .state import StateTable
 
-SEQ = "_seq"
+KAFKA_ARRIVAL = ("partition", "offset")
+KAFKA_POSITION = "offset"
+
+#: Delivery position of a line in change files: when its file was written, its name, then the place in
+#: it. Spark packs splits by size, so the position must not depend on how they were packed.
+FILE_ARRIVAL = ("_written", "_file", "_block", "_row")
+FILE_POSITION = "_row"
+
+
+def placed(lines: DataFrame) -> DataFrame:
+    """``value`` text read from files, plus the split each line comes from."""
+    meta = F.col("_metadata")
+    return lines.select("value", meta["file_modification_time"].alias("_written"), meta["file_path"].alias("_file"),
+                        meta["file_block_start"].alias("_block"))
+
+
+def numbered(lines: DataFrame) -> DataFrame:
+    """``placed`` lines plus their place in the split: the low 33 bits number the rows of a task, in the
+    order in which it reads its splits. (A stream's plan may not number rows; its micro-batches may.)"""
+    return lines.withColumn(FILE_POSITION, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+
+
+def delivered(lines: DataFrame) -> DataFrame:
+    """``value`` text read from files, plus its ``FILE_ARRIVAL`` columns (file order, then line order)."""
+    return numbered(placed(lines))
 
 
 def kafka_options(bootstrap: str, topic: str, starting_offsets: str = "earliest",
@@ -46,12 +74,19 @@ def kafka_source(spark: SparkSession, bootstrap: str, topic: str,
     return raw.select(F.col("value").cast("string").alias("value"), "partition", "offset")
 
 
-def text_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """JSON-lines change files as a stream of ``value`` text."""
+def text_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """JSON-lines change files (a directory, a glob or one file) as a stream of ``value`` text with
+    the splits it comes from (``placed``)."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path)
+    elif max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
+    if "*" not in path and fs.is_file(spark, path):
+        folder, _, name = path.rpartition("/")
+        reader, path = reader.option("pathGlobFilter", name), folder or "/"
+    return placed(reader.load(path))
 
 
 def run_id(checkpoint: str) -> str:
@@ -59,10 +94,11 @@ def run_id(checkpoint: str) -> str:
     return "r" + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
 
 
-def epoch_stats(decoded: DataFrame, epoch_id: int) -> DataFrame:
-    """One row of progress counters for a decoded micro-batch."""
+def epoch_stats(decoded: DataFrame, epoch_id: int, flags: DataFrame | None = None) -> DataFrame:
+    """One row of progress counters for a decoded micro-batch; ``applied`` and ``ignored`` from its
+    ``flags`` against the state before it."""
     reason = F.col(dc.REASON)
-    return decoded.agg(
+    counts = decoded.agg(
         F.lit(int(epoch_id)).cast("bigint").alias("epoch"),
         F.count(F.lit(1)).alias("delivered"),
         F.count_if(reason == dc.OK).alias("accepted"),
@@ -70,32 +106,42 @@ def epoch_stats(decoded: DataFrame, epoch_id: int) -> DataFrame:
         F.count_if(~reason.isin(dc.OK, dc.SKIPPED)).alias("rejected"),
         F.count_if((reason == dc.OK) & (F.col("op") == "d")).alias("deletes"),
         F.max(F.when(reason == dc.OK, F.col(LSN))).alias("max_lsn"))
+    if flags is None:
+        return counts
+    done = flags.agg(F.count_if("applied").alias("applied"), F.count_if(~F.col("applied")).alias("ignored"))
+    both = counts.unionByName(done, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
+def epoch_path(root: str, run: str, epoch_id: int) -> str:
+    return f"{root}/{run}/e{int(epoch_id):012d}"
 
 
-def epoch_writer(state: StateTable, spec: TableSpec, run: str, arrival: Sequence[str] = (),
-                 on_error: str = "quarantine", rejects_root: str | None = None,
-                 stats_root: str | None = None):
-    """The ``foreachBatch`` function: decode, commit the epoch, side-output rejects and a
-    one-row progress record per epoch."""
+def epoch_writer(state: StateTable, spec: TableSpec, run: str, arrival: Sequence[str] = FILE_ARRIVAL,
+                 position: str | None = FILE_POSITION, on_error: str = "quarantine",
+                 rejects_root: str | None = None, stats_root: str | None = None, done: list[int] | None = None):
+    """The ``foreachBatch`` function: decode, commit the epoch, side-output rejects and a one-row
+    progress record per epoch, written before the commit so that a replay never counts an epoch
+    against a state that already holds it. ``done`` gets the ids of the epochs seen."""
+    order = tuple(arrival)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        if arrival:
-            lines, order = batch, tuple(arrival)
-        else:
-            # Plain files carry no arrival coordinates; the row position within the micro-batch is
-            # stable on replay of the same files and only breaks ties between equal LSNs.
-            lines, order = batch.withColumn(SEQ, F.monotonically_increasing_id()), (SEQ,)
+        lines = numbered(batch) if FILE_POSITION in order and FILE_POSITION not in batch.columns else batch
         decoded = dc.decode(lines, spec, keep=order)
         if rejects_root or stats_root:  # several outputs read the batch: decode it once
             decoded = decoded.persist()
         try:
-            state.write_epoch(dc.accepted(decoded, on_error), epoch_id, run, order)
+            if stats_root and not fs.committed(state.spark, epoch_path(stats_root, run, epoch_id)):
+                flags = co.applied_flags(dc.accepted(decoded, on_error), spec, order, position=position)
+                if state.exists():
+                    flags = co.applied_to_state(flags, state.read_state(), spec)
+                epoch_stats(decoded, epoch_id, flags).coalesce(1).write.mode("overwrite").parquet(
+                    epoch_path(stats_root, run, epoch_id))
             if rejects_root:
-                path = f"{rejects_root}/{run}/e{int(epoch_id):012d}"
-                dc.rejected(decoded).write.mode("overwrite").parquet(path)
-            if stats_root:
-                path = f"{stats_root}/{run}/e{int(epoch_id):012d}"
-                epoch_stats(decoded, epoch_id).coalesce(1).write.mode("overwrite").parquet(path)
+                dc.rejected(decoded).write.mode("overwrite").parquet(epoch_path(rejects_root, run, epoch_id))
+            state.write_epoch(dc.accepted(decoded, on_error), epoch_id, run, order)
+            if done is not None:
+                done.append(int(epoch_id))
         finally:
             if decoded.is_cached:
                 decoded.unpersist()
@@ -103,13 +149,44 @@ def epoch_writer(state: StateTable, spec: TableSpec, run: str, arrival: Sequence
     return write
 
 
+def catalog_writer(spec: TableSpec, table: str, arrival: Sequence[str] = KAFKA_ARRIVAL,
+                   on_error: str = "quarantine", run_sql: Callable[[SparkSession, str], object] | None = None):
+    """The ``foreachBatch`` function for a table of a catalog with row-level operations: decode, one
+    change per key, then the generated LSN-guarded ``MERGE``. A replayed batch changes nothing, since
+    no LSN of it beats what the table holds."""
+    run_sql = run_sql or (lambda session, text: session.sql(text))
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        decoded = dc.accepted(dc.decode(batch, spec, keep=arrival), on_error)
+        latest = fo.dedup_latest(decoded, spec, (), arrival)
+        view = f"tidemark_{spec.name}_{int(epoch_id)}_{uuid.uuid4().hex[:8]}"
+        latest.createOrReplaceTempView(view)
+        try:
+            run_sql(batch.sparkSession, spec.merge_sql(table, view))
+        finally:
+            batch.sparkSession.catalog.dropTempView(view)
+
+    return write
+
+
+def merge_topic(spark: SparkSession, bootstrap: str, topic: str, table: str, checkpoint: str, spec: TableSpec,
+                starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None,
+                on_error: str = "quarantine", available_now: bool = False):
+    """The production job: change topic -> decode -> one change per key -> MERGE into a catalog table."""
+    spark.sql(spec.create_table_ddl(table))
+    source = kafka_source(spark, bootstrap, topic, starting_offsets, max_offsets_per_trigger)
+    stream = source.writeStream.foreachBatch(catalog_writer(spec, table, KAFKA_ARRIVAL, on_error)).option(
+        "checkpointLocation", checkpoint)
+    return (stream.trigger(availableNow=True) if available_now else stream).start()
+
+
 def merge_stream(source: DataFrame, state: StateTable, spec: TableSpec, checkpoint: str,
-                 arrival: Sequence[str] = (), on_error: str = "quarantine",
-                 rejects_root: str | None = None, stats_root: str | None = None,
-                 available_now: bool = True, processing_time: str | None = None):
+                 arrival: Sequence[str] = FILE_ARRIVAL, position: str | None = FILE_POSITION,
+                 on_error: str = "quarantine", rejects_root: str | None = None, stats_root: str | None = None,
+                 available_now: bool = True, processing_time: str | None = None, done: list[int] | None = None):
     """Start the streaming merge; returns the ``StreamingQuery``."""
-    writer = epoch_writer(state, spec, run_id(checkpoint), arrival, on_error, rejects_root,
-                          stats_root)
+    writer = epoch_writer(state, spec, run_id(checkpoint), arrival, position, on_error, rejects_root,
+                          stats_root, done)
     stream = source.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     if available_now:
         stream = stream.trigger(availableNow=True)
