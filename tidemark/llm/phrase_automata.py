@@ -53,7 +53,8 @@ PER_SEED = 10
 _SEGMENTS = 256
 HOT_SHARE = 20_000
 HOT_LEAST = 2_000
-SHARD_PASSAGES = 6_000
+#: Passages of a shard. An automaton looks its root's children up one by one, so small ones build much faster.
+SHARD_PASSAGES = 400
 NEVER = np.iinfo(np.int64).max
 
 
@@ -228,29 +229,36 @@ def _passages(docs: DataFrame, passes, hot: np.ndarray, window: int, content: bo
 def locate(passages: list[np.ndarray], least: np.ndarray, most: np.ndarray, window: int) -> list[np.ndarray]:
     """For each passage the first document of each of its windows (``NEVER``: it does not recur).
 
-    ``least`` and ``most`` are the smallest and largest document a passage occurs in.
+    ``least`` and ``most`` are the smallest and largest document a passage occurs in. The shard's words
+    become characters, its passages one text with a space between them, its recurring windows patterns of
+    ``window`` characters; one automaton reads the text once.
     """
-    first: dict[bytes, list[int]] = {}
-    for words, low, high in zip(passages, least.tolist(), most.tolist()):
-        raw = words.tobytes()
-        for at in range(0, len(raw) - 4 * window + 1, 4):
-            seen = first.get(key := raw[at:at + 4 * window])
-            if seen is None:
-                first[key] = [low, high]
-            else:
-                seen[0] = min(seen[0], low)
-                seen[1] = max(seen[1], high)
-    machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for key, (low, high) in first.items():
-        if low < high:  # confirmed: in two documents
-            machine.add_word(tuple(np.frombuffer(key, np.uint32).tolist()), low)
-    out = [np.full(max(0, len(p) - window + 1), NEVER) for p in passages]
-    if len(machine):
-        machine.make_automaton()
-        for words, places in zip(passages, out):
-            for end, low in machine.iter(tuple(words.tolist())):
-                places[end - window + 1] = low
-    return out
+    size = np.array([len(p) for p in passages], np.int64)
+    per = np.maximum(size - window + 1, 0)
+    out_of = np.concatenate(([0], np.cumsum(size + 1)))[:-1]  # where each passage starts in the text
+    lows = np.full(int((size + 1).sum()), NEVER)
+    if per.sum():
+        _, character = np.unique(np.concatenate(passages), return_inverse=True)
+        codes = np.full(len(lows), 0x20, "<u4")
+        word = np.arange(size.sum()) + np.repeat(np.arange(len(passages)), size)
+        codes[word] = character + 0x10000  # a shard has far fewer words than there are characters
+        text = codes.tobytes().decode("utf-32-le")
+        # All windows of the shard, and equal ones together.
+        own = np.repeat(np.arange(len(passages)), per)
+        start = out_of[own] + np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+        keys = window_hashes(mix(codes.astype(np.uint64)), window)[start]
+        order = np.argsort(keys, kind="stable")
+        edge = np.flatnonzero(np.r_[True, np.diff(keys[order]) != 0])
+        low = np.minimum.reduceat(least[own[order]], edge)
+        confirmed = low < np.maximum.reduceat(most[own[order]], edge)  # in two documents
+        machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_STRING)
+        for at, first in zip(start[order[edge[confirmed]]].tolist(), low[confirmed].tolist()):
+            machine.add_word(text[at:at + window], first)
+        if len(machine):
+            machine.make_automaton()
+            hits = list(machine.iter(text))
+            lows[np.fromiter((e for e, _ in hits), np.int64, len(hits)) - (window - 1)] = [v for _, v in hits]
+    return [lows[a:a + n] for a, n in zip(out_of.tolist(), per.tolist())]
 
 
 def _located(passages: DataFrame, shards: int, window: int) -> DataFrame:
@@ -286,14 +294,18 @@ def _cover(docs: DataFrame, covers: DataFrame, window: int) -> DataFrame:
             kept, words_of, removed = [], [], []
             for i, text in enumerate(texts):
                 words = text.split()
+                words_of.append(len(words))
+                if not covered[i].is_valid:
+                    kept.append(b" ".join(words).decode("utf-8"))
+                    removed.append(0)
+                    continue
                 gone = np.zeros(len(words) + 1, np.int64)
-                for cover in covered[i].as_py() or ():
+                for cover in covered[i].as_py():
                     at = cover["place"] + np.flatnonzero(np.frombuffer(cover["firsts"], np.int64) < own[i].as_py())
                     gone[at] += 1  # the places of one passage differ
                     np.subtract.at(gone, at + window, 1)
                 lost = np.cumsum(gone)[:len(words)] > 0
                 kept.append(b" ".join([w for w, x in zip(words, lost.tolist()) if not x]).decode("utf-8"))
-                words_of.append(len(words))
                 removed.append(int(lost.sum()))
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(i) for i in range(width)], pa.array(kept, pa.string()), pa.array(words_of, pa.int64()),
