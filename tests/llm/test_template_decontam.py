@@ -108,12 +108,12 @@ def test_shuffled_benchmark(spark, cases, monkeypatch):
 
 
 def test_query_on_the_given_tables(spark):
-    sf = "/root/testdata/sf0.1"
+    sf = "/root/testdata/sf0.01"
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     expected = plain(docs, items)
     got = {(r.doc_id, r.item_id) for r in QUERIES["op3_template_decontam"](spark, sf).collect()}
-    assert got == expected and len(got) > 10
+    assert got == expected and len(got) > 0
 
 
 def test_words_and_forms(spark):
