@@ -44,6 +44,31 @@ def test_running_max_shuffles_rows_on_key_and_chunk(spark, static_plans):
     assert re.search(r"Exchange hashpartitioning\(order_id#\d+L, _chunk#\d+L", plan)
 
 
+def test_net_changes_fold_the_log_once(spark, static_plans):
+    plan = static_plans(c.batch_net_changes(spark, SF))
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 5
+    assert len(re.findall(r"functions=\[min_by", plan)) == 1  # one final fold
+
+
+def test_prior_state_is_found_by_hash_aggregates(spark, static_plans):
+    plan = static_plans(c.batch_against_state(spark, SF))
+    assert re.search(r"HashAggregate\(keys=\[batch#\d+L, order_id#\d+L\], functions=\[partial_max\(_lsn", plan)
+
+
+def test_applying_changes_probes_the_state_once(spark, static_plans):
+    plan = static_plans(c.apply_changes(spark, SF))
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 6
+
+
+def test_hot_key_spans_chunks_with_topic_coordinates(spark):
+    """One key on one partition of a topic: its offsets must not share a chunk."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.ordered import ARRIVAL_CHUNK, chunk_at
+    rows = spark.range(10).select(F.lit(3).alias("partition"), (F.col("id") * ARRIVAL_CHUNK).alias("offset"))
+    assert rows.select(chunk_at(("partition", "offset"), "offset", ARRIVAL_CHUNK).alias("c")).distinct().count() == 10
+
+
 def test_decode_parses_each_line_once(spark, static_plans):
     plan = static_plans(c.decode_op_counts(spark, SF))
     # one parse of the line, one of an optional {schema, payload} wrapper

@@ -80,7 +80,7 @@ def batch_net_changes(changes: DataFrame, spec: TableSpec, arrival: Sequence[str
     """
     per_batch = fo.fold_state(changes, spec, fo.MODE_LSN, arrival, by=(batch,))
     ranked = prior_max(per_batch, [spec.key], [batch], F.col(LSN), "_prev_lsn",
-                       chunk_of(batch, chunk_span))
+                       chunk_of(batch, chunk_span), maxima_of=changes)
     changed = ranked.where(F.col("_prev_lsn").isNull() | (F.col(LSN) > F.col("_prev_lsn")))
     return changed.select(
         batch, spec.key, *spec.value_names, LSN,

@@ -40,7 +40,8 @@ def chunk_at(order: Sequence[str], position: str, span: int) -> SparkColumn:
 
 
 def prior_max(df: DataFrame, by: Sequence[str], order: Sequence[str], value: SparkColumn,
-              out: str, chunk: SparkColumn, strictly_lower: bool = False) -> DataFrame:
+              out: str, chunk: SparkColumn, strictly_lower: bool = False,
+              maxima_of: DataFrame | None = None) -> DataFrame:
     """``df`` plus column ``out``: max of ``value`` over earlier rows (by ``order``) of the same
     ``by`` group; null for the first row. ``value`` may be a struct (compared field by field),
     which makes it a "latest earlier row" lookup when its first field is the order key.
@@ -48,11 +49,14 @@ def prior_max(df: DataFrame, by: Sequence[str], order: Sequence[str], value: Spa
     With ``strictly_lower`` (one integral order column), rows tied on the order value do not see
     each other: "earlier" means a strictly lower order value.
     """
+    # ``maxima_of``: rows with the same chunk maxima that are cheaper to get than ``df`` itself (the log
+    # that ``df`` was folded from), so that ``df`` is not computed twice.
     by = list(by)
     if strictly_lower and len(order) != 1:
         raise ValueError("strictly_lower needs exactly one integral order column")
     base = df.withColumn("_chunk", chunk).withColumn("_val", value)
-    chunk_max = base.groupBy(*by, "_chunk").agg(F.max("_val").alias("_cmax"))
+    wide = base if maxima_of is None else maxima_of.withColumn("_chunk", chunk).withColumn("_val", value)
+    chunk_max = wide.groupBy(*by, "_chunk").agg(F.max("_val").alias("_cmax"))
     across = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     before_chunk = chunk_max.select(*by, "_chunk", F.max("_cmax").over(across).alias("_before_chunk"))
     within = Window.partitionBy(*by, "_chunk").orderBy(*order)
