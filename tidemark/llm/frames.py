@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,18 @@ from pyspark.sql import functions as F
 from tidemark.session import scratch_path
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers started from now on import this package from where the driver has it, as they
+    must when it is run from a checkout that is not on their path. An installed package needs nothing."""
+    environment = spark.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    have = environment.get("PYTHONPATH", "")
+    if root not in have.split(os.pathsep):
+        environment["PYTHONPATH"] = f"{root}{os.pathsep}{have}" if have else root
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -25,6 +38,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def clash_free(df: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, so that extra columns of any name cannot clash with an operator's own."""
+    importable(df.sparkSession)
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -301,7 +302,7 @@ def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "vec_id", "unit")
 
-    def count(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def count(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         i, j = key[1], key[2]
         a = rows[rows.own == i]
         b = rows[rows.own == j]

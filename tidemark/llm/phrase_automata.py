@@ -32,6 +32,7 @@ document is a block of its own.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import ahocorasick
 import numpy as np
@@ -139,7 +140,7 @@ def _filter(recurring: DataFrame, count: int) -> tuple[int, bytes]:
             segment, _ = _bit_places(seed, bits)
             yield pa.RecordBatch.from_arrays([pa.array(segment), batch.column(0)], ["segment", "seed"])
 
-    def build(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def build(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         own = np.zeros(bits // _SEGMENTS, np.uint8)
         own[_bit_places(rows.seed.to_numpy(), bits)[1].ravel()] = 1
         return pd.DataFrame({"segment": [key[0]], "bits": [np.packbits(own).tobytes()]})
@@ -264,7 +265,7 @@ def locate(passages: list[np.ndarray], least: np.ndarray, most: np.ndarray, wind
 def _located(passages: DataFrame, shards: int, window: int) -> DataFrame:
     """Rows ``seed, hash, low, firsts`` of the passages with a recurring window."""
 
-    def shard(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def shard(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         found = locate([np.frombuffer(x, np.uint32) for x in rows.ids], rows.low.to_numpy(), rows.high.to_numpy(), window)
         low = np.array([f.min() if len(f) else NEVER for f in found])
         keep = low < rows.high.to_numpy()  # some document that holds the passage loses words
