@@ -3,8 +3,8 @@
 Paragraphs are lines. A multinomial logistic regression with an L1 penalty over word 1- and 2-grams learns
 the licence families from ``TEMPLATES`` (whole notices, their sentences, and both next to ordinary lines)
 against ordinary lines of the corpus itself: a bounded sample of ``MAX_LINES`` lines, taken by hash, that
-share no two-gram of licence words with a template. N-grams of more than ``COMMON`` of these lines are no
-features, so most words weigh nothing and only lines with a weighted n-gram need a score: all others have
+share no two-gram of licence words with a template. N-grams of more than ``COMMON`` of these lines, or made of
+such words alone, are no features, so most words weigh nothing and only lines with a weighted n-gram need a score: all others have
 the bias alone, which says none.
 
 Unknown. Probabilities are calibrated by one temperature, fitted on a held-out part of the training rows. A
@@ -133,7 +133,8 @@ def fit(docs: DataFrame) -> Model:
     often = ordinary.select(F.explode(gram_rows).alias("gram")).join(F.broadcast(known), "gram").groupBy("gram").agg(
         F.count("*").alias("n"))
     often = {r.gram: r.n for r in often.collect()}  # n-grams of the templates only
-    vocabulary = sorted(r.gram for r in known.collect() if often.get(r.gram, 0) <= COMMON * total)
+    rare = {r.gram for r in known.collect() if often.get(r.gram, 0) <= COMMON * total}
+    vocabulary = sorted(g for g in rare if any(w in rare for w in g.split(" ")))  # "of this" says nothing
     # Each template also stands in front of ordinary lines, as where a notice does not end its line.
     few = ordinary.orderBy(F.xxhash64("text"), "text").limit(40)
     numbered_few = few.withColumn("k", F.pmod(F.xxhash64("text"), F.lit(8)))
