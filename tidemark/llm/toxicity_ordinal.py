@@ -11,7 +11,7 @@ in it: the lexicon is the set of word buckets that the labels themselves tie to
 it, and the grade is its third among the labelled toxic rows (1, 2 or 3). Grade 0 is not toxic. The same
 crc32 fold as the quality classifier's stays out of the fit.
 
-Features are lower-cased plain words and their first 4, 5 and 6 bytes (stems), hashed to ``BUCKETS``, valued 1 where present: one insult in a long
+Features are lower-cased plain words and their first 4, 5 and 6 bytes (stems), hashed to ``BUCKETS``, valued by ``value`` (a logarithm of their number): one insult in a long
 document must count like one in a short one. Labels, lang, source and doc_id are never inputs. The fit
 takes a bounded sample of ``MAX_TRAIN`` labelled rows; scoring covers every document without a shuffle.
 
@@ -41,7 +41,7 @@ PREFIXES = (4, 5, 6)
 MAX_TRAIN = 12000
 GRADES = 3
 #: Probability of grade 1 or more from which a document is flagged.
-FLAG = 0.4
+FLAG = 0.5
 LEXICON_ODDS = 3.0
 LEXICON_ROWS = 5
 STEPS = 600
@@ -49,14 +49,19 @@ STEPS = 600
 L1 = 5e-4
 
 
+def value(counts: np.ndarray) -> np.ndarray:
+    """A feature's value: 1 where it occurs once, 2 where three times, 3 where seven times."""
+    return np.log2(1.0 + counts)
+
+
 @dataclass(frozen=True)
 class Ordinal:
     weights: np.ndarray
     thresholds: np.ndarray
 
-    def at_least(self, rows: np.ndarray, columns: np.ndarray, n: int) -> np.ndarray:
+    def at_least(self, rows: np.ndarray, columns: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
         """P(severity >= k) for k = 1..GRADES, shape (n, GRADES)."""
-        z = np.bincount(rows, weights=self.weights[columns], minlength=n) if len(rows) else np.zeros(n)
+        z = np.bincount(rows, weights=self.weights[columns] * value(counts), minlength=n) if len(rows) else np.zeros(n)
         return 1 / (1 + np.exp(-np.clip(z[:, None] - self.thresholds[None, :], -35, 35)))
 
 
@@ -100,20 +105,22 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = M
     if not toxic.any():
         return Ordinal(np.zeros(BUCKETS), np.full(GRADES, 35.0))
     columns = [np.array(r.columns, np.int64) for r in rows]
-    return _descend(columns, grade(columns, [np.array(r.counts) for r in rows], toxic))
+    counts = [np.array(r.counts) for r in rows]
+    return _descend(columns, counts, grade(columns, counts, toxic))
 
 
-def _descend(columns: list[np.ndarray], grades: np.ndarray) -> Ordinal:
+def _descend(columns: list[np.ndarray], counts: list[np.ndarray], grades: np.ndarray) -> Ordinal:
     """Full-batch proximal Adam on the cumulative-link likelihood. Thresholds are b_1 and positive gaps."""
     n = len(grades)
     row = np.repeat(np.arange(n), [len(c) for c in columns])
     col, place = np.unique(np.concatenate(columns), return_inverse=True) if len(row) else (np.zeros(0, int), row)
+    x = value(np.concatenate(counts)) if len(row) else np.zeros(0)
     w = np.zeros(len(col))
     first, gaps = 2.0, np.zeros(GRADES - 1)
     state = np.zeros((2, len(col) + GRADES))
     for step in range(1, STEPS + 1):
         b = first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
-        z = np.bincount(row, weights=w[place], minlength=n) if len(row) else np.zeros(n)
+        z = np.bincount(row, weights=w[place] * x, minlength=n) if len(row) else np.zeros(n)
         p = 1 / (1 + np.exp(-np.clip(z[:, None] - b[None, :], -35, 35)))  # P(>= k)
         upper = np.concatenate([np.ones((n, 1)), p], axis=1)[np.arange(n), grades]
         lower = np.concatenate([p, np.zeros((n, 1))], axis=1)[np.arange(n), grades]
@@ -125,7 +132,7 @@ def _descend(columns: list[np.ndarray], grades: np.ndarray) -> Ordinal:
         np.add.at(g_b, grades[at] - 1, d_upper[at] / n)
         at = grades < GRADES
         np.add.at(g_b, grades[at], -d_lower[at] / n)
-        g_w = np.bincount(place, weights=slope[row], minlength=len(col)) if len(row) else np.zeros(0)
+        g_w = np.bincount(place, weights=slope[row] * x, minlength=len(col)) if len(row) else np.zeros(0)
         g_gap = np.array([g_b[k + 1:].sum() * np.exp(gaps[k]) for k in range(GRADES - 1)])
         g = np.concatenate([g_w, [g_b.sum()], g_gap])
         state[0] = 0.9 * state[0] + 0.1 * g
@@ -146,8 +153,8 @@ def score(docs: DataFrame, model: Ordinal) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in batches_in_blocks(batches, "text"):
-            rows, columns, _ = hashed_words(texts, BUCKETS, PREFIXES)
-            p = model.at_least(rows, columns, len(texts))
+            rows, columns, counts = hashed_words(texts, BUCKETS, PREFIXES)
+            p = model.at_least(rows, columns, counts, len(texts))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(p[:, k].copy()) for k in range(GRADES)], pa.array(p.sum(1))],
                 ["doc_id", *[f"p_{k + 1}" for k in range(GRADES)], "severity"])
