@@ -29,7 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import clash_free, let, stored
+from tidemark.llm.frames import clash_free, hashed_sample, let, stored
 
 MAX_LINES = 3000
 COMMON = 0.004
@@ -117,7 +117,7 @@ def _training(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.explode(grams_of(words_of(F.col("text")))).alias("gram")).where(F.col("gram").contains(" ")).distinct()
     lines = clash_free(docs, "text").select(F.explode(F.split("text", "\n")).alias("text")).where(
         F.length(F.trim("text")) > 0)
-    sample = stored(lines.orderBy(F.xxhash64("text"), "text").limit(4 * MAX_LINES).distinct(), "license-lines")
+    sample = stored(hashed_sample(lines, 4 * MAX_LINES, "text").distinct(), "license-lines")
     shared = sample.select("text", F.explode(grams_of(words_of(F.col("text")))).alias("gram")).join(
         F.broadcast(pairs), "gram").groupBy("text").agg(F.count("*").alias("n")).where("n >= 2").select("text")
     ordinary = stored(sample.join(shared, "text", "left_anti").orderBy(F.xxhash64("text"), "text").limit(MAX_LINES), "license-ordinary")
@@ -144,7 +144,7 @@ def fit(docs: DataFrame) -> Model:
     rows = templates.union(beside).union(ordinary.select(F.lit(NONE).alias("family"), "text"))
     labels = F.create_map(*[F.lit(x) for i, c in enumerate(CLASSES) for x in (c, float(i))])
     rows = stored(rows.select(F.element_at(labels, F.col("family")).alias("label"), gram_rows.alias("grams"),
-                              F.pmod(F.xxhash64("text"), F.lit(5)).alias("fold")), "license-training")
+                              F.pmod(F.xxhash64("text"), F.lit(5)).alias("fold")).coalesce(2), "license-training")  # a bounded sample
     if not vocabulary:
         return Model({}, tuple([1.0] + [0.0] * (len(CLASSES) - 1)), 1.0, ())
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features", binary=True)

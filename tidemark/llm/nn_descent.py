@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.frames import clash_free, components, stored
+from tidemark.llm.frames import clash_free, components, hashed_sample, stored
 
 THRESHOLD = 0.9
 SLACK = 0.02
@@ -258,7 +258,7 @@ def _audit(vectors: DataFrame, links: DataFrame, threshold: float) -> float:
 
     The sample (``AUDIT`` vectors) goes to every task; each task multiplies it with its own rows.
     """
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(AUDIT).select("vec_id", "unit").collect()
+    sample = hashed_sample(vectors.select("vec_id", "unit"), AUDIT, "vec_id").collect()
     if not sample:
         return 1.0
     ids = np.array([r.vec_id for r in sample])

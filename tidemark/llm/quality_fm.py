@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidemark.llm.features import STRUCTURE, hashed_words, structure
-from tidemark.llm.frames import clash_free
+from tidemark.llm.frames import clash_free, hashed_sample
 from tidemark.llm.textblocks import batches_in_blocks, list_array
 
 BUCKETS = 1 << 13
@@ -99,8 +99,9 @@ def _raw_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
     """At most ``limit`` labelled documents outside the held-out fold, by the hash of their id."""
-    chosen = clash_free(labels, "doc_id", label).where(F.col(label).isNotNull() & ~held_out()).groupBy("doc_id").agg(
-        F.max(label).alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    labelled = clash_free(labels, "doc_id", label).where(F.col(label).isNotNull() & ~held_out()).groupBy("doc_id").agg(
+        F.max(label).alias("label"))
+    chosen = hashed_sample(labelled, limit, "doc_id")
     # The sample's size is bounded by ``limit``, so sending it to every task is safe.
     return docs.join(F.broadcast(chosen), "doc_id")
 
