@@ -99,7 +99,9 @@ class Runs:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return clash_free(docs, "doc_id", "text").select("doc_id", F.col("text").cast("binary").alias("text"))
+    """``doc_id, text`` and ``row``, which tells rows of one id with different texts apart."""
+    return clash_free(docs, "doc_id", "text").select(
+        "doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("row"))
 
 
 def seeds(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -176,13 +178,13 @@ def _marked(docs: DataFrame, found: DataFrame, recurring: DataFrame, filter_bits
 
     def listed(seed, batch, doc):
         out = np.zeros(len(seed), bool)
-        own = batch.column(2)
+        own = batch.column(3)
         for d in np.unique(doc).tolist():
             at = np.flatnonzero(doc == d)
             out[at] = np.isin(seed[at], np.array(own[d].as_py() or [], np.int64))
         return out
 
-    return _texts(docs).join(lists, "doc_id", "left").select("doc_id", "text", "seeds"), listed
+    return _texts(docs).join(lists, "doc_id", "left").select("doc_id", "text", "row", "seeds"), listed
 
 
 def _passages(docs: DataFrame, passes, hot: np.ndarray, window: int, content: bool) -> DataFrame:
@@ -216,9 +218,8 @@ def _passages(docs: DataFrame, passes, hot: np.ndarray, window: int, content: bo
                            pa.array(single)]
                 names += ["ids", "hot"]
             else:
-                block = runs.block
-                rows = block.hashes(block.starts, block.ends - 1).view(np.int64)
-                base = np.searchsorted(runs.doc, np.arange(block.n))
+                rows = batch.column(2).to_numpy(zero_copy_only=False)
+                base = np.searchsorted(runs.doc, np.arange(runs.block.n))
                 arrays += [pa.array(rows[own]), pa.array((first - base[own]).astype(np.int32))]
                 names += ["row", "place"]
             yield pa.RecordBatch.from_arrays(arrays, names)
@@ -281,13 +282,6 @@ def _cover(docs: DataFrame, covers: DataFrame, window: int) -> DataFrame:
     width = len(docs.columns)
     rest = [StructField("kept", StringType()), StructField("n_words", LongType()), StructField("n_removed", LongType())]
 
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in batches_in_blocks(batches, "_text"):
-            block = Block(texts)
-            row = pa.array(block.hashes(block.starts, block.ends - 1).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in range(width)], row], [*batch.schema.names[:width], "_row"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in batches_in_blocks(batches, "_text"):
             own = batch.column(batch.schema.get_field_index("doc_id"))
@@ -313,9 +307,7 @@ def _cover(docs: DataFrame, covers: DataFrame, window: int) -> DataFrame:
                  pa.array(removed, pa.int64())], [*batch.schema.names[:width], "kept", "n_words", "n_removed"])
 
     fields = docs.schema.fields
-    rows = docs.withColumn("_text", F.col("text").cast("binary")).mapInArrow(
-        named, StructType([*fields, StructField("_row", LongType())]))
-    joined = rows.join(covers.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_at"), "covers"),
+    joined = docs.withColumn("_row", F.xxhash64("text")).join(covers.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_at"), "covers"),
                        (F.col("doc_id") == F.col("_doc")) & (F.col("_row") == F.col("_at")), "left")
     return joined.select(*[F.col(f"`{f.name}`") for f in fields], F.col("text").cast("binary").alias("_text"), "covers").mapInArrow(
         run, StructType([*fields, *rest]))
