@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import os
+import unicodedata
 from array import array
 from collections.abc import Iterator
 
@@ -39,11 +40,24 @@ from tidemark.llm.textblocks import Block, batches_in_blocks, list_array
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 WINDOW = 16
-CUT_BITS = 9
+CUT_BITS = 10
 #: Bounds of the tables a worker keeps.
-MAX_CHUNK_BYTES = 48 << 20
-MAX_WORDS = 400_000
+MAX_CHUNK_BYTES = 16 << 20
+MAX_WORDS = 400_000  # of each of two generations
+#: Unknown words go to the library this many at a time, as one text, with a mark between them.
+TOGETHER = 2_000
+MARK = b"\x00"
 _WHITE = b" \t\n\r\x0b\x0c"
+#: Signs that close a word and are a piece of their own after letters.
+SIGNS = b".,!?;:"
+
+
+def _is_letters(word: bytes) -> bool:
+    """Letters alone, also once composed and lower-cased: one piece to a tokenizer that splits by letters."""
+    if word.isalpha():
+        return True
+    text = word.decode("utf-8")
+    return text.isalpha() and unicodedata.is_normalized("NFC", text) and text.lower().isalpha()
 
 
 def cuts(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +120,16 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        mark = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
+        self._mark = mark[0] if len(mark) == 1 else None
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self._ends = None  # ids that end a piece of text, if the vocabulary marks them
+        if suffix:
+            self._ends = np.zeros(max(names.values()) + 1, bool)
+            self._ends[[i for name, i in names.items() if name.endswith(suffix)]] = True
         self._words: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
         self._pieces: dict[bytes, Piece] = {}
         self._held = 0
         self._joins: dict[bytes, bytes] = {}
@@ -116,11 +139,56 @@ class Encoder:
         return [array("I", e.ids).tobytes() for e in done]
 
     def _learn(self, words: set[bytes]) -> None:
+        """Have all these words in the table. Words not used for a generation leave it."""
         if len(self._words) > MAX_WORDS:
-            self._words.clear()
-        new = [w for w in words if w not in self._words]
-        if new:
-            self._words.update(zip(new, self._library(new)))
+            self._older, self._words = self._words, {}
+        known, older = self._words, self._older
+        new = []
+        for w in words:
+            if w not in known:
+                ids = older.get(w)
+                if ids is None:
+                    new.append(w)
+                else:
+                    known[w] = ids
+        # A word of ASCII letters and closing signs is the tokens of its lower-cased letters and of its signs.
+        made = {}
+        if self._ends is not None:
+            rest = []
+            for w in new:
+                letters = w.rstrip(SIGNS)
+                low = letters.lower()
+                if letters.isalpha() and low != w:
+                    made[w] = low, w[len(letters):]
+                else:
+                    rest.append(w)
+            new = rest + [p for p in {p for pair in made.values() for p in pair if p} if p not in known and p not in older]
+            for p in {p for pair in made.values() for p in pair if p in older}:
+                known.setdefault(p, older[p])
+        letters = [w for w in dict.fromkeys(new) if self._ends is not None and _is_letters(w)]
+        for at in range(0, len(letters), TOGETHER):
+            some = letters[at:at + TOGETHER]
+            raw = self._library([b" ".join(some)])[0]
+            ends = (4 * np.flatnonzero(self._ends[np.frombuffer(raw, np.uint32)]) + 4).tolist()
+            if len(ends) != len(some):
+                raise ValueError("a word of letters is not one piece to the tokenizer")
+            known.update(zip(some, map(raw.__getitem__, map(slice, [0, *ends], ends))))
+        others = [w for w in dict.fromkeys(new) if w not in known]
+        plain = [w for w in others if self._mark is not None and MARK not in w]
+        for at in range(0, len(plain), TOGETHER):
+            some = plain[at:at + TOGETHER]
+            # White space ends every token, so the tokens between two marks are those of one word.
+            raw = self._library([(b" " + MARK + b" ").join(some)])[0]
+            marks = np.flatnonzero(np.frombuffer(raw, np.uint32) == self._mark)
+            begins, ends = [0, *(4 * marks + 4).tolist()], [*(4 * marks).tolist(), len(raw)]
+            if len(begins) != len(some):
+                raise ValueError("a word's tokens hold the mark between words")
+            known.update(zip(some, map(raw.__getitem__, map(slice, begins, ends))))
+        alone = [w for w in others if w not in known]
+        if alone:
+            known.update(zip(alone, self._library(alone)))
+        for w, (low, signs) in made.items():
+            known[w] = known[low] + known[signs] if signs else known[low]
 
     def _word(self, word: bytes) -> bytes:
         if word not in self._words:
@@ -193,50 +261,77 @@ class Encoder:
             n *= 2
 
 
+    def ids(self, texts: list[bytes]) -> pa.ListArray:
+        raw = self.texts(texts)
+        flat = np.frombuffer(b"".join(raw), np.uint32).astype(np.int32)
+        return list_array(pa.array(flat), np.array([len(x) // 4 for x in raw]))
+
+    @functools.cached_property
+    def _names(self) -> dict[int, str]:
+        return {i: name for name, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+
+    def decoded(self, rows: pa.ListArray) -> pa.Array:
+        """Each row's ids (null: none) as text; ids the vocabulary lacks give nothing."""
+        lengths = np.array(rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), np.int64)
+        flat = rows.flatten().to_numpy(zero_copy_only=False).tolist()
+        ends = np.cumsum(lengths).tolist()
+        if self.tokenizer.decoder is not None:
+            lists = [flat[a:b] for a, b in zip([0, *ends], ends)]
+            return pa.array(self.tokenizer.decode_batch(lists, skip_special_tokens=False), pa.string())
+        names = list(map(self._names.get, flat))  # without a decoder the library puts a space between the tokens
+        texts = [" ".join(names[a:b]) if all(names[a:b]) else " ".join(filter(None, names[a:b])) for a, b in zip([0, *ends], ends)]
+        return pa.array(texts, pa.string())
+
+
 @functools.lru_cache(maxsize=2)
 def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _kind(df: DataFrame) -> str:
+    return f"doc_id {df.schema['doc_id'].dataType.simpleString()}"
+
+
 def encode(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """``doc_id, ids``: the token ids of every text, as the library gives them for the whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         for batch, texts in batches_in_blocks(batches, "text"):
-            ids = encoder.texts(texts)
-            flat = np.frombuffer(b"".join(ids), np.uint32).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), list_array(pa.array(flat), np.array([len(x) // 4 for x in ids]))], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), encoder.ids(texts)], ["doc_id", "ids"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return together(docs).mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return together(docs).mapInArrow(run, f"{_kind(docs)}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """``doc_id, ids, decoded``: each row's ids (null: none) turned back into text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _encoder(path).tokenizer
-        names = {i: t for t, i in tokenizer.get_vocab(with_added_tokens=True).items()} if tokenizer.decoder is None else {}
+        encoder = _encoder(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                rows = [x or [] for x in part.column(1).to_pylist()]
-                if names:  # without a decoder the library joins the tokens by one space
-                    texts = [" ".join([names[i] for i in ids if i in names]) for ids in rows]
-                else:
-                    texts = tokenizer.decode_batch(rows, skip_special_tokens=False)
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
+                    [part.column(0), part.column(1), encoder.decoded(part.column(1))], ["doc_id", "ids", "decoded"])
+
+    return clash_free(encoded, "doc_id", "ids").mapInArrow(run, f"{_kind(encoded)}, ids array<int>, decoded string")
+
+
+def round_trip(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
+    """``decode(encode(docs))`` in one pass of one worker: ``doc_id, ids, decoded``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(path)
+        for batch, texts in batches_in_blocks(batches, "text"):
+            ids = encoder.ids(texts)
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, encoder.decoded(ids)], ["doc_id", "ids", "decoded"])
 
-    kind = encoded.schema["doc_id"].dataType.simpleString()
-    return clash_free(encoded, "doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+    return together(docs).mapInArrow(run, f"{_kind(docs)}, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, path: str = VOCABULARY, keep_ids: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``, and ``ids`` if wanted, of the encoded and decoded rows."""
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return decode(encode(docs, path), path).select(
+    return round_trip(docs, path).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), *(["ids"] if keep_ids else []))
