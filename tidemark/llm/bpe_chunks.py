@@ -42,8 +42,8 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 WINDOW = 16
 CUT_BITS = 10
 #: Bounds of the tables a worker keeps.
-MAX_CHUNK_BYTES = 16 << 20
-MAX_WORDS = 400_000  # of each of two generations
+MAX_CHUNK_BYTES = 8 << 20
+MAX_WORDS = 300_000  # of each of two generations
 #: Unknown words go to the library this many at a time, as one text, with a mark between them.
 TOGETHER = 2_000
 MARK = b"\x00"
