@@ -38,13 +38,13 @@ from tidemark.llm.textblocks import batches_in_blocks, list_array
 BUCKETS = 1 << 17
 #: First bytes of a word that are features beside it, for stems with changing ends.
 PREFIXES = (4, 5, 6)
-MAX_TRAIN = 12000
+MAX_TRAIN = 8000
 GRADES = 3
 #: Probability of grade 1 or more from which a document is flagged.
 FLAG = 0.5
 LEXICON_ODDS = 3.0
 LEXICON_ROWS = 5
-STEPS = 600
+STEPS = 200
 #: Penalty on absolute weights: ordinary words weigh exactly nothing, or a long clean text would outweigh one insult.
 L1 = 5e-4
 
