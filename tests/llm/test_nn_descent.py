@@ -65,3 +65,22 @@ def test_recall_on_the_given_table(spark):
 def test_empty(spark):
     assert op.near_duplicates(spark.createDataFrame([], ROWS)).collect() == []
     assert op.near_duplicates(spark.createDataFrame([(1, None, 0, 0)], ROWS)).first().n_links == 0
+
+
+def _judged(spark, rows):
+    df = spark.createDataFrame([(i, v, 0, 1) for i, v in rows], ROWS)
+    return {x.vec_id: (x.n_links, x.component_id) for x in op.near_duplicates(df).collect()}
+
+
+def test_two_large_groups_that_link_across(spark):
+    """More near copies on both sides than a list holds, all pairs across at 0.9 to 0.95."""
+    r = np.random.default_rng(7)
+    one, other = np.linalg.qr(r.normal(size=(64, 2)))[0].T
+    other = 0.93 * one + (1 - 0.93 ** 2) ** 0.5 * other
+    rows = [(i, r.normal(size=64).tolist()) for i in range(500)]
+    for g, centre in enumerate((one, other)):
+        rows += [(1000 + 1000 * g + i, (centre + r.normal(size=64) * 0.004).tolist()) for i in range(200)]
+    rows = [(i, np.array(v, np.float32).tolist()) for i, v in rows]
+    got = _judged(spark, rows)
+    assert got[2000] == (399, 1000)
+    assert got == plain(rows)

@@ -8,7 +8,10 @@ again. Recall is then audited against brute force on a bounded sample of vectors
 ``RECALL``, more trees and rounds follow. Edges of at least ``threshold`` are kept, checked in double
 precision, and give the connected components.
 
-Lists end at ``MAX_K``. What they cannot hold is counted exactly: every component is cut into blocks of
+Lists end at ``MAX_K``. Vectors whose lists are full at that size may link with others that no list shows,
+so their components are compared exactly: cut into blocks with a centre and a radius, and every two blocks
+of different components that can still hold a link by the angles are multiplied; components that link are
+one (``_bridges``). Then links are counted exactly: every component is cut into blocks of
 about ``BLOCK`` vectors, and each pair of its blocks is multiplied in a task of its own, which returns the
 number of links of each vector and never the pairs. So a group of copies of any size costs tasks of
 bounded memory, and ``n_links`` is exact within every component.
@@ -210,7 +213,8 @@ def _refine(vectors: DataFrame, graph: DataFrame, n: int) -> DataFrame:
 
 
 def neighbour_graph(vectors: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, float]:
-    """Links ``(a, b)`` of at least ``threshold`` found by the descent, checked exactly, and the audited recall."""
+    """Links ``(a, b)`` of at least ``threshold`` found by the descent, checked exactly, with the pairs of
+    components that full lists keep apart, and the audited recall."""
     n = vectors.count()
     graph, recall, links = None, 0.0, None
     for audit in range(MAX_AUDITS):
@@ -232,12 +236,100 @@ def neighbour_graph(vectors: DataFrame, threshold: float = THRESHOLD) -> tuple[D
         near = graph.where(F.col("sim") >= threshold - SLACK).select(
             F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
         links = stored(_checked(near, vectors, threshold), "nnd-links")
+        full = stored(graph.groupBy("u").agg(F.min("sim").alias("low"), F.count("*").alias("n"), F.max("k").alias("k")).where(
+            (F.col("n") >= F.col("k")) & (F.col("low") >= threshold - SLACK)).select(F.col("u").alias("vec_id")), "nnd-full")
+        if not full.isEmpty():
+            links = links.union(_bridges(vectors.join(full, "vec_id"), links, threshold))
         recall = _audit(vectors, links, threshold)
         if recall >= RECALL:
             break
     return links, recall
 
 
+def _bridges(vectors: DataFrame, links: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``(a, b)`` of components of ``links`` (a vector without links is its own) between which some of
+    ``vectors`` link: exact, and enough of them to join all components that belong together.
+
+    A component with at least ``MAX_K`` of the vectors has blocks of its own, the others share blocks. Two
+    blocks are multiplied in a task of their own unless the angle of their centres less both radii is too
+    large for any link; what comes back is one row for each component that is joined to another.
+    """
+    edge = math.acos(min(1.0, threshold)) + 1e-6
+    near = components(links)
+    of = near.select(F.col("node").alias("vec_id"), "component").union(near.select("component", "component")).distinct()
+    of = vectors.select("vec_id", "unit").join(of, "vec_id", "left").select(
+        F.coalesce("component", "vec_id").alias("component"), "vec_id", "unit")
+    of = stored(of, "nnd-bridge-of")
+    size = of.groupBy("component").agg(F.count("*").alias("n"))
+    # ``region``: the component of a large one, else none; vectors of different lengths never share a block.
+    placed = of.join(size, "component").select("component", "vec_id", "unit", F.length("unit").alias("d"), F.when(
+        F.col("n") >= MAX_K, F.col("component")).alias("region"))
+    parts = stored(placed.groupBy("d", "region").agg(F.ceil(F.count("*") / BLOCK).alias("parts")), "nnd-bridge-parts")
+    placed = placed.alias("p").join(parts.alias("q"), F.col("p.d").eqNullSafe(F.col("q.d")) & F.col("p.region").eqNullSafe(
+        F.col("q.region"))).select("component", "vec_id", "unit", "p.d", "p.region", F.pmod(
+            F.xxhash64("vec_id"), "parts").alias("part"))
+
+    def centre(rows: pd.DataFrame) -> pd.DataFrame:
+        x = np.frombuffer(b"".join(rows.unit)).reshape(len(rows), -1)
+        c = x.sum(0)
+        if not (size := np.sqrt(c @ c)):
+            c, size = x[0], 1.0
+        c = c / size
+        return pd.DataFrame({"block": [rows.vec_id.min()], "d": rows.d.iloc[:1].to_numpy(), "region": rows.region.iloc[:1].array,
+                             "centre": [c.tobytes()], "radius": [float(np.arccos(np.clip((x @ c).min(), -1, 1)))],
+                             "ids": [rows.vec_id.to_numpy()]})
+
+    blocks = stored(placed.groupBy("d", "region", "part").applyInPandas(
+        centre, "block long, d int, region long, centre binary, radius double, ids array<long>"), "nnd-bridge-blocks")
+    member = stored(blocks.select("block", F.explode("ids").alias("vec_id")).join(of, "vec_id"), "nnd-bridge-member")
+    # Blocks meet as vectors do in _link_counts: their centres are cut into blocks too, met in pairs.
+    spans = F.lit(max(1, math.ceil(blocks.count() / BLOCK))).cast("long")
+    met = blocks.drop("ids").withColumn("own", F.pmod(F.xxhash64("block"), spans)).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), spans - 1))).select(
+            F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "block", "d",
+            F.coalesce("region", F.lit(0)).alias("region"), F.col("region").isNull().alias("mixed"), "centre", "radius")
+
+    def can_link(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for _, same in rows.groupby("d"):
+            a, b = same[same.own == key[0]], same[same.own == key[1]]
+            if not len(a) or not len(b):
+                continue
+            x = np.frombuffer(b"".join(a.centre)).reshape(len(a), -1)
+            y = np.frombuffer(b"".join(b.centre)).reshape(len(b), -1)
+            angle = np.arccos(np.clip(x @ y.T, -1, 1)) - a.radius.to_numpy()[:, None] - b.radius.to_numpy()
+            one = ((a.region.to_numpy()[:, None] == b.region.to_numpy())
+                   & ~a.mixed.to_numpy()[:, None] & ~b.mixed.to_numpy())
+            r, c = np.nonzero((angle <= edge) & ~one)
+            u, v = a.block.to_numpy()[r], b.block.to_numpy()[c]
+            good = u <= v if key[0] == key[1] else np.ones(len(u), bool)
+            found.append(pd.DataFrame({"p": u[good], "q": v[good]}))
+        return pd.concat(found) if found else pd.DataFrame({"p": [], "q": []}).astype("int64")
+
+    pairs = stored(met.groupBy("i", "j").applyInPandas(can_link, "p long, q long"), "nnd-bridge-pairs")
+    sides = pairs.select("p", "q", F.col("p").alias("block")).union(pairs.where("p <> q").select("p", "q", "q"))
+
+    def joined(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
+        a, b = rows[rows.block == key[0]], rows[rows.block == key[1]]
+        x = np.frombuffer(b"".join(a.unit)).reshape(len(a), -1)
+        y = np.frombuffer(b"".join(b.unit)).reshape(len(b), -1)
+        near = x @ y.T >= threshold
+        own, at = np.unique(np.concatenate([a.component, b.component]), return_inverse=True)
+        low, r, c = np.arange(len(own)), *np.nonzero(near)
+        r, c = at[:len(a)][r], at[len(a):][c]
+        while True:  # the least component reachable over the links of these two blocks
+            new = low.copy()
+            np.minimum.at(new, r, low[c])
+            np.minimum.at(new, c, low[r])
+            if (new == low).all():
+                break
+            low = new
+        moved = low != np.arange(len(own))
+        return pd.DataFrame({"a": own[low[moved]], "b": own[moved]})
+
+    return stored(sides.join(member, "block").groupBy("p", "q").applyInPandas(joined, "a long, b long").distinct(), "nnd-bridges")
+
+
 def _checked(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
