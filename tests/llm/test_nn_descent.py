@@ -84,3 +84,12 @@ def test_two_large_groups_that_link_across(spark):
     got = _judged(spark, rows)
     assert got[2000] == (399, 1000)
     assert got == plain(rows)
+
+
+def test_many_exact_copies(spark):
+    r = np.random.default_rng(8)
+    rows = [(i, np.array(r.normal(size=16), np.float32).tolist()) for i in range(300)]
+    rows += [(1000 + i, rows[0][1]) for i in range(470)] + [(2000, (np.array(rows[0][1]) * 2).tolist())]
+    got = _judged(spark, rows)
+    assert len({c for i, (_, c) in got.items() if i >= 1000}) == 1
+    assert got == plain(rows)

@@ -18,7 +18,11 @@ bounded memory, and ``n_links`` is exact within every component.
 
 During the descent vectors travel as one byte per component (64 bytes instead of 512); that shifts a
 cosine by some thousandths, so edges from ``threshold - SLACK`` on are checked again exactly. A vector that
-many others have in their lists has its join split into blocks of ``JOIN`` members.
+many others have in their lists has its join split into blocks of ``JOIN`` members, others in every round;
+so are large leaves, others in every tree.
+
+Equal unit vectors are one from the start (an aggregate with map-side combine), known by their least id and
+their number, which the link counts use; a group of exact copies of any size costs one vector.
 
 Rows. Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, nor do
 vectors of different lengths with each other. Rows of one ``vec_id`` are one vector (the least of them); a
@@ -65,7 +69,7 @@ def _unit(rows: list) -> list[bytes | None]:
             out.append(None)
             continue
         v = v / top  # before squaring, so no component over- or underflows
-        out.append((v / np.sqrt(v @ v)).tobytes())
+        out.append((v / np.sqrt(v @ v) + 0.0).tobytes())  # no negative zeros: equal vectors have equal bytes
     return out
 
 
@@ -176,7 +180,7 @@ def _leaves(vectors: DataFrame, n: int, first: int, trees: int) -> DataFrame:
     large = stored(size.where(F.col("n") > 4 * LEAF), "nnd-large")
     parts = F.ceil(F.coalesce("n", F.lit(1)) / (2 * LEAF))
     return rows.join(large, "leaf", "left").select(
-        "leaf", F.pmod(F.xxhash64("id"), parts).cast("long").alias("part"), "id", F.lit(-2.0).cast("float").alias("bar"), "code")
+        "leaf", F.pmod(F.xxhash64("id", "leaf"), parts).cast("long").alias("part"), "id", F.lit(-2.0).cast("float").alias("bar"), "code")
 
 
 def _merged(edges: DataFrame) -> DataFrame:
@@ -190,7 +194,7 @@ def _merged(edges: DataFrame) -> DataFrame:
 
 def _refine(vectors: DataFrame, graph: DataFrame, n: int) -> DataFrame:
     """Rounds of neighbour-of-neighbour joins until few entries are new."""
-    for _ in range(MAX_ROUNDS):
+    for turn in range(MAX_ROUNDS):
         # The bar of a vector: its last entry if the list is full.
         bars = graph.groupBy("u").agg(F.min("sim").alias("low"), F.count("*").alias("n"), F.max("k").alias("k")).select(
             F.col("u").alias("vec_id"), F.when(F.col("n") >= F.col("k"), F.col("low")).otherwise(F.lit(-2.0)).cast("float").alias("bar"))
@@ -203,7 +207,7 @@ def _refine(vectors: DataFrame, graph: DataFrame, n: int) -> DataFrame:
         size = around.groupBy("w").agg(F.count("*").alias("n"), F.max("fresh").alias("fresh")).where("fresh")
         groups = stored(size.select("w", F.ceil(F.col("n") / JOIN).alias("parts")), "nnd-groups")
         rows = around.join(groups, "w").select(
-            "w", F.pmod(F.xxhash64("id"), F.col("parts")).cast("long").alias("part"), "id").join(member, "id")
+            "w", F.pmod(F.xxhash64("id", "w", F.lit(turn)), F.col("parts")).cast("long").alias("part"), "id").join(member, "id")
         found = _joined(rows, ["w", "part"], MAX_K)
         new = found.select("u", "v", "sim", F.lit(0).alias("k"), F.lit(True).alias("fresh"))
         graph = _merged(graph.select("u", "v", "sim", "k", F.lit(False).alias("fresh")).union(new))
@@ -385,14 +389,15 @@ def _audit(vectors: DataFrame, links: DataFrame, threshold: float) -> float:
 
 
 def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
-    """Exact number of links of every member within its component: ``vec_id, n_links``.
+    """Exact number of links of every member within its component to others: ``vec_id, n_links``. A member
+    stands for ``n`` equal vectors.
 
     A component's blocks meet in pairs, each pair in a group of its own of some ``2 * BLOCK`` vectors.
     """
     size = stored(members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "nnd-sizes")
     placed = members.join(size, "component").withColumn("own", F.pmod(F.xxhash64("vec_id"), F.col("blocks")))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "vec_id", "unit")
+        "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "vec_id", "unit", "n")
 
     def count(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         i, j = key[1], key[2]
@@ -405,8 +410,9 @@ def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
         near = x @ y.T >= threshold
         if i == j:
             np.fill_diagonal(near, False)
-            return pd.DataFrame({"vec_id": a.vec_id.to_numpy(), "n": near.sum(1)})
-        return pd.DataFrame({"vec_id": np.concatenate([a.vec_id, b.vec_id]), "n": np.concatenate([near.sum(1), near.sum(0)])})
+            return pd.DataFrame({"vec_id": a.vec_id.to_numpy(), "n": near @ a.n.to_numpy()})
+        return pd.DataFrame({"vec_id": np.concatenate([a.vec_id, b.vec_id]),
+                             "n": np.concatenate([near @ b.n.to_numpy(), a.n.to_numpy() @ near])})
 
     return met.groupBy("component", "i", "j").applyInPandas(count, "vec_id long, n long").groupBy("vec_id").agg(
         F.sum("n").alias("n_links"))
@@ -415,14 +421,19 @@ def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
 def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every vector."""
     every = stored(prepared(embeddings), "nnd-vectors")
-    vectors = every.where("unit is not null")
+    classes = stored(every.where("unit is not null").groupBy("unit").agg(
+        F.min("vec_id").alias("vec_id"), F.count("*").alias("n"), F.min("code").alias("code")), "nnd-classes")
+    vectors = classes.select("vec_id", "unit", "code")
     links, _ = neighbour_graph(vectors, threshold)
     near = components(links)
     of = stored(near.select(F.col("node").alias("vec_id"), "component").union(
         near.select("component", "component")).distinct(), "nnd-of")
-    members = vectors.select("vec_id", "unit").join(of, "vec_id")
+    members = classes.select("vec_id", "unit", "n").join(of, "vec_id")
     counts = stored(_link_counts(members, threshold), "nnd-counts")
-    out = every.select("vec_id").join(of, "vec_id", "left").join(counts, "vec_id", "left").select(
+    judged = stored(classes.select("vec_id", "unit", "n").join(of, "vec_id", "left").join(counts, "vec_id", "left").select(
+        "unit", (F.coalesce("n_links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+        F.coalesce("component", "vec_id").alias("component")), "nnd-judged")
+    out = every.select("vec_id", "unit").join(judged, "unit", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component", "vec_id").alias("component_id"))
     lost = clash_free(embeddings, "vec_id").where("vec_id is null").select(
