@@ -93,3 +93,19 @@ def test_many_exact_copies(spark):
     got = _judged(spark, rows)
     assert len({c for i, (_, c) in got.items() if i >= 1000}) == 1
     assert got == plain(rows)
+
+
+def test_short_recall_is_made_good(spark, monkeypatch):
+    """One poor tree and no refinement: the large group hides what the small ones lose."""
+    monkeypatch.setattr(op, "MAX_AUDITS", 1)
+    monkeypatch.setattr(op, "TREES", 1)
+    monkeypatch.setattr(op, "_refine", lambda vectors, graph, n, *_: graph)
+    r = np.random.default_rng(9)
+    rows = [(i, r.normal(size=16).tolist()) for i in range(600)]
+    centre = r.normal(size=16)
+    rows += [(1000 + i, (centre + r.normal(size=16) * 0.03).tolist()) for i in range(300)]
+    for k in range(60):
+        c = r.normal(size=16)
+        rows += [(2000 + 10 * k + i, (c + r.normal(size=16) * 0.25).tolist()) for i in range(4)]
+    rows = [(i, np.array(v, np.float32).tolist()) for i, v in rows]
+    assert _judged(spark, rows) == plain(rows)

@@ -4,8 +4,10 @@ A graph of ``k`` neighbours per vector is seeded from the leaves of random-hyper
 joining neighbours of neighbours: around every vector its neighbours, and those it is a neighbour of, are
 compared with each other, and pairs that improve a list enter it. Rounds go on until few lists change.
 Vectors whose whole list lies above the threshold are *saturated*: their lists are doubled and refined
-again. Recall is then audited against brute force on a bounded sample of vectors; if it is short of
-``RECALL``, more trees and rounds follow. Edges of at least ``threshold`` are kept, checked in double
+again. Recall is then audited against brute force on a bounded sample of vectors, averaged over each
+component and then over the components, so that no large one hides what others lose; if it is short of
+``RECALL``, more trees and rounds follow, and after ``MAX_AUDITS`` of them all components are compared
+exactly. Links that only the audit shows are kept in any case. Edges of at least ``threshold`` are kept, checked in double
 precision, and give the connected components.
 
 Lists end at ``MAX_K``. Vectors whose lists are full at that size may link with others that no list shows,
@@ -216,11 +218,12 @@ def _refine(vectors: DataFrame, graph: DataFrame, n: int) -> DataFrame:
     return graph
 
 
-def neighbour_graph(vectors: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, float]:
+def neighbour_graph(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Links ``(a, b)`` of at least ``threshold`` found by the descent, checked exactly, with the pairs of
-    components that full lists keep apart, and the audited recall."""
+    components that full lists keep apart and the links of the audit; short of ``RECALL`` after the last audit
+    with all pairs of components that link."""
     n = vectors.count()
-    graph, recall, links = None, 0.0, None
+    graph = None
     for audit in range(MAX_AUDITS):
         leaves = _joined(_leaves(vectors, n, audit * TREES, TREES), ["leaf", "part"], MAX_K if audit else K)
         seeds = leaves.select("u", "v", "sim", F.lit(K).alias("k"), F.lit(True).alias("fresh"))
@@ -244,10 +247,11 @@ def neighbour_graph(vectors: DataFrame, threshold: float = THRESHOLD) -> tuple[D
             (F.col("n") >= F.col("k")) & (F.col("low") >= threshold - SLACK)).select(F.col("u").alias("vec_id")), "nnd-full")
         if not full.isEmpty():
             links = links.union(_bridges(vectors.join(full, "vec_id"), links, threshold))
-        recall = _audit(vectors, links, threshold)
+        recall, missed = _audit(vectors, links, threshold)
+        links = links.union(missed)
         if recall >= RECALL:
-            break
-    return links, recall
+            return links
+    return links.union(_bridges(vectors, links, threshold))
 
 
 def _bridges(vectors: DataFrame, links: DataFrame, threshold: float) -> DataFrame:
@@ -349,14 +353,15 @@ def _checked(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFram
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ua", "ub").mapInArrow(run, "a long, b long")
 
 
-def _audit(vectors: DataFrame, links: DataFrame, threshold: float) -> float:
-    """Share of the true links of a bounded, hashed sample of vectors whose ends lie in one component.
+def _audit(vectors: DataFrame, links: DataFrame, threshold: float) -> tuple[float, DataFrame]:
+    """Recall, and the links found missing, of a bounded, hashed sample of vectors: the share of a vector's true
+    links whose ends lie in one component, averaged over each component and then over the components.
 
     The sample (``AUDIT`` vectors) goes to every task; each task multiplies it with its own rows.
     """
     sample = hashed_sample(vectors.select("vec_id", "unit"), AUDIT, "vec_id").collect()
     if not sample:
-        return 1.0
+        return 1.0, links.limit(0)
     ids = np.array([r.vec_id for r in sample])
     units = [bytes(r.unit) for r in sample]
 
@@ -378,14 +383,15 @@ def _audit(vectors: DataFrame, links: DataFrame, threshold: float) -> float:
                     yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
 
     true = stored(vectors.select("vec_id", "unit").mapInArrow(run, "a long, b long"), "nnd-audit")
-    total = true.count()
-    if not total:
-        return 1.0
-    near = stored(components(links), "nnd-audit-components")
-    of = near.select(F.col("node").alias("a"), F.col("component").alias("ca")).union(
-        near.select("component", "component")).distinct()
-    met = true.join(of, "a").join(of.select(F.col("a").alias("b"), F.col("ca").alias("cb")), "b").where("ca = cb").count()
-    return met / total
+    near = components(links)
+    of = stored(near.select(F.col("node").alias("a"), F.col("component").alias("ca")).union(
+        near.select("component", "component")).distinct(), "nnd-audit-components")
+    met = stored(true.join(of, "a", "left").join(of.select(F.col("a").alias("b"), F.col("ca").alias("cb")), "b", "left").select(
+        "a", "b", F.coalesce("cb", "b").alias("component"),
+        (F.coalesce("ca", "a") == F.coalesce("cb", "b")).alias("met")), "nnd-audit-met")
+    share = met.groupBy("component", "b").agg(F.avg(F.col("met").cast("int")).alias("share"))
+    recall = share.groupBy("component").agg(F.avg("share").alias("share")).agg(F.avg("share")).first()[0]
+    return (1.0 if recall is None else recall), met.where(~F.col("met")).select("a", "b")
 
 
 def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
@@ -424,7 +430,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     classes = stored(every.where("unit is not null").groupBy("unit").agg(
         F.min("vec_id").alias("vec_id"), F.count("*").alias("n"), F.min("code").alias("code")), "nnd-classes")
     vectors = classes.select("vec_id", "unit", "code")
-    links, _ = neighbour_graph(vectors, threshold)
+    links = neighbour_graph(vectors, threshold)
     near = components(links)
     of = stored(near.select(F.col("node").alias("vec_id"), "component").union(
         near.select("component", "component")).distinct(), "nnd-of")
