@@ -131,3 +131,15 @@ def test_empty(spark, cases):
     some = spark.createDataFrame([(1, OTHER, "h", "w")], DOCS)
     assert op.findings(docs, items).collect() == [] and op.findings(some, items).collect() == []
     assert op.clean(some, items).count() == 1
+
+
+def _found(spark, item, text):
+    d = spark.createDataFrame([(1, text, "h", "w")], DOCS)
+    return op.findings(d, spark.createDataFrame([(1, item, "n")], ITEMS)).collect()
+
+
+def test_copies_in_other_case(spark):
+    item = "The heat of one oven rose. It was then that a baker left. Is this what made the bread burn so fast"
+    for text in (item.upper(), item.lower(), item):
+        (row,) = _found(spark, item, "so " + text + " so")
+        assert row.doc_place == 1 and not row.reparameterised

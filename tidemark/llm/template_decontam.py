@@ -2,7 +2,10 @@
 
 A text becomes words (runs without ASCII white space, outer signs stripped, none left: dropped), and each
 word its canonical form: a number, a capitalised name or the unit after a number gives way to the
-placeholder of its type, everything else is lower-cased. ``WINDOW`` consecutive canonical words are a template window. The
+placeholder of its type, everything else is lower-cased. ``WINDOW`` consecutive canonical words are a template window.
+As capitals also begin sentences and go in upper- or lower-cased copies, a text has a second form in which
+no word is a name and all are lower-cased; its windows meet only windows of that form, and an item is found
+by either. The
 windows of the benchmark items with at least ``LITERALS`` words that are no placeholder are joined by hash
 with the windows of all documents; hits of one item in one document on one diagonal (document place less
 item place) belong together, and an item is found where a diagonal has ``RUN`` of its windows, or half of
@@ -63,11 +66,16 @@ def canonical(words: Column) -> Column:
     return F.regexp_replace(F.lower(out), rf"{NUM} (?:{units})(?![^ ])", f"{NUM} {UNIT}")
 
 
-def _windows(words: Column, window: int) -> Column:
+def forms(words: Column) -> Column:
+    """The forms whose windows are looked for, by their number: canonical, and canonical without names."""
+    return F.array(canonical(words), canonical(F.lower(words)))
+
+
+def _windows(form: Column, words: Column, window: int) -> Column:
     def hashes(w: Column) -> Column:
         n = F.size(w)
         return F.when(n >= window, F.transform(
-            F.sequence(F.lit(1), F.greatest(n - window + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, window)))).otherwise(
+            F.sequence(F.lit(1), F.greatest(n - window + 1, F.lit(1))), lambda i: F.xxhash64(form, F.slice(w, i, window)))).otherwise(
                 F.array().cast("array<bigint>"))
 
     return let(words, hashes)
@@ -78,17 +86,19 @@ def _is_slot(word: Column) -> Column:
 
 
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``item_id, at, hash, n`` of the windows with enough literal words; ``n``: their number in the item."""
-    rows = items.select("item_id", F.split("canon", " ").alias("w")).select(
-        "item_id", "w", F.posexplode(_windows(F.col("w"), window)).alias("at", "hash"))
+    """``item_id, form, at, hash, n`` of the windows with enough literal words; ``n``: their number in the
+    item's form."""
+    rows = items.select("item_id", "form", F.split("canon", " ").alias("w")).select(
+        "item_id", "form", "w", F.posexplode(_windows(F.col("form"), F.col("w"), window)).alias("at", "hash"))
     literal = F.size(F.filter(F.slice("w", F.col("at") + 1, window), lambda x: ~_is_slot(x)))
-    rows = rows.where(literal >= min(LITERALS, window)).select("item_id", "at", "hash")
-    return rows.join(rows.groupBy("item_id").agg(F.count("*").alias("n")), "item_id")
+    rows = rows.where(literal >= min(LITERALS, window)).select("item_id", "form", "at", "hash")
+    return rows.join(rows.groupBy("item_id", "form").agg(F.count("*").alias("n")), ["item_id", "form"])
 
 
 def _prepared(df: DataFrame, key: str) -> DataFrame:
-    return clash_free(df, key, "text").select(key, plain_words(F.col("text")).alias("plain")).withColumn(
-        "canon", canonical(F.col("plain")))
+    """``key, plain, form, canon``, a row for each form."""
+    return clash_free(df, key, "text").select(key, plain_words(F.col("text")).alias("plain")).select(
+        key, "plain", F.posexplode(forms(F.col("plain"))).alias("form", "canon"))
 
 
 def findings(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -99,9 +109,9 @@ def findings(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Dat
     wanted = stored(item_windows(items, window), "decon-windows")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    grams = _prepared(docs, "doc_id").select("doc_id", F.split("canon", " ").alias("w")).select(
-        "doc_id", F.posexplode(_windows(F.col("w"), window)).alias("place", "hash"))
-    hits = grams.join(wanted, "hash").groupBy("doc_id", "item_id", (F.col("place") - F.col("at")).alias("diagonal")).agg(
+    grams = _prepared(docs, "doc_id").select("doc_id", "form", F.split("canon", " ").alias("w")).select(
+        "doc_id", F.posexplode(_windows(F.col("form"), F.col("w"), window)).alias("place", "hash"))
+    hits = grams.join(wanted, "hash").groupBy("doc_id", "item_id", "form", (F.col("place") - F.col("at")).alias("diagonal")).agg(
         F.max("n").alias("n"), F.collect_set("at").alias("ats"))  # an item bounds the set
     enough = F.least(F.lit(RUN), F.ceil(F.col("n") / 2))
     found = stored(hits.where(F.size("ats") >= enough), "decon-hits")
@@ -111,7 +121,7 @@ def findings(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Dat
                                                            F.col("doc_id").eqNullSafe(F.col("found")), "left_semi").select(
         "doc_id", F.split(plain_words(F.col("text")), " ").alias("dw")), "decon-texts")
     pairs = found.alias("f").join(texts.alias("t"), F.col("f.doc_id").eqNullSafe(F.col("t.doc_id"))).join(
-        items.select("item_id", F.split("plain", " ").alias("iw"), F.split("canon", " ").alias("ic")), "item_id")
+        items.select("item_id", "form", F.split("plain", " ").alias("iw"), F.split("canon", " ").alias("ic")), ["item_id", "form"])
     covered = F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + window - 1))))
     slots = F.filter(covered, lambda p: _is_slot(F.get("ic", p)) & F.get("dw", p + F.col("diagonal")).isNotNull())
     pairs = pairs.select("f.doc_id", "item_id", "diagonal", "n", "ats", "dw", "iw", "ic").withColumn("met", F.array_distinct(
