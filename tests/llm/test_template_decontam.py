@@ -143,3 +143,14 @@ def test_copies_in_other_case(spark):
     for text in (item.upper(), item.lower(), item):
         (row,) = _found(spark, item, "so " + text + " so")
         assert row.doc_place == 1 and not row.reparameterised
+
+
+def test_longer_names_and_conflicts(spark):
+    item = "we saw how the old boat of Alice went down the long river in 3 days"
+    text = "Then Sir Knight said: " + item.replace("Alice", "Mary Ann Lee").replace("3 days", "3 weeks")
+    (row,) = _found(spark, item, text)
+    assert row.reparameterised and row.doc_place == 4
+    item = "Any baker met Zoe and told Max that Eve had seen The big oven that was lit by Tom"
+    (row,) = _found(spark, item, item.replace("Any baker", "The baker"))
+    assert row.doc_place == 0
+    assert _found(spark, ITEM, ITEM.replace("3 hours", "5 hours")) == []

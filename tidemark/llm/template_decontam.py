@@ -4,8 +4,9 @@ A text becomes words (runs without ASCII white space, outer signs stripped, none
 word its canonical form: a number, a capitalised name or the unit after a number gives way to the
 placeholder of its type, everything else is lower-cased. ``WINDOW`` consecutive canonical words are a template window.
 As capitals also begin sentences and go in upper- or lower-cased copies, a text has a second form in which
-no word is a name and all are lower-cased; its windows meet only windows of that form, and an item is found
-by either. The
+no word is a name and all are lower-cased, and, as names differ in length and units may be left out, a third
+one in which names that follow each other are one placeholder and a number with its unit is another.
+Windows meet only windows of their form, and an item is found by any of them. The
 windows of the benchmark items with at least ``LITERALS`` words that are no placeholder are joined by hash
 with the windows of all documents; hits of one item in one document on one diagonal (document place less
 item place) belong together, and an item is found where a diagonal has ``RUN`` of its windows, or half of
@@ -13,8 +14,9 @@ them if the item is shorter than that.
 
 Slots. A re-parameterised question has other numbers, names or units in the same places. The values that
 meet in the placeholders of the windows found must map one to one: the same value in the item always to
-the same value in the document, and different ones to different ones. Where they do not, the likeness is
-accidental and the finding is dropped; where they do and some value differs, the finding is marked
+the same value in the document, and different ones to different ones. Where numbers or units do not, the
+likeness is accidental and the finding is dropped. Of names, some of which are only sentence starts, half of
+the pairs must be free of conflict; where they do and some value differs, the finding is marked
 ``reparameterised``.
 
 Scale. The windows of the documents are not shuffled as long as the benchmark's fit ``BROADCAST_ROWS``,
@@ -43,6 +45,8 @@ UNITS = ("mm cm dm m km ft yd mi mile miles inch inches foot feet yard yards met
          "hours day days week weeks month months year years cent cents dollar dollars euro euros usd eur gbp "
          "percent degree degrees mph kmh km/h").split()
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
+#: The form with joined placeholders, and what stands between the words of one of them.
+JOINED, GLUE = 2, "\x01"
 _WS = r"[\x20\x09-\x0D]"
 
 
@@ -67,8 +71,27 @@ def canonical(words: Column) -> Column:
 
 
 def forms(words: Column) -> Column:
-    """The forms whose windows are looked for, by their number: canonical, and canonical without names."""
-    return F.array(canonical(words), canonical(F.lower(words)))
+    """The forms whose windows are looked for, by their number: canonical, without names, and ``JOINED``."""
+
+    def joined(canon: Column) -> Column:
+        return F.replace(F.regexp_replace(canon, f"{NAME}(?: {NAME})++", NAME), F.lit(f"{NUM} {UNIT}"), F.lit(NUM))
+
+    return let(canonical(words), lambda c: F.array(c, canonical(F.lower(words)), joined(c)))
+
+
+def _units_of(plain: Column, form: Column) -> Column:
+    """The words that stand behind each canonical word of the form, as an array."""
+
+    def glued(words: Column, canon: Column) -> Column:
+        def end(i: Column) -> Column:
+            here, after = F.get(canon, i), F.get(canon, i + 1)
+            one = ((here == NAME) & (after == NAME)) | ((here == NUM) & (after == UNIT))
+            return F.when(F.coalesce(one, F.lit(False)), GLUE).otherwise(" ")
+
+        return F.split(F.array_join(F.transform(words, lambda w, i: F.concat(w, end(i))), ""), " ")
+
+    words = F.split(plain, " ")
+    return F.when(form == JOINED, let(words, lambda w: let(F.split(canonical(plain), " "), lambda c: glued(w, c)))).otherwise(words)
 
 
 def _windows(form: Column, words: Column, window: int) -> Column:
@@ -119,16 +142,33 @@ def findings(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Dat
     ids = found.select("doc_id").distinct()
     texts = stored(clash_free(docs, "doc_id", "text").join(ids.withColumnRenamed("doc_id", "found"),
                                                            F.col("doc_id").eqNullSafe(F.col("found")), "left_semi").select(
-        "doc_id", F.split(plain_words(F.col("text")), " ").alias("dw")), "decon-texts")
-    pairs = found.alias("f").join(texts.alias("t"), F.col("f.doc_id").eqNullSafe(F.col("t.doc_id"))).join(
-        items.select("item_id", "form", F.split("plain", " ").alias("iw"), F.split("canon", " ").alias("ic")), ["item_id", "form"])
+        "doc_id", plain_words(F.col("text")).alias("plain")), "decon-texts")
+    pairs = found.alias("f").join(texts.alias("t"), F.col("f.doc_id").eqNullSafe(F.col("t.doc_id"))).select(
+        "f.*", _units_of(F.col("plain"), F.col("form")).alias("dw")).join(
+        items.select("item_id", "form", _units_of(F.col("plain"), F.col("form")).alias("iw"), F.split("canon", " ").alias("ic")),
+        ["item_id", "form"])
     covered = F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + window - 1))))
     slots = F.filter(covered, lambda p: _is_slot(F.get("ic", p)) & F.get("dw", p + F.col("diagonal")).isNotNull())
-    pairs = pairs.select("f.doc_id", "item_id", "diagonal", "n", "ats", "dw", "iw", "ic").withColumn("met", F.array_distinct(
-        F.transform(slots, lambda p: F.struct(F.lower(F.get("iw", p)).alias("i"), F.lower(F.get("dw", p + F.col("diagonal"))).alias("d")))))
-    one_to_one = (F.size("met") == F.size(F.array_distinct("met.i"))) & (F.size("met") == F.size(F.array_distinct("met.d")))
-    kept = pairs.where(one_to_one).select(
-        "doc_id", "item_id", (F.col("diagonal") + F.array_min("ats")).alias("doc_place"),
+    pairs = pairs.select("doc_id", "item_id", "diagonal", "n", "ats", "dw", "iw", "ic").withColumn("met", F.array_distinct(
+        F.transform(slots, lambda p: F.struct(
+            F.lower(F.get("iw", p)).alias("i"), F.lower(F.get("dw", p + F.col("diagonal"))).alias("d"),
+            (F.get("ic", p) == NAME).alias("name")))))
+
+    def distinct(pairs: Column, side: str) -> Column:
+        return F.size(F.array_distinct(F.transform(pairs, lambda m: m[side])))
+
+    def one_to_one(pairs: Column) -> Column:
+        return (F.size(pairs) == distinct(pairs, "i")) & (F.size(pairs) == distinct(pairs, "d"))
+
+    def mostly(pairs: Column) -> Column:
+        free = F.filter(pairs, lambda m: F.size(F.filter(pairs, lambda o: (o["i"] == m["i"]) | (o["d"] == m["d"]))) == 1)
+        return 2 * F.size(free) >= F.size(pairs)
+
+    consistent = let(F.filter("met", lambda m: ~m["name"]), one_to_one) & let(F.filter("met", lambda m: m["name"]), mostly)
+    # The place in words: those of a joined placeholder count one by one.
+    first = F.col("diagonal") + F.array_min("ats")
+    kept = pairs.where(consistent).select(
+        "doc_id", "item_id", F.aggregate(F.slice("dw", 1, first), F.lit(0), lambda n, w: n + F.size(F.split(w, GLUE))).alias("doc_place"),
         F.size("ats").cast("long").alias("n_windows"), F.col("n").alias("item_windows"),
         F.exists("met", lambda m: m["i"] != m["d"]).alias("reparameterised"))
     best = F.max_by(F.struct("doc_place", "n_windows", "item_windows", "reparameterised"),
