@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     bpe_chunks,
+    conversation_repair,
+    embedding_whitening,
+    language_ppm,
     license_lr,
     nn_descent,
     phrase_automata,
@@ -64,8 +67,23 @@ def op10_token_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_fst.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_ppm.predict(docs, language_ppm.fit(docs)).drop("bits")
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.summary(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_fm, op2_bpe_chunks, op3_template_decontam, op4_url_cascade, op5_nn_descent, op6_license_lr,
-    op7_simhash_golay, op8_toxicity_ordinal, op9_phrase_automata, op10_token_fst)}
+    op7_simhash_golay, op8_toxicity_ordinal, op9_phrase_automata, op10_token_fst, op11_language_ppm, op12_embedding_whitening,
+    op13_conversation_repair)}
 #: Where SQL can express the whole result at whole size; the others are tested against brute force.
-ORACLE: dict[str, str] = {"op4_url_cascade": url_cascade.oracle()}
+ORACLE: dict[str, str] = {
+    "op4_url_cascade": url_cascade.oracle(), "op13_conversation_repair": conversation_repair.oracle()}
