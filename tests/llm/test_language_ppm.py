@@ -37,11 +37,12 @@ def plain_bits(counts, text, least=1):
             left = {s: n for s, n in seen.items() if s not in excluded}
             if not left:
                 continue
-            space = sum(left.values()) + len(left)
+            escape = len(left) if len(seen) < 256 else 0
+            space = sum(left.values()) + escape
             if padded[at] in left:
                 total -= math.log2(left[padded[at]] / space)
                 break
-            total -= math.log2(len(left) / space)
+            total -= math.log2(escape / space)
             excluded |= set(left)
         else:
             total += math.log2(max(256 - len(excluded), 1))

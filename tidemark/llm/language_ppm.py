@@ -2,9 +2,9 @@
 
 Each language has a context tree over bytes: for every context of up to ``ORDER`` bytes the symbols that
 followed it and how often. A byte is coded in the longest context the tree has; a context of T occurrences and
-D different symbols gives a symbol seen n times the probability n / (T + D) and leaves D / (T + D) to the
-*escape* to the context shorter by one byte, where the symbols of the longer one are excluded: they would
-have been coded there. Below the empty context all symbols never seen in the language are equally likely. So
+D different symbols gives a symbol seen n times the probability n / (T + D) and leaves D / (T + D) (nothing,
+if all 256 were seen) to the *escape* to the context shorter by one byte, where the symbols of the longer one
+are excluded: they would have been coded there. Below the empty context all symbols never seen in the language are equally likely. So
 each context's probabilities sum to one, and the minus logarithms are the exact length of a text's code. The
 statistics are frozen: nothing is learnt from the text that is coded. A document's language is the one with
 the shortest code, and the score its share of the probability of the text under all languages.
@@ -137,16 +137,16 @@ class Tree:
             context = k >> np.uint32(8)
             edge = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(k) else np.zeros(0, np.int64)
             total, different = np.add.reduceat(n, edge) if len(k) else n, np.diff(np.r_[edge, len(k)])
-            rest_all = rest_different = np.zeros(len(edge), np.int64)
+            escape = np.where(different < 256, different, 0)
+            rest_all = rest_escape = np.zeros(len(edge), np.int64)
             if above is not None and len(k):
                 order = len(self.levels)
                 parent_keys, parent_n, parent_contexts, parent_total, parent_different = above
                 mine = parent_n[_find(parent_keys, k & np.uint32((1 << 8 * order) - 1))[0]]
                 at = _find(parent_contexts, context[edge] & np.uint32((1 << 8 * (order - 1)) - 1))[0]
-                rest_different = parent_different[at] - different
-                rest_all = parent_total[at] - np.add.reduceat(mine, edge) + rest_different
-            self.levels.append(Level(k, _log(n), context[edge], _log(total + different), _log(different),
-                                     _log(rest_all), _log(rest_different)))
+                rest_escape = np.where(parent_different[at] < 256, parent_different[at] - different, 0)
+                rest_all = parent_total[at] - np.add.reduceat(mine, edge) + rest_escape
+            self.levels.append(Level(k, _log(n), context[edge], _log(total + escape), _log(escape), _log(rest_all), _log(rest_escape)))
             above = (k, n, context[edge], total, different)
         self.unseen = float(np.log2(max(256 - len(keys[0]), 1)))
 
