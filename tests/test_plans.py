@@ -20,10 +20,11 @@ def static_plans(spark):
         spark.conf.set(k, v)
 
 
-def test_fold_aggregates_map_side_and_shuffles_once(spark, static_plans):
+def test_fold_cuts_to_one_row_a_key_before_its_only_shuffle(spark, static_plans):
     plan = static_plans(c.fold_lsn(spark, SF))
-    assert "partial_min_by" in plan
-    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+    exchange = plan.index("Exchange hashpartitioning")
+    assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("Final") < exchange < plan.index("Partial")  # WindowGroupLimit on either side
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in plan
 
 
@@ -47,7 +48,7 @@ def test_running_max_shuffles_rows_on_key_and_chunk(spark, static_plans):
 def test_net_changes_fold_the_log_once(spark, static_plans):
     plan = static_plans(c.batch_net_changes(spark, SF))
     assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 5
-    assert len(re.findall(r"functions=\[min_by", plan)) == 1  # one final fold
+    assert len(re.findall(r"WindowGroupLimit .*Final", plan)) == 1  # one fold
 
 
 def test_prior_state_is_found_by_hash_aggregates(spark, static_plans):
@@ -60,6 +61,19 @@ def test_applying_changes_probes_the_state_once(spark, static_plans):
     assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 6
 
 
+def test_prior_images_take_no_part_in_windows_or_maxima(spark, static_plans):
+    plan = static_plans(c.changelog_before_after(spark, SF))
+    ranked = [line for line in plan.splitlines() if re.search(r"Window \[|max\(", line)]
+    assert ranked and not any("max(struct" in line or "max(named_struct" in line for line in ranked)
+    assert not any("status" in re.sub(r"output=.*", "", line.split("windowspec")[0]) for line in ranked if "max(" in line)
+
+
+def test_running_max_has_windows_by_key_and_upper_chunk(spark, static_plans):
+    plan = static_plans(c.applied_events(spark, SF))
+    assert re.search(r"Exchange hashpartitioning\(order_id#\d+L, _upper#\d+", plan)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_hot_key_spans_chunks_with_topic_coordinates(spark):
     """One key on one partition of a topic: its offsets must not share a chunk."""
     from pyspark.sql import functions as F

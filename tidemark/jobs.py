@@ -1,6 +1,6 @@
 """Job entry points: ``run`` (stream changes into the state table), ``reconcile`` (compare the
-table with the source truth folded from the same log) and ``inspect``, with exit codes a
-scheduler can gate on: 0 parity / success, 1 drift, 2 bad arguments or a rejected event,
+table with the source truth folded from the same log), ``inspect``, ``history`` and ``upkeep``, with exit
+codes a scheduler can gate on: 0 parity / success, 1 drift, 2 bad arguments or a rejected event,
 3 missing input or engine error.
 
 Only one-row summaries and capped key samples are collected to the driver.
@@ -58,19 +58,32 @@ def read_log(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return dc.accepted(dc.decode(lines, spec, keep=sm.FILE_ARRIVAL), "strict")
 
 
+#: Commits that wait before ``run`` compacts them.
+COMPACT_AFTER = 16
+
+
 def run(spark: SparkSession, stream_path: str, state_root: str, spec: TableSpec | None = None,
         mode: str = fo.MODE_LSN, files_per_trigger: int | None = None,
-        checkpoint: str | None = None, bytes_per_trigger: int | None = None) -> RunStats:
-    """Merge what is new in the stream. The counters are those of this run: of the epochs it committed,
-    or of the whole log in arrival mode, which folds all of it and replaces the table."""
+        checkpoint: str | None = None, bytes_per_trigger: int | None = None,
+        batch_size: int | None = None, compact_after: int | None = COMPACT_AFTER) -> RunStats:
+    """Merge what is new in the stream, in epochs of ``batch_size`` events if that is given. The counters
+    are those of this run: of the epochs it committed, or of the whole log in arrival mode, which folds all
+    of it and replaces the table. The state is compacted and retired once ``compact_after`` commits wait."""
     spec = spec or orders_spec()
     fo.check_mode(mode)
+    if batch_size is not None and batch_size < 1:
+        raise ValueError(f"batch size {batch_size} is below 1")
     if not fs.matches(spark, stream_path):
         raise FileNotFoundError(stream_path)
     state = StateTable(spark, state_root, spec)
     if mode == fo.MODE_LSN:
-        counts = _stream(spark, stream_path, state, spec, files_per_trigger, bytes_per_trigger,
-                         checkpoint or f"{state.root}/_checkpoint")
+        checkpoint = checkpoint or f"{state.root}/_checkpoint"
+        done: list[int] = []
+        stats = f"{state.root}/_stats"
+        sm.merge_stream(sm.text_source(spark, stream_path, files_per_trigger, bytes_per_trigger), state, spec, checkpoint,
+                        on_error="strict", stats_root=stats, done=done, events_per_epoch=batch_size,
+                        compact_after=compact_after).awaitTermination()
+        counts = _counted(spark, [sm.epoch_path(stats, sm.run_id(checkpoint), e) for e in done])
     else:
         # Negative control: last arrival wins. A later run has a longer log, so it replaces the table.
         changes = read_log(spark, stream_path, spec)
@@ -82,18 +95,12 @@ def run(spark: SparkSession, stream_path: str, state_root: str, spec: TableSpec
                     epochs=info["snapshots"], live_rows=info["live_rows"])
 
 
-def _stream(spark: SparkSession, stream_path: str, state: StateTable, spec: TableSpec, files: int | None,
-            size: int | None, checkpoint: str) -> dict[str, int]:
-    """Stream the new files into the state; counters summed over the epochs of this call."""
-    done: list[int] = []
-    stats = f"{state.root}/_stats"
-    sm.merge_stream(sm.text_source(spark, stream_path, files, size), state, spec, checkpoint, on_error="strict",
-                    stats_root=stats, done=done).awaitTermination()
-    if not done:
+def _counted(spark: SparkSession, records: list[str]) -> dict[str, int]:
+    """Counters summed over the progress records of micro-batches."""
+    if not records:
         return {"seen": 0, "applied": 0}
-    paths = [sm.epoch_path(stats, sm.run_id(checkpoint), e) for e in done]
-    row = spark.read.parquet(*paths).agg(F.sum("accepted").alias("seen"), F.sum("applied").alias("applied")).first()
-    return {"seen": row["seen"] or 0, "applied": row["applied"] or 0}
+    total = spark.read.schema(sm.STATS).parquet(*records).agg(F.sum("accepted"), F.sum("applied")).first()
+    return dict(zip(("seen", "applied"), (n or 0 for n in total)))
 
 
 def reconcile(spark: SparkSession, stream_path: str, state_root: str,
@@ -115,11 +122,30 @@ def reconcile(spark: SparkSession, stream_path: str, state_root: str,
     return Verdict(**row, samples=samples)
 
 
-def inspect(spark: SparkSession, state_root: str, spec: TableSpec | None = None) -> dict:
-    spec = spec or orders_spec()
-    if not fs.exists(spark, state_root):
+def _existing(spark: SparkSession, state_root: str, spec: TableSpec | None) -> StateTable:
+    state = StateTable(spark, state_root, spec or orders_spec())
+    if not state.exists():
         raise FileNotFoundError(state_root)
-    return StateTable(spark, state_root, spec).inspect().first().asDict()
+    return state
+
+
+def inspect(spark: SparkSession, state_root: str, spec: TableSpec | None = None) -> dict:
+    return _existing(spark, state_root, spec).inspect().first().asDict()
+
+
+def history(spark: SparkSession, state_root: str, last: int, spec: TableSpec | None = None) -> list[dict]:
+    """The ``last`` newest entries of the commit log, newest first."""
+    log = _existing(spark, state_root, spec).history()
+    return [r.asDict() for r in log.orderBy(F.desc("number"), F.desc("epoch")).limit(last).collect()]
+
+
+def upkeep(spark: SparkSession, state_root: str, keep_bases: int = 2, drop_tombstones_below_lsn: int | None = None,
+           spec: TableSpec | None = None) -> dict:
+    """Compact the state table now and retire what the newest ``keep_bases`` bases do not need."""
+    state = _existing(spark, state_root, spec)
+    waiting = len(state.layout()[1])
+    state.compact(drop_tombstones_below_lsn)
+    return {"folded": waiting, "retired": state.retire(keep_bases), "files": len(state.files(state.layout()[0]))}
 
 
 def merge_topic(spark: SparkSession, bootstrap: str, topic: str, table: str, checkpoint: str,
@@ -132,27 +158,27 @@ def merge_topic(spark: SparkSession, bootstrap: str, topic: str, table: str, che
 
 # -- rendering -------------------------------------------------------------------------------------
 
+def _table(rows: list[tuple]) -> str:
+    """Rows of text in columns, each as wide as its widest cell; the first column to the left."""
+    cells = [[f"{c:,}" if isinstance(c, int) else str(c) for c in row] for row in rows]
+    wide = [max(len(row[i]) for row in cells) for i in range(len(cells[0]))]
+    return "\n".join("  ".join(c.ljust(w) if i == 0 else c.rjust(w) for i, (c, w) in enumerate(zip(row, wide))).rstrip()
+                     for row in cells)
+
+
 def render_stats(s: RunStats, mode: str) -> str:
-    return (f"merge ({mode}): {s.delivered:,} events delivered, {s.applied:,} applied, "
-            f"{s.ignored:,} ignored as stale or duplicate\n"
-            f"state: {s.live_rows:,} live rows over {s.epochs:,} committed epochs")
+    return _table([("mode", "events", "applied", "ignored", "epochs", "live rows"),
+                   (mode, s.delivered, s.applied, s.ignored, s.epochs, s.live_rows)])
 
 
 def render_text(v: Verdict, shown: int = rc.SAMPLE_TEXT) -> str:
-    rule = "-" * 64
-    lines = [rule, f"reconciliation, source vs table: {'PARITY' if v.ok else 'DRIFT'}", rule,
-             f"source rows        {v.rows_source:,}", f"table rows         {v.rows_lake:,}"]
-    labels = {rc.MISSING: "missing in table", rc.EXTRA: "extra in table", rc.MISMATCH: "stale rows"}
-    for cls, label in labels.items():
-        n = getattr(v, cls)
-        if n:
-            lines.append(f"  {label:<17}{n:,}  e.g. {v.samples.get(cls, [])[:shown]}")
+    """A line for each class of keys that drifted, then the verdict."""
+    rows = [("class", "keys", "first keys")]
+    rows += [(cls, getattr(v, cls), ", ".join(map(str, v.samples.get(cls, [])[:shown])) or "-") for cls in rc.DRIFT_CLASSES]
     if v.duplicate_in_lake:
-        lines.append(f"  duplicate keys   {v.duplicate_in_lake:,}")
-    if float(v.drift) >= 0.005:
-        lines.append(f"value drift        ${float(v.drift):,.2f}")
-    lines.append(rule)
-    return "\n".join(lines)
+        rows.append(("duplicate", v.duplicate_in_lake, "-"))
+    sides = f"{v.rows_source:,} keys in the source, {v.rows_lake:,} in the table, {float(v.drift):,.2f} apart"
+    return f"{_table(rows)}\n{v.verdict.upper()}: {sides}"
 
 
 def render_json(v: Verdict) -> str:

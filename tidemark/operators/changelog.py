@@ -22,17 +22,16 @@ def with_before_images(log: DataFrame, spec: TableSpec, chunk_span: int = LSN_CH
 
     Redelivered copies (equal LSN) do not see each other, so they carry the same image.
 
-    The previous image is the latest lower-LSN change of the key (via a skew-safe running max of
-    ``(lsn, op, row)``); it is null for a first insert and after a delete.
+    The previous image is that of the latest lower-LSN change of the key; it is null for a first insert and
+    after a delete. Its LSN is found first, as a number, by a skew-safe running max; one join on (key, LSN)
+    then fetches the image, so no image takes part in a window or a maximum.
     """
-    image = F.struct(F.col(LSN).alias("l"), F.col("op").alias("o"),
-                     *[F.col(n).alias(n) for n in spec.column_names])
-    prev = prior_max(log, [spec.key], [LSN], image, "_prev", chunk_of(LSN, chunk_span),
-                     strictly_lower=True)
-    had_row = F.col("_prev").isNotNull() & (F.col("_prev.o") != DELETE_OP)
-    return prev.select(
-        "*", *[F.when(had_row, F.col(f"_prev.{n}")).alias(BEFORE + n) for n in spec.column_names]
-    ).drop("_prev")
+    marked = prior_max(log, [spec.key], [LSN], F.col(LSN), "_prev_lsn", chunk_of(LSN, chunk_span), strictly_lower=True)
+    images = log.where(F.col("op") != DELETE_OP).select(
+        F.col(spec.key).alias("_k"), F.col(LSN).alias("_l"), *[F.col(n).alias(BEFORE + n) for n in spec.column_names]
+    ).dropDuplicates(["_k", "_l"])
+    found = (F.col(spec.key) == F.col("_k")) & (F.col("_prev_lsn") == F.col("_l"))
+    return marked.join(images, found, "left").drop("_prev_lsn", "_k", "_l")
 
 
 def _image_json(spec: TableSpec, prefix: str = "") -> F.Column:

@@ -80,7 +80,7 @@ def batch_net_changes(changes: DataFrame, spec: TableSpec, arrival: Sequence[str
     """
     per_batch = fo.fold_state(changes, spec, fo.MODE_LSN, arrival, by=(batch,))
     ranked = prior_max(per_batch, [spec.key], [batch], F.col(LSN), "_prev_lsn",
-                       chunk_of(batch, chunk_span), maxima_of=changes)
+                       chunk_of(batch, chunk_span), maxima_of=changes, levels=1)  # a row for 1,024 batches
     changed = ranked.where(F.col("_prev_lsn").isNull() | (F.col(LSN) > F.col("_prev_lsn")))
     return changed.select(
         batch, spec.key, *spec.value_names, LSN,
@@ -96,7 +96,7 @@ def against_prior_batches(changes: DataFrame, spec: TableSpec, batch: str = "bat
     per_batch = changes.groupBy(batch, key).agg(
         F.max(LSN).alias("_l"), F.max_by(F.col("op") == DELETE_OP, F.col(LSN)).alias("_d")).select(
             batch, key, F.struct(F.col("_l").alias("l"), F.col("_d").alias("d")).alias("_m"))
-    stored = prior_max(per_batch, [key], [batch], F.col("_m"), "_stored", chunk_of(batch, chunk_span))
+    stored = prior_max(per_batch, [key], [batch], F.col("_m"), "_stored", chunk_of(batch, chunk_span), levels=1)
     stored = stored.select(batch, key, F.col("_stored.l").alias("stored_lsn"),
                            F.col("_stored.d").alias("stored_deleted"))
     return with_verdict(changes.join(stored, [batch, key], "inner"))

@@ -9,7 +9,8 @@ unwrapped; null and blank lines are skipped. Every scalar is parsed as text and
 
 A line holds exactly one JSON object. ``from_json`` alone would read the first value of a line and
 ignore what follows, so the line is parsed as the first element of an array that ends in a sentinel:
-only a single well-formed object leaves the array with these two elements.
+only a single well-formed object leaves the array with these two elements. The sentinel carries the line's
+own digest, which the line cannot contain, so no line can bring a sentinel of its own.
 """
 
 from __future__ import annotations
@@ -42,10 +43,10 @@ ON_ERROR = ("strict", "quarantine")
 def _with_object(df: DataFrame, text: F.Column, spec: TableSpec, name: str) -> DataFrame:
     """Add the envelope that ``text`` consists of; null unless it is one JSON object and nothing else."""
     schema = T.ArrayType(spec.envelope_parse_schema(_END))
-    parsed = F.from_json(F.concat(F.lit("["), text, F.lit(f',{{"{_END}":"1"}}]')), schema)
+    parsed = F.from_json(F.concat(F.lit("["), text, F.lit(f',{{"{_END}":"'), F.sha2(text, 256), F.lit('"}]')), schema)
     df = _evaluate_once(df, parsed, "_a")
     first, last = F.get("_a", F.lit(0)), F.get("_a", F.lit(1))
-    alone = (F.size("_a") == 2) & (last.getField(_END) == "1") & first.getField(_END).isNull()
+    alone = (F.size("_a") == 2) & (last.getField(_END) == F.sha2(text, 256))
     return df.withColumn(name, F.when(alone, first)).drop("_a")
 
 

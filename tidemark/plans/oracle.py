@@ -184,7 +184,8 @@ SELECT reason, count(*) AS n FROM (
     WHEN 4 THEN 'no_image' WHEN 5 THEN 'no_key'
     WHEN 6 THEN CASE WHEN op = 'd' THEN 'ok' ELSE 'bad_value' END
     WHEN 7 THEN 'skipped' WHEN 8 THEN 'skipped'
-    WHEN 9 THEN 'bad_json' WHEN 10 THEN 'bad_json' ELSE 'ok' END AS reason
+    WHEN 9 THEN 'bad_json' WHEN 10 THEN 'bad_json' WHEN 11 THEN 'bad_json' WHEN 12 THEN 'bad_json'
+    ELSE 'ok' END AS reason
   FROM L) GROUP BY reason"""))
 
 # -- typed projection and reconciliation ---------------------------------------------------------
@@ -317,3 +318,48 @@ SELECT 'T-' || k AS ticket, make_timestamp((1600000000000 + k * 1000 + v) * 1000
   CAST(round_even(CAST((p + v) AS DECIMAL(18,6)) * CAST(0.125 AS DECIMAL(4,3)), 3) AS DECIMAL(18,3)) AS fee,
   k * 2 + v AS _lsn
 FROM r WHERE rn = 1 AND k % 5 <> 0"""
+
+
+# -- state by key ranges, commit log, keyed streams, event batches, digests ------------------------
+
+ROUND_CTE = """RL AS (
+  SELECT *, CAST(floor(batch * 4 / ((SELECT max(batch) FROM LB) + 1)) AS INTEGER) AS round FROM LB)"""
+
+
+def _fold_of(source: str, name: str) -> str:
+    """State, tombstones included, of the events of ``source``."""
+    return f"""{name} AS (
+  SELECT order_id, CASE WHEN op <> 'd' THEN customer_id END AS customer_id, CASE WHEN op <> 'd' THEN status END AS status,
+         CASE WHEN op <> 'd' THEN amount END AS amount, CASE WHEN op <> 'd' THEN updated_ms END AS updated_ms,
+         _lsn, op = 'd' AS _deleted
+  FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY _lsn DESC, slot, pos, dup) AS rn FROM {source})
+  WHERE rn = 1)"""
+
+
+register("compact_incremental", ORACLE["fold_lsn_state"])
+register("stream_state_store", ORACLE["fold_lsn_state"])
+register("probe_pruned", with_log(
+    ROUND_CTE, "OLD AS (SELECT * FROM RL WHERE round < 3)", _fold_of("OLD", "OS"), final="""
+SELECT e.slot, e.pos, e.dup, e.order_id, e._lsn, o._lsn AS stored_lsn, o._deleted AS stored_deleted,
+       CASE WHEN o._lsn IS NULL THEN 'new' WHEN e._lsn > o._lsn THEN 'apply' ELSE 'stale' END AS verdict
+FROM RL e LEFT JOIN OS o ON e.order_id = o.order_id WHERE e.round = 3"""))
+register("state_as_of", with_log(
+    ROUND_CTE, "OLD AS (SELECT * FROM RL WHERE round < 2)", _fold_of("OLD", "OS"), final="SELECT * FROM OS"))
+register("snapshot_history", with_log(ROUND_CTE, final="""
+SELECT CAST(1 AS BIGINT) AS number, 'load' AS run, batch AS epoch, count(DISTINCT order_id) AS rows
+FROM RL WHERE round < 2 GROUP BY batch
+UNION ALL
+SELECT CAST(round AS BIGINT) AS number, 'seq' AS run, CAST(round AS BIGINT) AS epoch, count(DISTINCT order_id) AS rows
+FROM RL WHERE round >= 2 GROUP BY round"""))
+register("epoch_counters", with_log(*FLAG_CTES, """RF AS (
+  SELECT *, CAST(floor(batch * 4 / ((SELECT max(batch) FROM FL) + 1)) AS BIGINT) AS epoch FROM FL)""", final="""
+SELECT epoch, count(*) AS delivered, count(*) AS accepted, CAST(0 AS BIGINT) AS rejected,
+       count(*) FILTER (WHERE op = 'd') AS deletes, max(_lsn) AS max_lsn,
+       count(*) FILTER (WHERE applied) AS applied, count(*) FILTER (WHERE NOT applied) AS ignored
+FROM RF GROUP BY epoch"""))
+register("batches_of_500", with_log(*FLAG_CTES, """CB AS (
+  SELECT applied, CAST(floor((row_number() OVER (ORDER BY slot, pos, dup) - 1) / 500) AS BIGINT) AS batch FROM FL)""", final="""
+SELECT batch, count(*) AS delivered, count(*) FILTER (WHERE applied) AS applied,
+       count(*) FILTER (WHERE NOT applied) AS ignored FROM CB GROUP BY batch"""))
+register("recon_by_digest", ORACLE["recon_summary"])
+register("recon_by_digest_parity", ORACLE["recon_parity"])

@@ -14,7 +14,7 @@ import hashlib
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import counters as co
@@ -22,7 +22,7 @@ from ..operators import decode as dc
 from ..operators import fold as fo
 from ..spec import LSN, TableSpec
 from . import fs
-from .state import StateTable
+from .state import BULK, StateTable
 
 KAFKA_ARRIVAL = ("partition", "offset")
 KAFKA_POSITION = "offset"
@@ -94,52 +94,99 @@ def run_id(checkpoint: str) -> str:
     return "r" + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
 
 
-def epoch_stats(decoded: DataFrame, epoch_id: int, flags: DataFrame | None = None) -> DataFrame:
-    """One row of progress counters for a decoded micro-batch; ``applied`` and ``ignored`` from its
-    ``flags`` against the state before it."""
+def line_counters() -> list[F.Column]:
+    """Aggregates over decoded lines: what came in, and what became of it."""
     reason = F.col(dc.REASON)
-    counts = decoded.agg(
-        F.lit(int(epoch_id)).cast("bigint").alias("epoch"),
-        F.count(F.lit(1)).alias("delivered"),
-        F.count_if(reason == dc.OK).alias("accepted"),
-        F.count_if(reason == dc.SKIPPED).alias("skipped"),
-        F.count_if(~reason.isin(dc.OK, dc.SKIPPED)).alias("rejected"),
-        F.count_if((reason == dc.OK) & (F.col("op") == "d")).alias("deletes"),
-        F.max(F.when(reason == dc.OK, F.col(LSN))).alias("max_lsn"))
-    if flags is None:
-        return counts
-    done = flags.agg(F.count_if("applied").alias("applied"), F.count_if(~F.col("applied")).alias("ignored"))
-    both = counts.unionByName(done, allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+    return [F.count(F.lit(1)).alias("delivered"),
+            F.count_if(reason == dc.OK).alias("accepted"),
+            F.count_if(reason == dc.SKIPPED).alias("skipped"),
+            F.count_if(~reason.isin(dc.OK, dc.SKIPPED)).alias("rejected"),
+            F.count_if((reason == dc.OK) & (F.col("op") == "d")).alias("deletes"),
+            F.max(F.when(reason == dc.OK, F.col(LSN))).alias("max_lsn")]
+
+
+def event_counters() -> list[F.Column]:
+    """Aggregates over flagged events."""
+    return [F.count_if(F.col("applied")).alias("applied"), F.count_if(~F.col("applied")).alias("ignored")]
+
+
+STATS = "epoch long, delivered long, accepted long, skipped long, rejected long, deletes long, max_lsn long, applied long, ignored long"
 
 
 def epoch_path(root: str, run: str, epoch_id: int) -> str:
     return f"{root}/{run}/e{int(epoch_id):012d}"
 
 
+def cut(lines: DataFrame, events: int, order: Sequence[str], split: Sequence[str] = FILE_ARRIVAL[:-1],
+        row: str = FILE_POSITION) -> DataFrame:
+    """Lines that carry an event (neither null nor blank), with the number ``_cut`` of their batch of
+    ``events`` lines in delivery order; the last batch is what is left.
+
+    An index of the splits, one row each, says how many lines come before a split; a line's place is that
+    and its place in the split. Only the index is sorted as a whole, never the lines. Index and lines come
+    from one listing of files, which Spark packs into the same tasks, so the rows are numbered alike in both.
+    """
+    text = lines.where(F.col("value").isNotNull() & (F.trim("value") != ""))
+    index = text.groupBy(*split).agg(F.min(row).alias("_first"), F.count(F.lit(1)).alias("_lines"))
+    earlier = Window.orderBy(*[c for c in order if c in split]).rowsBetween(Window.unboundedPreceding, -1)
+    index = index.withColumn("_before", F.coalesce(F.sum("_lines").over(earlier), F.lit(0))).drop("_lines")
+    place = F.col("_before") + F.col(row) - F.col("_first")
+    return text.join(index, list(split)).withColumn("_cut", F.floor(place / F.lit(events)).cast("bigint")).drop("_first", "_before")
+
+
 def epoch_writer(state: StateTable, spec: TableSpec, run: str, arrival: Sequence[str] = FILE_ARRIVAL,
                  position: str | None = FILE_POSITION, on_error: str = "quarantine",
-                 rejects_root: str | None = None, stats_root: str | None = None, done: list[int] | None = None):
+                 rejects_root: str | None = None, stats_root: str | None = None, done: list[int] | None = None,
+                 events_per_epoch: int | None = None, compact_after: int | None = None):
     """The ``foreachBatch`` function: decode, commit the epoch, side-output rejects and a one-row
-    progress record per epoch, written before the commit so that a replay never counts an epoch
-    against a state that already holds it. ``done`` gets the ids of the epochs seen."""
+    progress record per epoch. ``done`` gets the ids of the epochs seen.
+
+    The counters are observed in the pass that writes the epoch, against the state before it, of which only
+    the files are read that the epoch's keys can meet. A replay that finds the epoch committed but not
+    counted counts it against the state as of the commit before. With ``events_per_epoch``, a micro-batch
+    is committed as epochs of that many events each, in one write. With ``compact_after``, the state is
+    compacted once that many commits wait.
+    """
     order = tuple(arrival)
 
+    def flagged(events: DataFrame, as_of: int | None) -> DataFrame:
+        flags = co.applied_flags(events, spec, order, position=position)
+        if not state.exists():
+            return flags
+        return co.applied_to_state(flags, state.probe(events.select(spec.key), as_of), spec)
+
     def write(batch: DataFrame, epoch_id: int) -> None:
         lines = numbered(batch) if FILE_POSITION in order and FILE_POSITION not in batch.columns else batch
-        decoded = dc.decode(lines, spec, keep=order)
-        if rejects_root or stats_root:  # several outputs read the batch: decode it once
+        keep = order
+        if events_per_epoch:
+            lines, keep = cut(lines, events_per_epoch, order), (*order, "_cut")
+        decoded = dc.decode(lines, spec, keep=keep)
+        if rejects_root or stats_root:  # the batch is read by the probe and the marks besides the write
             decoded = decoded.persist()
         try:
-            if stats_root and not fs.committed(state.spark, epoch_path(stats_root, run, epoch_id)):
-                flags = co.applied_flags(dc.accepted(decoded, on_error), spec, order, position=position)
-                if state.exists():
-                    flags = co.applied_to_state(flags, state.read_state(), spec)
-                epoch_stats(decoded, epoch_id, flags).coalesce(1).write.mode("overwrite").parquet(
-                    epoch_path(stats_root, run, epoch_id))
+            name = (f"{run}-{int(epoch_id)}", BULK) if events_per_epoch else (run, int(epoch_id))
+            stats = stats_root and epoch_path(stats_root, run, epoch_id)
+            counting = bool(stats) and not fs.committed(state.spark, stats)
+            number = state.number(*name) if counting else None
+            seen, judged = Observation(), Observation()
+            events = dc.accepted(decoded.observe(seen, *line_counters()) if counting else decoded, on_error)
+            if counting:
+                judged_events = flagged(events, None if number is None else number - 1).observe(judged, *event_counters())
+                if number is not None:
+                    judged_events.write.format("noop").mode("overwrite").save()
+                # A key's flags do not change which of its changes wins.
+                events = judged_events
             if rejects_root:
                 dc.rejected(decoded).write.mode("overwrite").parquet(epoch_path(rejects_root, run, epoch_id))
-            state.write_epoch(dc.accepted(decoded, on_error), epoch_id, run, order)
+            if events_per_epoch:
+                written = state.write_epochs(events, "_cut", name[0], order)
+            else:
+                written = state.write_epoch(events, name[1], run, order)
+            if counting and (written or number is not None):
+                counts = {"epoch": int(epoch_id), **seen.get, **judged.get}
+                state.spark.createDataFrame([counts], STATS).coalesce(1).write.mode("overwrite").parquet(stats)
+            if compact_after:
+                state.upkeep(compact_after)
             if done is not None:
                 done.append(int(epoch_id))
         finally:
@@ -183,10 +230,11 @@ def merge_topic(spark: SparkSession, bootstrap: str, topic: str, table: str, che
 def merge_stream(source: DataFrame, state: StateTable, spec: TableSpec, checkpoint: str,
                  arrival: Sequence[str] = FILE_ARRIVAL, position: str | None = FILE_POSITION,
                  on_error: str = "quarantine", rejects_root: str | None = None, stats_root: str | None = None,
-                 available_now: bool = True, processing_time: str | None = None, done: list[int] | None = None):
+                 available_now: bool = True, processing_time: str | None = None, done: list[int] | None = None,
+                 events_per_epoch: int | None = None, compact_after: int | None = None):
     """Start the streaming merge; returns the ``StreamingQuery``."""
     writer = epoch_writer(state, spec, run_id(checkpoint), arrival, position, on_error, rejects_root,
-                          stats_root, done)
+                          stats_root, done, events_per_epoch, compact_after)
     stream = source.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     if available_now:
         stream = stream.trigger(availableNow=True)
