@@ -69,3 +69,37 @@ def test_features_by_hand():
     names = dict(zip(__import__("tidemark.llm.features", fromlist=["STRUCTURE"]).STRUCTURE, s[0]))
     assert names["distinct_words"] == 0.5 and names["distinct_lines"] == 0.5 and names["upper"] == 0.5
     assert np.isfinite(s).all()
+
+
+def test_ordinal_slopes_are_those_of_the_likelihood():
+    rng = np.random.default_rng(5)
+    z, grades = rng.normal(size=40), rng.integers(0, toxicity_ordinal.GRADES + 1, 40)
+    first, gaps = 0.3, np.array([0.1, -0.4])
+    loss, slope, g_b = toxicity_ordinal.likelihood(z, grades, first, gaps)
+    b = first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
+    plain = 0.0
+    for v, k in zip(z, grades):
+        at_least = [1.0, *[1 / (1 + np.exp(t - v)) for t in b], 0.0]
+        plain -= np.log(at_least[k] - at_least[k + 1]) / len(z)
+    assert abs(loss - plain) < 1e-12
+    h = 1e-6
+
+    def moved(i, by):
+        v, t = z.copy(), np.concatenate([[first], gaps])
+        if i < len(z):
+            v[i] += by
+        else:
+            t[i - len(z)] += by
+        return toxicity_ordinal.likelihood(v, grades, t[0], t[1:])[0]
+
+    for i, g in enumerate(np.concatenate([slope, g_b])):
+        assert abs((moved(i, h) - moved(i, -h)) / (2 * h) - g) < 1e-6
+
+
+def test_sample_keeps_one_row_of_an_id(spark):
+    docs = spark.createDataFrame([(i % 7, f"nice words {i}", "en") for i in range(300)] + [(8, "vile scum idiot", "en")] * 50,
+                                 "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i == 8)) for i in range(9)], "doc_id long, toxic int")
+    model = toxicity_ordinal.fit(docs, labels)
+    again = toxicity_ordinal.fit(docs.repartition(7), labels)
+    assert np.array_equal(model.weights, again.weights)

@@ -40,33 +40,50 @@ def forms(words):
     return out
 
 
+def all_forms(words):
+    """(canonical words, the words behind each) of the three forms."""
+    canon = forms(words)
+    out = [(canon, [[w] for w in words]), (forms([w.lower() for w in words]), [[w] for w in words])]
+    joined, behind = [], []
+    for c, w in zip(canon, words):
+        if c == "<name>" and joined and joined[-1] == "<name>" or c == "<unit>" and joined and joined[-1] == "<num>":
+            behind[-1].append(w)
+        else:
+            joined.append(c)
+            behind.append([w])
+    return out + [(joined, behind)]
+
+
 def plain(docs, items, window=op.WINDOW):
-    table, n, texts = collections.defaultdict(list), collections.Counter(), {}
-    for i, t in items:
-        if i is not None and t is not None:
-            texts[i] = max(texts.get(i, t), t)
-    for i, t in texts.items():
-        c = forms(words_of(t))
-        for at in range(len(c) - window + 1):
-            if sum(not x.startswith("<") for x in c[at:at + window]) >= op.LITERALS:
-                table[tuple(c[at:at + window])].append((i, at))
-                n[i] += 1
+    """{(document id, item id)}: every row by itself."""
+    wanted = {(i, t) for i, t in items}
+    table, n, own = collections.defaultdict(list), collections.Counter(), {}
+    for item in wanted:
+        for form, (canon, behind) in enumerate(all_forms(words_of(item[1]))):
+            own[item, form] = canon, behind
+            for at in range(len(canon) - window + 1):
+                if sum(not x.startswith("<") for x in canon[at:at + window]) >= op.LITERALS:
+                    table[form, tuple(canon[at:at + window])].append((item, at))
+                    n[item, form] += 1
     out = set()
     for d, t in docs:
-        raw = words_of(t)
-        c = forms(raw)
-        hits = collections.defaultdict(set)
-        for p in range(len(c) - window + 1):
-            for i, at in table.get(tuple(c[p:p + window]), ()):
-                hits[i, p - at].add(at)
-        for (i, diagonal), ats in hits.items():
-            own = words_of(texts[i])
-            own_forms = forms(own)
-            if len(ats) < min(op.RUN, -(-n[i] // 2)):
-                continue
-            met = {(own[p].lower(), raw[p + diagonal].lower()) for a in ats for p in range(a, a + window) if own_forms[p].startswith("<")}
-            if len({x for x, _ in met}) == len(met) == len({y for _, y in met}):
-                out.add((d, i))
+        for form, (canon, behind) in enumerate(all_forms(words_of(t))):
+            hits = collections.defaultdict(set)
+            for p in range(len(canon) - window + 1):
+                for item, at in table.get((form, tuple(canon[p:p + window])), ()):
+                    hits[item, p - at].add(at)
+            for (item, diagonal), ats in hits.items():
+                if len(ats) < min(op.RUN, -(-n[item, form] // 2)):
+                    continue
+                slots, names = set(), set()
+                item_canon, item_behind = own[item, form]
+                for p in {p for a in ats for p in range(a, a + window)}:
+                    if item_canon[p].startswith("<"):
+                        pair = (" ".join(item_behind[p]).lower(), " ".join(behind[p + diagonal]).lower())
+                        (names if item_canon[p] == "<name>" else slots).add(pair)
+                free = [m for m in names if sum(o[0] == m[0] or o[1] == m[1] for o in names) == 1]
+                if len({x for x, _ in slots}) == len(slots) == len({y for _, y in slots}) and 2 * len(free) >= len(names):
+                    out.add((d, item[0]))
     return out
 
 
@@ -93,10 +110,11 @@ def test_findings(spark, cases):
     got = op.findings(d, b).collect()
     assert {(r.doc_id, r.item_id) for r in got} == plain(docs, items)
     by = {(r.doc_id, r.item_id): r for r in got}
+    assert (1, None) in by and (11, None) in by  # an item without id is searched
     assert {(1, 1), (2, 1), (4, 2), (None, 2), (9, 2), (11, 1), (12, 2)} <= set(by) and (3, 1) not in by
     assert by[2, 1].reparameterised and not by[1, 1].reparameterised
     left = [r.doc_id for r in op.clean(d, b).collect()]
-    assert sorted(left) == [3, 5, 6, 7, 8, 10] and op.clean(d, b).columns == d.columns
+    assert None not in left and sorted(left) == [3, 5, 6, 7, 8, 10] and op.clean(d, b).columns == d.columns
 
 
 def test_shuffled_benchmark(spark, cases, monkeypatch):
@@ -154,3 +172,21 @@ def test_longer_names_and_conflicts(spark):
     (row,) = _found(spark, item, item.replace("Any baker", "The baker"))
     assert row.doc_place == 0
     assert _found(spark, ITEM, ITEM.replace("3 hours", "5 hours")) == []
+
+
+def test_rows_are_judged_by_themselves(spark):
+    clean = "nothing of any benchmark stands in this short and clean text at all"
+    items = [(1, OTHER), (1, "a second and smaller text of the very same item that must be searched as well"), (None, ITEM)]
+    docs = [(None, clean), (None, "x " + OTHER), (None, None), (5, clean), (5, "y " + ITEM),
+            (6, "so a second and smaller text of the very same item that must be searched as well")]
+    d = spark.createDataFrame([(i, t, "h", "w") for i, t in docs], DOCS)
+    b = spark.createDataFrame([(i, t, "n") for i, t in items], ITEMS)
+    assert {(r.doc_id, r.item_id) for r in op.findings(d, b).collect()} == plain(docs, items) == {(None, 1), (5, None), (6, 1)}
+    assert sorted(((r.doc_id, r.text) for r in op.clean(d, b).collect()), key=str) == sorted(
+        [(None, clean), (None, None), (5, clean)], key=str)
+
+
+def test_very_long_item(spark):
+    item = " ".join(f"word{i % 997}x{i % 13}" for i in range(5000))
+    (row,) = _found(spark, item, "before " + item[:20000] + " after")
+    assert row.doc_place == 1 and row.item_windows > 4000

@@ -22,9 +22,9 @@ the pairs must be free of conflict; where they do and some value differs, the fi
 Scale. The windows of the documents are not shuffled as long as the benchmark's fit ``BROADCAST_ROWS``,
 which is counted first; a larger benchmark is joined by an ordinary shuffle. Only hits go on.
 
-Rows. Null texts are empty and match nothing; neither do items of fewer than ``WINDOW`` words. Documents of
-one id, and documents without id, are judged as one; items of one id likewise by their largest text.
-Extra columns are ignored. Empty tables give no rows.
+Rows. Null texts are empty and match nothing; neither do items of fewer than ``WINDOW`` words. Rows are told
+apart by id and text together, documents and items alike: every text of an id, and every text without id, is
+judged by itself, and equal rows once. Extra columns are ignored. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -95,13 +95,15 @@ def _units_of(plain: Column, form: Column) -> Column:
 
 
 def _windows(form: Column, words: Column, window: int) -> Column:
-    def hashes(w: Column) -> Column:
-        n = F.size(w)
+    """Hash of every window of the words: each word is hashed once, a window from the numbers of its words."""
+
+    def hashes(h: Column) -> Column:
+        n = F.size(h)
         return F.when(n >= window, F.transform(
-            F.sequence(F.lit(1), F.greatest(n - window + 1, F.lit(1))), lambda i: F.xxhash64(form, F.slice(w, i, window)))).otherwise(
-                F.array().cast("array<bigint>"))
+            F.sequence(F.lit(0), F.greatest(n - window, F.lit(0))),
+            lambda i: F.xxhash64(form, *[F.get(h, i + k) for k in range(window)]))).otherwise(F.array().cast("array<bigint>"))
 
-    return let(words, hashes)
+    return let(F.transform(words, lambda w: F.xxhash64(w)), hashes)
 
 
 def _is_slot(word: Column) -> Column:
@@ -109,47 +111,57 @@ def _is_slot(word: Column) -> Column:
 
 
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``item_id, form, at, hash, n`` of the windows with enough literal words; ``n``: their number in the
+    """``item, form, at, hash, n`` of the windows with enough literal words; ``n``: their number in the
     item's form."""
-    rows = items.select("item_id", "form", F.split("canon", " ").alias("w")).select(
-        "item_id", "form", "w", F.posexplode(_windows(F.col("form"), F.col("w"), window)).alias("at", "hash"))
+    rows = items.select("item", "form", F.split("canon", " ").alias("w")).select(
+        "item", "form", "w", F.posexplode(_windows(F.col("form"), F.col("w"), window)).alias("at", "hash"))
     literal = F.size(F.filter(F.slice("w", F.col("at") + 1, window), lambda x: ~_is_slot(x)))
-    rows = rows.where(literal >= min(LITERALS, window)).select("item_id", "form", "at", "hash")
-    return rows.join(rows.groupBy("item_id", "form").agg(F.count("*").alias("n")), ["item_id", "form"])
+    rows = rows.where(literal >= min(LITERALS, window)).select("item", "form", "at", "hash")
+    return rows.join(rows.groupBy("item", "form").agg(F.count("*").alias("n")), ["item", "form"])
 
 
-def _prepared(df: DataFrame, key: str) -> DataFrame:
-    """``key, plain, form, canon``, a row for each form."""
-    return clash_free(df, key, "text").select(key, plain_words(F.col("text")).alias("plain")).select(
-        key, "plain", F.posexplode(forms(F.col("plain"))).alias("form", "canon"))
+def _named(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``name, key, text``: a row's own name, never null, is its id and text together."""
+    rows = clash_free(df, key, "text").select(F.col(key), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return rows.select(_name_of(key).alias(name), key, "text")
 
 
-def findings(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id, item_id, doc_place, n_windows, item_windows, reparameterised``, a row for each item found in
-    a document (its best diagonal; ties: the first)."""
-    items = stored(_prepared(clash_free(benchmark, "item_id", "text").where("item_id is not null").groupBy("item_id").agg(
-        F.max("text").alias("text")), "item_id"), "decon-items")
+def _name_of(key: str, text: str = "text") -> Column:
+    """The id, or that it has none, and a digest of the text."""
+    of = F.coalesce(F.concat(F.lit("="), F.col(f"`{key}`").cast("string")), F.lit("-"))
+    return F.concat(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")), of)
+
+
+def _prepared(rows: DataFrame, name: str) -> DataFrame:
+    """``name, plain, form, canon``, a row for each form."""
+    return rows.select(name, plain_words(F.col("text")).alias("plain")).select(
+        name, "plain", F.posexplode(forms(F.col("plain"))).alias("form", "canon"))
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
+    """Findings by ``doc``, the name of a document's row, with both ids."""
+    every = _named(benchmark, "item_id", "item").dropDuplicates(["item"])
+    items = stored(_prepared(every, "item").join(every.select("item", "item_id"), "item"), "decon-items")
     wanted = stored(item_windows(items, window), "decon-windows")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    grams = _prepared(docs, "doc_id").select("doc_id", "form", F.split("canon", " ").alias("w")).select(
-        "doc_id", F.posexplode(_windows(F.col("form"), F.col("w"), window)).alias("place", "hash"))
-    hits = grams.join(wanted, "hash").groupBy("doc_id", "item_id", "form", (F.col("place") - F.col("at")).alias("diagonal")).agg(
+    rows = _named(docs, "doc_id", "doc")
+    grams = _prepared(rows, "doc").select("doc", "form", F.split("canon", " ").alias("w")).select(
+        "doc", F.posexplode(_windows(F.col("form"), F.col("w"), window)).alias("place", "hash"))
+    hits = grams.join(wanted, "hash").groupBy("doc", "item", "form", (F.col("place") - F.col("at")).alias("diagonal")).agg(
         F.max("n").alias("n"), F.collect_set("at").alias("ats"))  # an item bounds the set
     enough = F.least(F.lit(RUN), F.ceil(F.col("n") / 2))
     found = stored(hits.where(F.size("ats") >= enough), "decon-hits")
-    # The values in the slots: from the texts of the few documents with hits.
-    ids = found.select("doc_id").distinct()
-    texts = stored(clash_free(docs, "doc_id", "text").join(ids.withColumnRenamed("doc_id", "found"),
-                                                           F.col("doc_id").eqNullSafe(F.col("found")), "left_semi").select(
-        "doc_id", plain_words(F.col("text")).alias("plain")), "decon-texts")
-    pairs = found.alias("f").join(texts.alias("t"), F.col("f.doc_id").eqNullSafe(F.col("t.doc_id"))).select(
-        "f.*", _units_of(F.col("plain"), F.col("form")).alias("dw")).join(
-        items.select("item_id", "form", _units_of(F.col("plain"), F.col("form")).alias("iw"), F.split("canon", " ").alias("ic")),
-        ["item_id", "form"])
+    # The values in the slots: from the texts of the few documents with hits, equal rows once.
+    texts = stored(rows.join(found.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"]).select(
+        "doc", "doc_id", plain_words(F.col("text")).alias("plain")), "decon-texts")
+    pairs = found.join(texts, "doc").select(
+        *found.columns, "doc_id", _units_of(F.col("plain"), F.col("form")).alias("dw")).join(
+        items.select("item", "item_id", "form", _units_of(F.col("plain"), F.col("form")).alias("iw"), F.split("canon", " ").alias("ic")),
+        ["item", "form"])
     covered = F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + window - 1))))
     slots = F.filter(covered, lambda p: _is_slot(F.get("ic", p)) & F.get("dw", p + F.col("diagonal")).isNotNull())
-    pairs = pairs.select("doc_id", "item_id", "diagonal", "n", "ats", "dw", "iw", "ic").withColumn("met", F.array_distinct(
+    pairs = pairs.select("doc", "doc_id", "item", "item_id", "diagonal", "n", "ats", "dw", "iw", "ic").withColumn("met", F.array_distinct(
         F.transform(slots, lambda p: F.struct(
             F.lower(F.get("iw", p)).alias("i"), F.lower(F.get("dw", p + F.col("diagonal"))).alias("d"),
             (F.get("ic", p) == NAME).alias("name")))))
@@ -168,15 +180,21 @@ def findings(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Dat
     # The place in words: those of a joined placeholder count one by one.
     first = F.col("diagonal") + F.array_min("ats")
     kept = pairs.where(consistent).select(
-        "doc_id", "item_id", F.aggregate(F.slice("dw", 1, first), F.lit(0), lambda n, w: n + F.size(F.split(w, GLUE))).alias("doc_place"),
+        "doc", "doc_id", "item", "item_id", F.aggregate(F.slice("dw", 1, first), F.lit(0), lambda n, w: n + F.size(F.split(w, GLUE))).alias("doc_place"),
         F.size("ats").cast("long").alias("n_windows"), F.col("n").alias("item_windows"),
         F.exists("met", lambda m: m["i"] != m["d"]).alias("reparameterised"))
     best = F.max_by(F.struct("doc_place", "n_windows", "item_windows", "reparameterised"),
                     F.struct("n_windows", ~F.col("reparameterised"), -F.col("doc_place")))
-    return kept.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
+    return kept.groupBy("doc", "doc_id", "item", "item_id").agg(best.alias("b")).select("doc", "doc_id", "item_id", "b.*")
+
+
+def findings(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``doc_id, item_id, doc_place, n_windows, item_windows, reparameterised``, a row for each item text found
+    in a document's text (its best diagonal; ties: the first)."""
+    return _found(docs, benchmark, window).drop("doc")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents in which no item is found, with all their columns."""
-    ids = stored(findings(docs, benchmark, window).select(F.col("doc_id").alias("_leaked")).distinct(), "decon-ids")
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_leaked")), "left_anti")
+    leaked = stored(_found(docs, benchmark, window).select(F.col("doc").alias("_leaked")).distinct(), "decon-ids")
+    return docs.join(leaked, _name_of("doc_id") == F.col("_leaked"), "left_anti")

@@ -27,7 +27,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.features import hashed_words
@@ -44,7 +45,7 @@ GRADES = 3
 FLAG = 0.5
 LEXICON_ODDS = 3.0
 LEXICON_ROWS = 5
-STEPS = 200
+STEPS = 600
 #: Penalty on absolute weights: ordinary words weigh exactly nothing, or a long clean text would outweigh one insult.
 L1 = 5e-4
 
@@ -79,16 +80,52 @@ def _raw_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             ["doc_id", "label", "columns", "counts"])
 
 
-def grade(columns: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+@dataclass(frozen=True)
+class Sample:
+    """Labelled rows as flat arrays: row ``i`` has the features ``begin[i]:begin[i + 1]``."""
+
+    toxic: np.ndarray
+    begin: np.ndarray
+    columns: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def of(cls, table: pa.Table) -> Sample:
+        """Rows by id, then by size and content, so that their order does not depend on the tasks'."""
+        sums = pa.compute.list_value_length(table["columns"])
+        flat = [table[c].combine_chunks() for c in ("columns", "counts")]
+        lengths = sums.to_numpy().astype(np.int64)
+        begin = np.concatenate(([0], np.cumsum(lengths)))
+        columns, counts = (f.flatten().to_numpy() for f in flat)
+        weight = np.add.reduceat(columns.astype(np.int64), begin[:-1][lengths > 0]) if len(columns) else np.zeros(0, np.int64)
+        content = np.zeros(len(lengths), np.int64)
+        content[lengths > 0] = weight
+        order = np.lexsort((content, lengths, table["doc_id"].to_numpy()))
+        places = np.repeat(begin[:-1][order], lengths[order])
+        places += np.arange(len(columns)) - np.repeat(np.cumsum(lengths[order]) - lengths[order], lengths[order])
+        return cls((table["label"].to_numpy()[order] > 0).astype(int), np.concatenate(([0], np.cumsum(lengths[order]))),
+                   columns[places], counts[places])
+
+    @property
+    def rows(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.toxic), dtype=np.int32), np.diff(self.begin))
+
+    def per_row(self, values: np.ndarray) -> np.ndarray:
+        """Sum of one value for each feature over each row."""
+        total = np.concatenate(([0.0], np.cumsum(values, dtype=float)))
+        return total[self.begin[1:]] - total[self.begin[:-1]]
+
+
+def grade(sample: Sample) -> np.ndarray:
     """Severity grades 0..GRADES of the labelled rows (see the module's text)."""
-    seen = np.zeros((2, BUCKETS))
-    for c, t in zip(columns, toxic):
-        seen[int(t), c] += 1
+    toxic = sample.toxic
+    with_toxic = np.bincount(sample.columns[toxic[sample.rows] == 1], minlength=BUCKETS)
+    seen = np.stack([np.bincount(sample.columns, minlength=BUCKETS) - with_toxic, with_toxic])
     n = np.array([(toxic == 0).sum(), (toxic == 1).sum()])
     share = (seen + 0.5) / (n[:, None] + 1)
     odds = np.log(share[1] / (1 - share[1])) - np.log(share[0] / (1 - share[0]))
     lexicon = (odds > LEXICON_ODDS) & (seen[1] >= min(LEXICON_ROWS, max(1, n[1] // 4)))
-    density = np.array([k[lexicon[c]].sum() / max(1, k.sum()) for c, k in zip(columns, counts)])
+    density = sample.per_row(sample.counts * lexicon[sample.columns]) / np.maximum(1, sample.per_row(sample.counts))
     out = np.zeros(len(toxic), int)
     hit = np.flatnonzero(toxic == 1)
     place = np.empty(len(hit), int)
@@ -98,53 +135,71 @@ def grade(columns: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = MAX_TRAIN) -> Ordinal:
-    sample = training_rows(_inputs(docs), labels, label, limit).mapInArrow(
+    features = training_rows(_inputs(docs), labels, label, limit).mapInArrow(
         _raw_features, "doc_id long, label int, columns array<int>, counts array<int>")
-    rows = sorted(sample.collect(), key=lambda r: (r.doc_id, tuple(r.columns)))
-    toxic = np.array([int(r.label > 0) for r in rows], int)
-    if not toxic.any():
+    # One row of each id, so that the sample is bounded by its ids: the fewest features, then the least.
+    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.size("columns"), "columns", "counts"))
+    sample = Sample.of(features.withColumn("one", one).where("one = 1").drop("one").toArrow())
+    if not sample.toxic.any():
         return Ordinal(np.zeros(BUCKETS), np.full(GRADES, 35.0))
-    columns = [np.array(r.columns, np.int64) for r in rows]
-    counts = [np.array(r.counts) for r in rows]
-    return _descend(columns, counts, grade(columns, counts, toxic))
+    return _descend(sample, grade(sample))
 
 
-def _descend(columns: list[np.ndarray], counts: list[np.ndarray], grades: np.ndarray) -> Ordinal:
-    """Full-batch proximal Adam on the cumulative-link likelihood. Thresholds are b_1 and positive gaps."""
+def likelihood(z: np.ndarray, grades: np.ndarray, first: float, gaps: np.ndarray
+               ) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean negative log likelihood of the grades, and its slopes by z and by (first, gaps)."""
     n = len(grades)
-    row = np.repeat(np.arange(n), [len(c) for c in columns])
-    col, place = np.unique(np.concatenate(columns), return_inverse=True) if len(row) else (np.zeros(0, int), row)
-    x = value(np.concatenate(counts)) if len(row) else np.zeros(0)
-    w = np.zeros(len(col))
+    b = first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
+    p = 1 / (1 + np.exp(-np.clip(z[:, None] - b[None, :], -35, 35)))  # P(>= k)
+    upper = np.concatenate([np.ones((n, 1)), p], axis=1)[np.arange(n), grades]
+    lower = np.concatenate([p, np.zeros((n, 1))], axis=1)[np.arange(n), grades]
+    mass = np.maximum(upper - lower, 1e-9)
+    d_upper, d_lower = upper * (1 - upper) / mass, lower * (1 - lower) / mass
+    g_b = np.zeros(GRADES)
+    at = grades > 0
+    np.add.at(g_b, grades[at] - 1, d_upper[at] / n)
+    at = grades < GRADES
+    np.add.at(g_b, grades[at], -d_lower[at] / n)
+    g_gap = np.array([g_b[k + 1:].sum() * np.exp(gaps[k]) for k in range(GRADES - 1)])
+    return float(-np.log(mass).mean()), -(d_upper - d_lower) / n, np.concatenate([[g_b.sum()], g_gap])
+
+
+def _descend(sample: Sample, grades: np.ndarray) -> Ordinal:
+    """Full-batch proximal Adam on the cumulative-link likelihood. Thresholds are b_1 and positive gaps.
+
+    The features are held twice, by row and by feature, each in 32-bit arrays, so that both sums of a step
+    are sums over neighbours.
+    """
+    used = np.flatnonzero(np.bincount(sample.columns, minlength=BUCKETS))
+    number = np.zeros(BUCKETS, np.int32)
+    number[used] = np.arange(len(used), dtype=np.int32)
+    column, x = number[sample.columns], value(sample.counts).astype(np.float32)
+    by_column = np.argsort(column, kind="stable").astype(np.int32)
+    rows_of, x_of = sample.rows[by_column], x[by_column]
+    edge = np.concatenate(([0], np.cumsum(np.bincount(column, minlength=len(used))))).astype(np.int64)
+    del by_column
+    full = np.flatnonzero(np.diff(sample.begin))
+    starts = sample.begin[full]
+    w = np.zeros(len(used))
     first, gaps = 2.0, np.zeros(GRADES - 1)
-    state = np.zeros((2, len(col) + GRADES))
+    state = np.zeros((2, len(used) + GRADES))
     for step in range(1, STEPS + 1):
-        b = first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
-        z = np.bincount(row, weights=w[place] * x, minlength=n) if len(row) else np.zeros(n)
-        p = 1 / (1 + np.exp(-np.clip(z[:, None] - b[None, :], -35, 35)))  # P(>= k)
-        upper = np.concatenate([np.ones((n, 1)), p], axis=1)[np.arange(n), grades]
-        lower = np.concatenate([p, np.zeros((n, 1))], axis=1)[np.arange(n), grades]
-        mass = np.maximum(upper - lower, 1e-9)
-        d_upper, d_lower = upper * (1 - upper) / mass, lower * (1 - lower) / mass
-        slope = -(d_upper - d_lower) / n  # of the loss by z
-        g_b = np.zeros(GRADES)
-        at = grades > 0
-        np.add.at(g_b, grades[at] - 1, d_upper[at] / n)
-        at = grades < GRADES
-        np.add.at(g_b, grades[at], -d_lower[at] / n)
-        g_w = np.bincount(place, weights=slope[row] * x, minlength=len(col)) if len(row) else np.zeros(0)
-        g_gap = np.array([g_b[k + 1:].sum() * np.exp(gaps[k]) for k in range(GRADES - 1)])
-        g = np.concatenate([g_w, [g_b.sum()], g_gap])
+        z = np.zeros(len(grades))
+        if len(full):
+            z[full] = np.add.reduceat(w.astype(np.float32)[column] * x, starts, dtype=float)
+        _, slope, g_b = likelihood(z, grades, first, gaps)
+        g_w = np.add.reduceat(slope.astype(np.float32)[rows_of] * x_of, edge[:-1], dtype=float) if len(used) else w
+        g = np.concatenate([g_w, g_b])
         state[0] = 0.9 * state[0] + 0.1 * g
         state[1] = 0.999 * state[1] + 0.001 * g ** 2
         rate = 0.05 / (np.sqrt(state[1] / (1 - 0.999 ** step)) + 1e-6)
         move = rate * state[0] / (1 - 0.9 ** step)
-        w -= move[:len(col)]
-        w = np.sign(w) * np.maximum(np.abs(w) - np.minimum(rate[:len(col)] * L1, 0.05), 0)
-        first -= move[len(col)]
-        gaps = np.clip(gaps - move[len(col) + 1:], -4, 3)
+        w -= move[:len(used)]
+        w = np.sign(w) * np.maximum(np.abs(w) - np.minimum(rate[:len(used)] * L1, 0.05), 0)
+        first -= move[len(used)]
+        gaps = np.clip(gaps - move[len(used) + 1:], -4, 3)
     weights = np.zeros(BUCKETS)
-    weights[col] = w
+    weights[used] = w
     return Ordinal(weights, first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))]))
 
 
