@@ -89,12 +89,44 @@ def test_query_on_the_given_table(spark):
     assert sorted(got) == sorted(expected)
 
 
+A = b"one two three four five"
+B = b"nine two three four two three four"
+
+
 def test_automaton_locates_every_occurrence():
-    a = np.array([1, 2, 3, 4, 5], np.uint32)
-    b = np.array([9, 2, 3, 4, 2, 3, 4], np.uint32)
-    low = op.locate([a, b], np.array([1, 7]), np.array([1, 9]), 3)
+    low = op.locate([A, B], np.array([1, 7]), np.array([1, 9]), 3)
     assert low[0].tolist() == [op.NEVER, 1, op.NEVER] and low[1].tolist() == [7, 1, 7, 7, 1]
 
 
+def test_the_automaton_decides_and_not_the_hash(monkeypatch):
+    want = [x.tolist() for x in op.locate([A, B, A], np.array([1, 7, 3]), np.array([1, 9, 3]), 3)]
+    monkeypatch.setattr(op, "window_hashes", lambda words, k: np.zeros(len(words) - k + 1, np.uint64))
+    assert [x.tolist() for x in op.locate([A, B, A], np.array([1, 7, 3]), np.array([1, 9, 3]), 3)] == want
+
+
+def test_more_words_than_characters():
+    numbers = np.array([0, 1, -1, (1 << 20) + 5, 70_000])
+    text, width = op._as_text(numbers, 1 << 21)
+    assert width == 2 and len(text) == 10 and len({text[i:i + 2] for i in range(0, 10, 2)}) == 5
+    assert op._as_text(numbers[:2], 2)[1] == 1
+
+
+def thue_morse(flip):
+    return "".join("ab"[bin(i).count("1") % 2 ^ flip] for i in range(1024))
+
+
+def test_one_word_that_differs(spark):
+    """Twelve words equal and one different, whose hashes agree in full (Thue-Morse) or by half."""
+    block = op.Block([thue_morse(0).encode(), thue_morse(1).encode()])
+    starts, ends = block.segments(op.WHITE)
+    hashes = block.hashes(starts, ends)
+    assert hashes[0] == hashes[1]
+    other = " ".join(f"t{i}" for i in range(12))
+    rows = [(1, f"{other} {thue_morse(0)}"), (2, f"{other} {thue_morse(1)}"), (3, f"{other} {thue_morse(0)}")]
+    rows += [(10 + i, f"user{n} logged in from the same old place at the very same hour") for i, n in enumerate((12222, 46022) * 9)]
+    df = spark.createDataFrame([(d, t, 1, 2, "k") for d, t in rows], DOCS)
+    assert found(op.dedup(df)) == plain(rows)
+
+
 def test_empty(spark):
     assert op.dedup(spark.createDataFrame([], DOCS)).collect() == []

@@ -59,6 +59,15 @@ def test_counts_are_the_library_s(docs, library):
     assert all(r.over_limit == (r.n_tokens > 2048) for r in got) and any(r.over_limit for r in got)
 
 
+def test_words_with_equal_hashes(library):
+    """Thue-Morse words: their polynomial hashes agree whatever the base, their tokens do not."""
+    a, b = ("".join("ab"[bin(i).count("1") % 2 ^ flip] for i in range(1024)) for flip in (0, 1))
+    counter = token_fst.Counter(token_fst.VOCABULARY)
+    texts = [f"x {a}x {b}x y", f"x {b}q {a}q y {b} z {a} {a} z", f"{a} {b}"]
+    got = counter.texts([t.encode() for t in texts])
+    assert got.tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_maps_compose_in_any_order():
     counter = token_fst.Counter(token_fst.VOCABULARY)
     text = b"some words, don't <|endoftext|> break anywhere at all"

@@ -8,9 +8,12 @@ id. Windows that recur are found and located in four steps.
    some five words. Seeds of two documents or more are *recurring*; all other windows cannot recur.
 2. *Passages.* Around every recurring seed a document has a passage: the words of all windows with that
    seed. Equal passages are one row, with the smallest and the largest document they occur in.
-3. *Automata.* Passages are dealt to shards by their seed. A shard confirms which of its windows occur in
-   two documents, compiles them, as sequences of word ids, into one Aho-Corasick automaton, and streams its
-   passages through it: every occurrence of every window is located, with its first document.
+3. *Automata.* Passages, with their words, are dealt to shards by their seed. A shard numbers its distinct
+   words, compiles the windows that may occur in two documents, as sequences of word numbers, into an
+   Aho-Corasick automaton, and streams its passages through it. The automaton decides which windows are
+   equal: its hits give every occurrence of a window and so the first and last document it occurs in. Hashes
+   only choose which windows to compile; windows that share the hash of a compiled one but are not hit are
+   compiled next, until none is left.
 4. *Removal.* The windows' first documents go back to the documents that hold the passage; words covered by
    a window with a smaller first document are removed.
 
@@ -31,6 +34,7 @@ document is a block of its own.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -86,16 +90,21 @@ class Runs:
         self.last = np.append(stop, n)[nxt] - 1
         self.seed = grams[place[self.first]].view(np.int64)
 
-    def hashes(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Hash of the words from ``first`` to ``last``, both included."""
-        base = np.uint64(0xD6E8FEB86659FD93)
-        inverse = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
-        n = len(self.words)
-        power, back = np.full(n + 1, base), np.full(n + 1, inverse)
-        power[0] = back[0] = 1
-        power, back = np.cumprod(power, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self.words * power[:n], dtype=np.uint64)))
-        return mix((total[last + 1] - total[first]) * back[first] + (last - first).astype(np.uint64)).view(np.int64)
+    def passages(self, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """The words from ``first`` to ``last``, both included, one space between them."""
+        size = self.ends - self.starts
+        begin = np.cumsum(size + 1) - (size + 1)
+        plain = np.full(int((size + 1).sum()), 0x20, np.uint8)
+        inside = np.ones(len(plain), bool)
+        inside[begin + size] = False
+        plain[inside] = self.block.a[~WHITE[self.block.a]]
+        data = plain.tobytes()
+        return [data[a:b] for a, b in zip(begin[first].tolist(), (begin + size)[last].tolist())]
+
+
+def digest(passage: bytes) -> bytes:
+    """128 bits that tell passages apart."""
+    return hashlib.blake2b(passage, digest_size=16).digest()
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -188,7 +197,7 @@ def _marked(docs: DataFrame, found: DataFrame, recurring: DataFrame, filter_bits
 
 
 def _passages(docs: DataFrame, passes, hot: np.ndarray, window: int, content: bool) -> DataFrame:
-    """A row for each passage of each document: ``seed, hash, doc_id`` and ``ids, hot`` or ``row, place``."""
+    """A row for each passage of each document: ``seed, hash, doc_id`` and ``words, hot`` or ``row, place``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in batches_in_blocks(batches, "text"):
@@ -207,16 +216,14 @@ def _passages(docs: DataFrame, passes, hot: np.ndarray, window: int, content: bo
             if not len(first):
                 continue
             end = last + window - 1  # the last word
-            hashes = runs.hashes(first, end)
+            words = runs.passages(first, end)
             own = runs.doc[first]
             ids = batch.column(0).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)[own]  # known, see above
-            arrays = [pa.array(seed), pa.array(hashes), pa.array(ids)]
+            arrays = [pa.array(seed), pa.array([digest(w) for w in words], pa.binary()), pa.array(ids)]
             names = ["seed", "hash", "doc_id"]
             if content:
-                words = (runs.words >> np.uint64(32)).astype(np.uint32)
-                arrays += [pa.array([words[a:b].tobytes() for a, b in zip(first.tolist(), (end + 1).tolist())], pa.binary()),
-                           pa.array(single)]
-                names += ["ids", "hot"]
+                arrays += [pa.array(words, pa.binary()), pa.array(single)]
+                names += ["words", "hot"]
             else:
                 rows = batch.column(2).to_numpy(zero_copy_only=False)
                 base = np.searchsorted(runs.doc, np.arange(runs.block.n))
@@ -224,42 +231,62 @@ def _passages(docs: DataFrame, passes, hot: np.ndarray, window: int, content: bo
                 names += ["row", "place"]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    extra = "ids binary, hot boolean" if content else "row long, place int"
-    return docs.mapInArrow(run, f"seed long, hash long, doc_id long, {extra}")
+    extra = "words binary, hot boolean" if content else "row long, place int"
+    return docs.mapInArrow(run, f"seed long, hash binary, doc_id long, {extra}")
+
+
+def _as_text(numbers: np.ndarray, distinct: int) -> tuple[str, int]:
+    """Word numbers (-1: a gap) as characters, and how many stand for a word: one, or two from different
+    alphabets where a plane of characters is not enough."""
+    gap = numbers < 0
+    if distinct < 1 << 20:
+        codes = np.where(gap, 0x20, numbers + 0x10000)
+        return codes.astype("<u4").tobytes().decode("utf-32-le"), 1
+    codes = np.stack([np.where(gap, 0x20, (numbers >> 16) + 0x10000), np.where(gap, 0x20, (numbers & 0xFFFF) + 0x20000)], axis=1)
+    return codes.astype("<u4").tobytes().decode("utf-32-le"), 2
 
 
-def locate(passages: list[np.ndarray], least: np.ndarray, most: np.ndarray, window: int) -> list[np.ndarray]:
+def locate(passages: list[bytes], least: np.ndarray, most: np.ndarray, window: int) -> list[np.ndarray]:
     """For each passage the first document of each of its windows (``NEVER``: it does not recur).
 
     ``least`` and ``most`` are the smallest and largest document a passage occurs in. The shard's words
-    become characters, its passages one text with a space between them, its recurring windows patterns of
-    ``window`` characters; one automaton reads the text once.
+    become numbers, its passages one text with a gap behind each; an automaton reads the text once.
     """
-    size = np.array([len(p) for p in passages], np.int64)
+    size = np.array([p.count(b" ") + 1 for p in passages], np.int64)
     per = np.maximum(size - window + 1, 0)
-    out_of = np.concatenate(([0], np.cumsum(size + 1)))[:-1]  # where each passage starts in the text
+    out_of = np.cumsum(size + 1) - (size + 1)  # where each passage starts
     lows = np.full(int((size + 1).sum()), NEVER)
     if per.sum():
-        _, character = np.unique(np.concatenate(passages), return_inverse=True)
-        codes = np.full(len(lows), 0x20, "<u4")
-        word = np.arange(size.sum()) + np.repeat(np.arange(len(passages)), size)
-        codes[word] = character + 0x10000  # a shard has far fewer words than there are characters
-        text = codes.tobytes().decode("utf-32-le")
-        # All windows of the shard, and equal ones together.
+        known: dict[bytes, int] = {}
+        words = b" ".join(passages).split(b" ")
+        numbers = np.full(len(lows), -1, np.int64)
+        numbers[np.arange(size.sum()) + np.repeat(np.arange(len(passages)), size)] = np.fromiter(
+            (known.setdefault(w, len(known)) for w in words), np.int64, len(words))
+        text, width = _as_text(numbers, len(known))
         own = np.repeat(np.arange(len(passages)), per)
         start = out_of[own] + np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
-        keys = window_hashes(mix(codes.astype(np.uint64)), window)[start]
-        order = np.argsort(keys, kind="stable")
-        edge = np.flatnonzero(np.r_[True, np.diff(keys[order]) != 0])
-        low = np.minimum.reduceat(least[own[order]], edge)
-        confirmed = low < np.maximum.reduceat(most[own[order]], edge)  # in two documents
-        machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_STRING)
-        for at, first in zip(start[order[edge[confirmed]]].tolist(), low[confirmed].tolist()):
-            machine.add_word(text[at:at + window], first)
-        if len(machine):
+        # Equal windows have equal keys; keys of two documents may hold some.
+        _, group = np.unique(window_hashes(mix(numbers.astype(np.uint64)), window)[start], return_inverse=True)
+        low, high = np.full(group.max() + 1, NEVER), np.full(group.max() + 1, -NEVER - 1)
+        np.minimum.at(low, group, least[own])
+        np.maximum.at(high, group, most[own])
+        left = np.flatnonzero((low < high)[group])
+        window_at = np.full(len(lows), -1)
+        window_at[start] = np.arange(len(start))
+        while len(left):
+            machine = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_STRING)
+            first = left[np.unique(group[left], return_index=True)[1]]
+            for n, at in enumerate((start[first] * width).tolist()):
+                machine.add_word(text[at:at + window * width], n)
             machine.make_automaton()
-            hits = list(machine.iter(text))
-            lows[np.fromiter((e for e, _ in hits), np.int64, len(hits)) - (window - 1)] = [v for _, v in hits]
+            hits = np.array(list(machine.iter(text)), np.int64).reshape(-1, 2)
+            hit, phrase = window_at[(hits[:, 0] + 1) // width - window], hits[:, 1]
+            low, high = np.full(len(first), NEVER), np.full(len(first), -NEVER - 1)
+            np.minimum.at(low, phrase, least[own[hit]])
+            np.maximum.at(high, phrase, most[own[hit]])
+            recurs = (low < high)[phrase]
+            lows[start[hit[recurs]]] = low[phrase[recurs]]
+            left = np.setdiff1d(left, hit)
     return [lows[a:a + n] for a, n in zip(out_of.tolist(), per.tolist())]
 
 
@@ -267,14 +294,14 @@ def _located(passages: DataFrame, shards: int, window: int) -> DataFrame:
     """Rows ``seed, hash, low, firsts`` of the passages with a recurring window."""
 
     def shard(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
-        found = locate([np.frombuffer(x, np.uint32) for x in rows.ids], rows.low.to_numpy(), rows.high.to_numpy(), window)
+        found = locate(list(rows.words), rows.low.to_numpy(), rows.high.to_numpy(), window)
         low = np.array([f.min() if len(f) else NEVER for f in found])
         keep = low < rows.high.to_numpy()  # some document that holds the passage loses words
         return pd.DataFrame({"seed": rows.seed[keep], "hash": rows.hash[keep], "low": low[keep],
                              "firsts": [f.tobytes() for f, k in zip(found, keep) if k]})
 
-    dealt = passages.withColumn("shard", F.pmod(F.xxhash64(F.when(F.col("hot"), F.col("hash")).otherwise(F.col("seed"))), F.lit(shards)))
-    return dealt.groupBy("shard").applyInPandas(shard, "seed long, hash long, low long, firsts binary")
+    dealt = passages.withColumn("shard", F.pmod(F.when(F.col("hot"), F.xxhash64("hash")).otherwise(F.xxhash64("seed")), F.lit(shards)))
+    return dealt.groupBy("shard").applyInPandas(shard, "seed long, hash binary, low long, firsts binary")
 
 
 def _cover(docs: DataFrame, covers: DataFrame, window: int) -> DataFrame:
@@ -325,7 +352,7 @@ def with_kept(docs: DataFrame, window: int = WINDOW, filter_bits: int = FILTER_B
     hot = np.array(sorted(r.seed for r in counted.where(F.col("n") > hot_from).select("seed").collect()), np.int64)
     texts, passes = _marked(docs, found, counted, filter_bits)
     passages = stored(_passages(texts, passes, hot, window, True).groupBy("seed", "hash").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.first("ids").alias("ids"), F.max("hot").alias("hot")).where(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.first("words").alias("words"), F.max("hot").alias("hot")).where(
             ~F.col("hot") | (F.col("low") < F.col("high"))), "phrase-passages")
     shards = max(1, -(-passages.count() // SHARD_PASSAGES))
     located = stored(_located(passages, shards, window), "phrase-located")

@@ -89,6 +89,19 @@ class Block:
             np.cumsum((self.a.astype(np.uint64) + np.uint64(1)) * _power("base", _BASE, n), out=self._prefix[1:])
         return mix((self._prefix[ends] - self._prefix[starts]) * _power("inverse", _INVERSE, n)[starts])
 
+    def same(self, starts: np.ndarray, ends: np.ndarray, like: np.ndarray, like_ends: np.ndarray) -> np.ndarray:
+        """Which byte ranges hold the very bytes of the ranges they are like."""
+        size = ends - starts
+        out = size == like_ends - like
+        at = np.flatnonzero(out & (starts != like) & (size > 0))
+        if len(at):
+            size = size[at]
+            first = np.cumsum(size) - size
+            step = np.arange(size.sum()) - np.repeat(first, size)
+            unlike = self.a[np.repeat(starts[at], size) + step] != self.a[np.repeat(like[at], size) + step]
+            out[at] = ~np.logical_or.reduceat(unlike, first)
+        return out
+
     def sums(self, flags: np.ndarray) -> np.ndarray:
         """Per document, how many of its bytes are flagged."""
         if not self.n:

@@ -49,6 +49,7 @@ END = 256
 MAX_TRANSITIONS = 300_000
 MAX_PAIRS = 500_000
 MAX_WORDS = 500_000
+MAX_WORD_BYTES = 64
 
 
 def _byte_of() -> dict[str, int]:
@@ -226,7 +227,7 @@ class Counter:
 
     def __init__(self, path: str):
         self.machine = Transducer(path)
-        self._seen: dict[int, int] = {}
+        self._seen: dict[bytes, int] = {}
 
     def word(self, raw: bytes) -> int:
         return self.machine.tokens(raw) if raw else 0
@@ -243,25 +244,32 @@ class Counter:
         high = np.minimum(low + CHUNK_BYTES, size)
         inner = (offset > low) & (ends - block.starts[doc] < high)
         total = np.zeros(block.n, np.int64)
-        keys, first, place = np.unique(block.hashes(starts[inner], ends[inner]), return_index=True, return_inverse=True)
-        counts = self._counts(block, keys, starts[inner][first], ends[inner][first])
+        begin, end = starts[inner], ends[inner]
+        _, first, place = np.unique(block.hashes(begin, end), return_index=True, return_inverse=True)
+        counts = self._counts(block, begin[first], end[first])[place]
+        # Equal hashes stand for equal words only where the bytes agree.
+        for i in np.flatnonzero(~block.same(begin, end, begin[first][place], end[first][place])).tolist():
+            counts[i] = self.word(block.bytes[begin[i]:end[i]])
         n_chunks = np.maximum(1, -(-(block.ends - block.starts - 1) // CHUNK_BYTES))
         base = np.concatenate(([0], np.cumsum(n_chunks)))
-        per_chunk = np.bincount(base[doc[inner]] + chunk[inner], weights=counts[place], minlength=base[-1])
+        per_chunk = np.bincount(base[doc[inner]] + chunk[inner], weights=counts, minlength=base[-1])
         for d, text in enumerate(texts):
             maps = [self._map(text[at:at + CHUNK_BYTES], int(per_chunk[base[d] + i]))
                     for i, at in enumerate(range(0, max(len(text), 1), CHUNK_BYTES))]
             total[d] = scan(maps, self.word)
         return total
 
-    def _counts(self, block: Block, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def _counts(self, block: Block, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         if len(self._seen) > MAX_WORDS:
             self._seen.clear()
-        out, seen, data, run = np.zeros(len(keys)), self._seen, block.bytes, self.machine.tokens
-        for i, (k, a, b) in enumerate(zip(keys.tolist(), starts.tolist(), ends.tolist())):
-            n = seen.get(k)
+        out, seen, data, run = np.zeros(len(starts)), self._seen, block.bytes, self.machine.tokens
+        for i, (a, b) in enumerate(zip(starts.tolist(), ends.tolist())):
+            raw = data[a:b]
+            n = seen.get(raw)
             if n is None:
-                n = seen[k] = run(data[a:b])
+                n = run(raw)
+                if len(raw) <= MAX_WORD_BYTES:
+                    seen[raw] = n
             out[i] = n
         return out
 
