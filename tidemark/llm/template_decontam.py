@@ -47,36 +47,53 @@ UNITS = ("mm cm dm m km ft yd mi mile miles inch inches foot feet yard yards met
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 #: The form with joined placeholders, and what stands between the words of one of them.
 JOINED, GLUE = 2, "\x01"
-_WS = r"[\x20\x09-\x0D]"
+_WS = r"[\x20\x09\x0A\x0B\x0C\x0D]"
 
 
-#: The signs that are stripped from a word's ends, as a character class.
-SIGNS = r"!-/:-@\[-`{-~“”‘’«»„…–—¿¡"
+#: The signs that are stripped from a word's ends.
+SIGNS = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~“”‘’«»„…–—¿¡"""
+
+
+def _class(without: str = "") -> str:
+    """The signs as a character class of plain members: an intersection of classes would take several times as long."""
+    return "[" + "".join(c if ord(c) > 127 else f"\\x{ord(c):02X}" for c in SIGNS if c not in without) + "]"
 
 
 def plain_words(text: Column) -> Column:
     """Words without outer signs (a leading + or - and a trailing % stay), one space between them."""
-    begin, end = f"[{SIGNS}&&[^+-]]*+", f"[{SIGNS}&&[^%]]*+"
+    begin, end = f"{_class('+-')}*+", f"{_class('%')}*+"
     inner = F.regexp_replace(F.concat(F.lit(" "), F.coalesce(text, F.lit("")), F.lit(" ")), end + _WS + "++" + begin, " ")
     # A word of signs alone leaves some of them, or a gap; one more pass closes it.
-    return F.trim(F.regexp_replace(inner, rf" (?:[{SIGNS}]*+ )+", " "))
+    return F.trim(F.regexp_replace(inner, rf" (?:{_class()}*+ )+", " "))
+
+
+def _numbers(words: Column) -> Column:
+    return F.regexp_replace(words, r"(?<![^ ])[+-]?[0-9][0-9.,:/-]*+%?(?![^ ])", NUM)
+
+
+def _names(words: Column) -> Column:
+    return F.regexp_replace(words, r"(?<![^ ])\p{Lu}\p{Ll}[^ ]*+", NAME)
+
+
+def _units(words: Column) -> Column:
+    """Words in lower case, a unit after a number replaced."""
+    units = "|".join(sorted(UNITS, key=len, reverse=True))
+    return F.regexp_replace(F.lower(words), rf"{NUM} (?:{units})(?![^ ])", f"{NUM} {UNIT}")
 
 
 def canonical(words: Column) -> Column:
     """The same words, as many, in canonical form; a unit counts as one after a number."""
-    out = F.regexp_replace(words, r"(?<![^ ])[+-]?[0-9][0-9.,:/-]*+%?(?![^ ])", NUM)
-    out = F.regexp_replace(out, r"(?<![^ ])\p{Lu}\p{Ll}[^ ]*+", NAME)
-    units = "|".join(sorted(UNITS, key=len, reverse=True))
-    return F.regexp_replace(F.lower(out), rf"{NUM} (?:{units})(?![^ ])", f"{NUM} {UNIT}")
+    return _units(_names(_numbers(words)))
 
 
 def forms(words: Column) -> Column:
-    """The forms whose windows are looked for, by their number: canonical, without names, and ``JOINED``."""
+    """The forms whose windows are looked for, by their number: canonical, without names, and ``JOINED``.
+    The numbers are replaced once for all of them."""
 
     def joined(canon: Column) -> Column:
         return F.replace(F.regexp_replace(canon, f"{NAME}(?: {NAME})++", NAME), F.lit(f"{NUM} {UNIT}"), F.lit(NUM))
 
-    return let(canonical(words), lambda c: F.array(c, canonical(F.lower(words)), joined(c)))
+    return let(_numbers(words), lambda m: let(_units(_names(m)), lambda c: F.array(c, _units(m), joined(c))))
 
 
 def _units_of(plain: Column, form: Column) -> Column:
@@ -153,7 +170,9 @@ def _found(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     enough = F.least(F.lit(RUN), F.ceil(F.col("n") / 2))
     found = stored(hits.where(F.size("ats") >= enough), "decon-hits")
     # The values in the slots: from the texts of the few documents with hits, equal rows once.
-    texts = stored(rows.join(found.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"]).select(
+    # Their names stored alone, so that Spark sees how few bytes they are and need not shuffle the texts.
+    hit = stored(found.select("doc").distinct(), "decon-hit")
+    texts = stored(rows.join(hit, "doc", "left_semi").dropDuplicates(["doc"]).select(
         "doc", "doc_id", plain_words(F.col("text")).alias("plain")), "decon-texts")
     pairs = found.join(texts, "doc").select(
         *found.columns, "doc_id", _units_of(F.col("plain"), F.col("form")).alias("dw")).join(
