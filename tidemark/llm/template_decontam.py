@@ -111,16 +111,14 @@ def _units_of(plain: Column, form: Column) -> Column:
     return F.when(form == JOINED, let(words, lambda w: let(F.split(canonical(plain), " "), lambda c: glued(w, c)))).otherwise(words)
 
 
-def _windows(form: Column, words: Column, window: int) -> Column:
-    """Hash of every window of the words: each word is hashed once, a window from the numbers of its words."""
-
-    def hashes(h: Column) -> Column:
-        n = F.size(h)
-        return F.when(n >= window, F.transform(
-            F.sequence(F.lit(0), F.greatest(n - window, F.lit(0))),
-            lambda i: F.xxhash64(form, *[F.get(h, i + k) for k in range(window)]))).otherwise(F.array().cast("array<bigint>"))
-
-    return let(F.transform(words, lambda w: F.xxhash64(w)), hashes)
+def _windows(rows: DataFrame, window: int, place: str, *keep: str) -> DataFrame:
+    """``form, keep, place, hash``: a row for every window of the words ``canon``. Each word is hashed once; the numbers of
+    a window's words stand beside each other as rows, so that they are hashed in generated code and not in a lambda."""
+    rows = rows.select("form", *keep, F.transform(F.split("canon", " "), lambda w: F.xxhash64(w)).alias("_h"))
+    n = F.greatest(F.size("_h") - window + 1, F.lit(0))
+    beside = F.arrays_zip(*[F.slice("_h", k + 1, n).alias(f"w{k}") for k in range(window)])
+    return rows.select("form", *keep, F.posexplode(beside).alias(place, "_w")).select(
+        "form", *keep, place, F.xxhash64("form", "_w").alias("hash"))
 
 
 def _is_slot(word: Column) -> Column:
@@ -130,9 +128,8 @@ def _is_slot(word: Column) -> Column:
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """``item, form, at, hash, n`` of the windows with enough literal words; ``n``: their number in the
     item's form."""
-    rows = items.select("item", "form", F.split("canon", " ").alias("w")).select(
-        "item", "form", "w", F.posexplode(_windows(F.col("form"), F.col("w"), window)).alias("at", "hash"))
-    literal = F.size(F.filter(F.slice("w", F.col("at") + 1, window), lambda x: ~_is_slot(x)))
+    rows = _windows(items, window, "at", "item", "canon")
+    literal = F.size(F.filter(F.slice(F.split("canon", " "), F.col("at") + 1, window), lambda x: ~_is_slot(x)))
     rows = rows.where(literal >= min(LITERALS, window)).select("item", "form", "at", "hash")
     return rows.join(rows.groupBy("item", "form").agg(F.count("*").alias("n")), ["item", "form"])
 
@@ -163,8 +160,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     rows = _named(docs, "doc_id", "doc")
-    grams = _prepared(rows, "doc").select("doc", "form", F.split("canon", " ").alias("w")).select(
-        "doc", F.posexplode(_windows(F.col("form"), F.col("w"), window)).alias("place", "hash"))
+    grams = _windows(_prepared(rows, "doc"), window, "place", "doc").drop("form")
     hits = grams.join(wanted, "hash").groupBy("doc", "item", "form", (F.col("place") - F.col("at")).alias("diagonal")).agg(
         F.max("n").alias("n"), F.collect_set("at").alias("ats"))  # an item bounds the set
     enough = F.least(F.lit(RUN), F.ceil(F.col("n") / 2))
