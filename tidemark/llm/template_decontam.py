@@ -20,7 +20,8 @@ the pairs must be free of conflict; where they do and some value differs, the fi
 ``reparameterised``.
 
 Scale. The windows of the documents are not shuffled as long as the benchmark's fit ``BROADCAST_ROWS``,
-which is counted first; a larger benchmark is joined by an ordinary shuffle. Only hits go on.
+which is counted first; a larger benchmark is joined by an ordinary shuffle. Only hits go on. The texts behind
+them are read again, by the names of the documents with hits: as many of these are broadcast, more are joined.
 
 Rows. Null texts are empty and match nothing; neither do items of fewer than ``WINDOW`` words. Rows are told
 apart by id and text together, documents and items alike: every text of an id, and every text without id, is
@@ -152,13 +153,16 @@ def _prepared(rows: DataFrame, name: str) -> DataFrame:
         name, "plain", F.posexplode(forms(F.col("plain"))).alias("form", "canon"))
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """Short stored rows, to be broadcast if they are counted to be at most ``BROADCAST_ROWS``."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def _found(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     """Findings by ``doc``, the name of a document's row, with both ids."""
     every = _named(benchmark, "item_id", "item").dropDuplicates(["item"])
     items = stored(_prepared(every, "item").join(every.select("item", "item_id"), "item"), "decon-items")
-    wanted = stored(item_windows(items, window), "decon-windows")
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
+    wanted = _few(stored(item_windows(items, window), "decon-windows"))
     rows = _named(docs, "doc_id", "doc")
     grams = _windows(_prepared(rows, "doc"), window, "place", "doc").drop("form")
     hits = grams.join(wanted, "hash").groupBy("doc", "item", "form", (F.col("place") - F.col("at")).alias("diagonal")).agg(
@@ -166,8 +170,8 @@ def _found(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     enough = F.least(F.lit(RUN), F.ceil(F.col("n") / 2))
     found = stored(hits.where(F.size("ats") >= enough), "decon-hits")
     # The values in the slots: from the texts of the few documents with hits, equal rows once.
-    # Their names stored alone, so that Spark sees how few bytes they are and need not shuffle the texts.
-    hit = stored(found.select("doc").distinct(), "decon-hit")
+    # Their names stored alone and counted: few of them go to the texts, which then need no shuffle; many are joined.
+    hit = _few(stored(found.select("doc").distinct(), "decon-hit"))
     texts = stored(rows.join(hit, "doc", "left_semi").dropDuplicates(["doc"]).select(
         "doc", "doc_id", plain_words(F.col("text")).alias("plain")), "decon-texts")
     pairs = found.join(texts, "doc").select(
@@ -211,5 +215,5 @@ def findings(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Dat
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents in which no item is found, with all their columns."""
-    leaked = stored(_found(docs, benchmark, window).select(F.col("doc").alias("_leaked")).distinct(), "decon-ids")
+    leaked = _few(stored(_found(docs, benchmark, window).select(F.col("doc").alias("_leaked")).distinct(), "decon-ids"))
     return docs.join(leaked, _name_of("doc_id") == F.col("_leaked"), "left_anti")
