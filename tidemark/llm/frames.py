@@ -53,6 +53,20 @@ def hashed_sample(df: DataFrame, limit: int, *columns: str) -> DataFrame:
     return df.where(key <= F.lit(edge)).orderBy(key, *columns).limit(limit)
 
 
+def hashed_values(values: DataFrame, limit: int) -> DataFrame:
+    """At most ``limit`` distinct values of a one-column table, those with the least hash. Distinct values are counted by a
+    sketch and thinned by their hash before they are made distinct, so only some four times the sample is shuffled,
+    however often a value repeats. Thinning that left too few, should the sketch be far off, is undone."""
+    (name,) = values.columns
+    key = F.xxhash64(name)
+    thin = max(1, values.agg(F.approx_count_distinct(name)).first()[0] // (4 * limit))
+    edge = -(1 << 63) + ((1 << 64) // thin) - 1
+    few = stored(values.where(key <= F.lit(edge)).distinct(), "sampled-values")
+    if thin > 1 and few.count() < limit:
+        few = values.distinct()
+    return few.orderBy(key, name).limit(limit)
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed once: a lambda's variable, which the optimizer never copies
     into the places of its use, as it may do with a column."""

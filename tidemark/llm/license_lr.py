@@ -1,18 +1,29 @@
 """Licence scan: a trained paragraph classifier over sparse word n-grams. DataFrame, SQL and ML API only.
 
-Paragraphs are lines. A multinomial logistic regression with an L1 penalty over word 1- and 2-grams learns
-the licence families from ``TEMPLATES`` (whole notices, their sentences, and both next to ordinary lines)
-against ordinary lines of the corpus itself: a bounded sample of ``MAX_LINES`` lines, taken by hash, that
+Paragraphs are lines, and runs of lines up to a blank line: a notice may stand in one line or be wrapped
+over several. A multinomial logistic regression with an L1 penalty over word 1- and 2-grams learns
+the licence families from ``TEMPLATES`` (whole notices, their sentences, and both next to ordinary lines), a
+class ``unknown`` from notices of licences that are no family here (``OTHERS``), and ``none``
+from ordinary lines of the corpus itself: a bounded sample of ``MAX_LINES`` distinct lines, taken by hash, that
 share no two-gram of licence words with a template. N-grams of more than ``COMMON`` of these lines, or made of
 such words alone, are no features, so most words weigh nothing and only lines with a weighted n-gram need a score: all others have
 the bias alone, which says none.
 
+Siblings. Families whose notices differ in a word or two (the GNU licences, the Creative Commons ones) have
+``TELLS``. A text that holds a tell of a sibling which no template of a family has cannot be of that family;
+the probabilities of the classes are those given this.
+
 Unknown. Probabilities are calibrated by one temperature, fitted on a held-out part of the training rows. A
 line that is licence text (probability of ``none`` under one half) without a family of at least
 ``CONFIDENT`` is ``unknown``. A family is *confirmed* where the line holds at least ``TEMPLATE_SHARE`` of
 the n-grams of one of its templates; an unconfirmed prediction is ``unknown`` as well.
 
-Rows. One row for each licence line; a document without any has one row, family ``none``. Null and empty
+Wrapped notices. The lines of a block are judged together where there are several and none is confirmed by
+itself. As a long block may hold the words of a short notice by chance, only templates of ``WRAPPED_WORDS`` words count for
+it, by the share of their 2-grams. If the block is confirmed, it is one finding, at its first line with a
+weighted word, in place of those of its lines; if not, the findings of its lines stay.
+
+Rows. One row for each licence line or wrapped notice (``paragraph`` is the number of its line); a document without any has one row, family ``none``. Null and empty
 texts are such documents. Repeated rows and null ids come back as they are. Extra columns are ignored. An
 empty table gives no rows.
 """
@@ -29,9 +40,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import clash_free, hashed_sample, let, stored
+from tidemark.llm.frames import clash_free, hashed_values, let, stored
 
 MAX_LINES = 3000
+WRAPPED_WORDS = 10
 COMMON = 0.004
 CONFIDENT = 0.6
 TEMPLATE_SHARE = 0.6
@@ -55,13 +67,38 @@ TEMPLATES = {
         "Public License as published by the Free Software Foundation, either version 3 of the License.",
         "You should have received a copy of the GNU General Public License along with this program.",
     ),
+    "gpl-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License.",
+    ),
+    "lgpl": (
+        "This library is licensed under the GNU Lesser General Public License, version 3.",
+        "GNU Lesser General Public License version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License.",
+    ),
+    "agpl-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License.",
+    ),
     "bsd": (
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met.",
     ),
+    "isc": (
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
     "mpl-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "Licensed under the Mozilla Public License, version 2.0.",
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain.",
     ),
     "cc-by": (
         "Licensed under CC BY 4.0.",
@@ -71,11 +108,32 @@ TEMPLATES = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "cc-by-sa": (
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ),
     "cc0": (
         "This work is dedicated to the public domain under CC0 1.0 Universal.",
     ),
 }
-CLASSES = (NONE, *sorted(TEMPLATES))
+#: Notices of licences that are no family above.
+OTHERS = (
+    "Licensed under the Eclipse Public License, version 2.0.",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License.",
+    "Distributed under the Boost Software License, Version 1.0.",
+    "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    "Licensed under the Artistic License 2.0.",
+    "Licensed under the European Union Public License, version 1.2.",
+    "Licensed under the Microsoft Public License.",
+    "This software is provided under a proprietary license; all rights reserved.",
+    "Released under the zlib License.",
+)
+#: Words that tell a family from its siblings.
+TELLS = (
+    {"gpl-3.0": ("version 3", "gplv3"), "gpl-2.0": ("version 2", "gplv2"), "lgpl": ("lesser", "lgpl"), "agpl-3.0": ("affero", "agpl")},
+    {"cc-by-nc": ("by nc", "noncommercial"), "cc-by-sa": ("by sa", "nc sa", "sharealike"), "cc-by": ()},
+)
+CLASSES = (NONE, *sorted(TEMPLATES), UNKNOWN)
 
 
 def words_of(text: Column) -> Column:
@@ -107,17 +165,17 @@ class Model:
 def _training(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     rows = []
-    for family, texts in TEMPLATES.items():
+    for family, texts in [*TEMPLATES.items(), (UNKNOWN, OTHERS)]:
         for text in texts:
             rows += [(family, text)] * 4
             parts = [p for p in text.replace(";", ".").replace(":", ".").split(". ") if len(p.split()) >= 5]
             rows += [(family, p) for p in parts]
     templates = spark.createDataFrame(rows, "family string, text string")
-    pairs = spark.createDataFrame([(t,) for ts in TEMPLATES.values() for t in ts], "text string").select(
+    pairs = spark.createDataFrame([(t,) for ts in (*TEMPLATES.values(), OTHERS) for t in ts], "text string").select(
         F.explode(grams_of(words_of(F.col("text")))).alias("gram")).where(F.col("gram").contains(" ")).distinct()
     lines = clash_free(docs, "text").select(F.explode(F.split("text", "\n")).alias("text")).where(
         F.length(F.trim("text")) > 0)
-    sample = stored(hashed_sample(lines, 4 * MAX_LINES, "text").distinct(), "license-lines")
+    sample = stored(hashed_values(lines, 4 * MAX_LINES), "license-lines")
     shared = sample.select("text", F.explode(grams_of(words_of(F.col("text")))).alias("gram")).join(
         F.broadcast(pairs), "gram").groupBy("text").agg(F.count("*").alias("n")).where("n >= 2").select("text")
     ordinary = stored(sample.join(shared, "text", "left_anti").orderBy(F.xxhash64("text"), "text").limit(MAX_LINES), "license-ordinary")
@@ -186,46 +244,97 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     table = F.create_map(*[x for g, w in model.weights.items() for x in (F.lit(g), F.array(*[F.lit(float(v)) for v in w]))])
     bias = F.array(*[F.lit(float(b)) for b in model.bias])
     names = F.array(*[F.lit(c) for c in CLASSES])
+    alien = F.array(*[F.array(*[F.lit(g) for g in _alien(c)]).cast("array<string>") for c in CLASSES])
 
-    def logits(hits: Column) -> Column:
-        return F.transform(bias, lambda b, c: (b + F.aggregate(
-            hits, F.lit(0.0), lambda a, g: a + F.get(F.element_at(table, g), c))) / model.temperature)
+    def logits(grams: Column) -> Column:
+        return let(F.array_intersect(grams, vocabulary), lambda hits: F.transform(bias, lambda b, c: (b + F.aggregate(
+            hits, F.lit(0.0), lambda a, g: a + F.get(F.element_at(table, g), c))) / model.temperature))
 
-    def share(grams: Column, family: str) -> Column:
-        from_templates = []
-        for text in TEMPLATES[family]:
-            own = _python_grams(text)
-            from_templates.append(F.size(F.array_intersect(grams, F.array(*[F.lit(g) for g in own]))) / F.lit(len(own)))
-        return F.greatest(*from_templates) if len(from_templates) > 1 else from_templates[0]
+    def possible(z: Column, grams: Column) -> Column:
+        """The logits, null of a family whose sibling's tell the text holds."""
+        return F.transform(z, lambda v, c: F.when(~F.arrays_overlap(F.get(alien, c), grams), v))
 
-    def scored(x: Column) -> Column:
-        return let(grams_of(words_of(x["line"])), lambda grams: F.struct(
-            x["paragraph"].alias("paragraph"), grams.alias("grams"),
-            let(F.array_intersect(grams, vocabulary), logits).alias("z")))
+    def share(grams: Column, family: str, wrapped: bool) -> Column | None:
+        """The greatest share of a template's n-grams; None if no template of the family counts."""
+        templates = [_python_grams(t) for t in TEMPLATES[family] if not wrapped or len(t.split()) >= WRAPPED_WORDS]
+        owned = [[g for g in t if not wrapped or " " in g] for t in templates]
+        shares = [F.size(F.array_intersect(grams, F.array(*[F.lit(g) for g in own]))) / F.lit(len(own)) for own in owned]
+        return (F.greatest(*shares) if len(shares) > 1 else shares[0]) if shares else None
 
     def against_none(z: Column) -> Column:
-        """The families' probability mass over that of none."""
-        return F.aggregate(F.slice(z, 2, len(CLASSES) - 1), F.lit(0.0), lambda a, v: a + F.exp(v - F.get(z, F.lit(0))))
-
-    lines = F.when(F.arrays_overlap(words_of(F.col("text")), cues), F.filter(
-        F.transform(F.split("text", "\n"), lambda p, i: F.struct(i.alias("paragraph"), p.alias("line"))),
-        lambda x: F.arrays_overlap(words_of(x["line"]), cues)))
-    licences = F.filter(F.transform(lines, scored), lambda y: against_none(y["z"]) > 1)
-    out = clash_free(docs, "doc_id", "text").select("doc_id", F.explode_outer(licences).alias("y")).select("doc_id", "y.*")
-    mass = against_none(F.col("z"))
-    families = F.slice("z", 2, len(CLASSES) - 1)
-    top = F.array_max(families)
-    out = out.withColumn("probability", F.exp(top - F.get("z", F.lit(0))) / (1 + mass)).withColumn(
-        "guess", F.get(names, F.array_position(families, top).cast("int")))
-    chosen = F.lit(None).cast("double")
-    for family in TEMPLATES:
-        chosen = F.when(F.col("guess") == family, share(F.col("grams"), family)).otherwise(chosen)
-    out = out.withColumn("template_share", chosen)
-    confirmed = F.coalesce((F.col("probability") >= CONFIDENT) & (F.col("template_share") >= TEMPLATE_SHARE), F.lit(False))
+        """The other classes' probability mass over that of none."""
+        return F.aggregate(F.slice(z, 2, len(CLASSES) - 1), F.lit(0.0), lambda a, v: a + F.coalesce(
+            F.exp(v - F.get(z, F.lit(0))), F.lit(0.0)))
+
+    def scored(x: Column) -> Column:
+        return let(grams_of(words_of(x["text"])), lambda grams: F.struct(
+            x["paragraph"].alias("paragraph"), x["first"].alias("first"), x["last"].alias("last"), grams.alias("grams"),
+            logits(grams).alias("z")))
+
+    def judged(y: Column, wrapped: bool) -> Column:
+        """A scored unit as a finding."""
+        def finding(guess: Column, probability: Column) -> Column:
+            chosen = F.lit(None).cast("double")
+            for family in TEMPLATES:
+                part = share(y["grams"], family, wrapped)
+                chosen = chosen if part is None else F.when(guess == family, part).otherwise(chosen)
+            return let(chosen, lambda part: F.struct(
+                y["paragraph"].alias("paragraph"), y["first"].alias("first"), y["last"].alias("last"), guess.alias("guess"),
+                probability.alias("probability"), part.alias("template_share"), F.coalesce(
+                    (probability >= CONFIDENT) & (part >= TEMPLATE_SHARE), F.lit(False)).alias("confirmed")))
+
+        def choice(z: Column) -> Column:
+            others = F.slice(z, 2, len(CLASSES) - 1)
+            return let(F.array_max(others), lambda top: let(  # nulls are skipped
+                F.get(names, F.array_position(others, top).cast("int")), lambda guess: let(
+                    F.exp(top - F.get(z, F.lit(0))) / (1 + against_none(z)), lambda probability: finding(guess, probability))))
+
+        return let(possible(y["z"], y["grams"]), choice)
+
+    def found(units: Column, wrapped: bool) -> Column:
+        licences = F.filter(F.transform(units, scored), lambda y: against_none(y["z"]) > 1)
+        return F.transform(licences, lambda y: judged(y, wrapped))
+
+    def cued(text: Column) -> Column:
+        return F.arrays_overlap(words_of(text), cues)
+
+    # Blocks hold the line feeds between their lines, so a running sum of these numbers the lines.
+    none = F.array().cast("array<struct<paragraph:int,first:int,last:int,text:string>>")
+
+    def with_block(known: Column, block: Column) -> Column:
+        return let(F.split(block, "\n"), lambda own: let(known["line"] + F.size(own) - 1, lambda last: F.struct(
+            last.alias("line"),
+            F.when(cued(block) & (F.size(F.filter(own, lambda p: F.trim(p) != "")) > 1), F.concat(known["blocks"], F.array(F.struct(
+                (known["line"] + F.array_position(F.transform(own, cued), True).cast("int") - 1).alias("paragraph"),
+                known["line"].alias("first"), last.alias("last"), block.alias("text"))))).otherwise(known["blocks"]).alias("blocks"))))
+
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda p, i: F.struct(
+        i.alias("paragraph"), i.alias("first"), i.alias("last"), p.alias("text"))), lambda x: cued(x["text"]))
+    blocks = F.aggregate(F.split("text", r"(?<=\n)[ \t\r]*(?=\n)"), F.struct(F.lit(0).alias("line"), none.alias("blocks")), with_block)["blocks"]
+
+    def covers(block: Column, line: Column) -> Column:
+        return (block["first"] <= line["paragraph"]) & (line["paragraph"] <= block["last"])
+
+    def together(by_line: Column) -> Column:
+        """Findings of lines, or of the blocks of several lines that are confirmed though none of their lines is."""
+        alone = F.filter(by_line, lambda x: x["confirmed"])
+        whole = F.filter(found(blocks, True), lambda b: b["confirmed"] & ~F.exists(alone, lambda x: covers(b, x)))
+        return let(whole, lambda wrapped: F.concat(wrapped, F.filter(
+            by_line, lambda x: ~F.exists(wrapped, lambda b: covers(b, x)))))
+
+    findings = F.when(cued(F.col("text")), let(found(lines, False), together))
+    out = clash_free(docs, "doc_id", "text").select("doc_id", F.explode_outer(findings).alias("y")).select("doc_id", "y.*")
+    confirmed = F.coalesce("confirmed", F.lit(False))
     family = F.when(F.col("paragraph").isNull(), F.lit(NONE)).when(confirmed, F.col("guess")).otherwise(F.lit(UNKNOWN))
     return out.select("doc_id", "paragraph", family.alias("family"), "probability", "template_share", confirmed.alias("confirmed"))
 
 
+def _alien(name: str) -> list[str]:
+    """The tells of a family's siblings that no template of the family holds."""
+    own = {g for t in TEMPLATES.get(name, ()) for g in _python_grams(t)}
+    return [g for group in TELLS if name in group for other, tells in group.items() if other != name for g in tells if g not in own]
+
+
 def _python_grams(text: str) -> list[str]:
     """The n-grams of a template, as ``grams_of`` gives them."""
     words = [w for w in re.split(r"[\W_]+", text.lower()) if w]
