@@ -644,7 +644,9 @@ def epoch_counters(spark, sf_dir):
     changes = rounds(spark, sf_dir)
     imaged = cl.to_envelopes(cl.with_before_images(changes, SPEC), SPEC, keep=(*fx.ARRIVAL, "round"))
     st = ranged_state(spark, changes)
-    stats = scratch_path(spark, "stats")
+    stats, src = scratch_path(spark, "stats"), scratch_path(spark, "rounds")
+    imaged.write.partitionBy("round").parquet(src)  # rendered once, read by round
+    imaged = spark.read.schema(imaged.schema).parquet(src)
     write = sm.epoch_writer(st, SPEC, "seq", fx.ARRIVAL, "slot", "strict", stats_root=stats, compact_after=2)
     for r in range(ROUNDS):
         write(imaged.where(F.col("round") == r).drop("round"), r)
