@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
+from tidemark.streaming import fs
+
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def importable(spark: SparkSession) -> None:
@@ -33,9 +38,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    written = _written.get()
+    if written is not None:
+        written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Lists the paths that ``stored`` writes inside, oldest first, and deletes on leaving those that are still
+    listed. For a step whose result is written by then and taken off the list; nothing lazy may still read the others."""
+    paths: list[str] = []
+    token = _written.set(paths)
+    try:
+        yield paths
+    finally:
+        _written.reset(token)
+        for path in paths:
+            fs.remove(spark, path)
+
+
 def clash_free(df: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, so that extra columns of any name cannot clash with an operator's own."""
     importable(df.sparkSession)
