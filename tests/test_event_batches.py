@@ -10,6 +10,7 @@ from tidemark import __main__ as cli
 from tidemark import jobs
 from tidemark.operators import decode as dc
 from tidemark.operators import reconcile as rc
+from tidemark.plans import catalog
 from tidemark.session import scratch_path
 from tidemark.streaming import fs, keyed
 from tidemark.streaming import stream as sm
@@ -88,6 +89,32 @@ def test_keyed_state_survives_a_restart(spark, spec):
     assert any("RocksDB" in r["value"] for r in providers)
 
 
+def write_orders(spark, path, n):
+    spark.range(n).select(F.col("id").alias("o_orderkey"), (F.col("id") % 9).alias("o_custkey"),
+                          (F.col("id") + 0.25).alias("o_totalprice")).write.parquet(f"{path}/orders.parquet")
+
+
+def test_keyed_stream_renders_images_before_it_splits_the_log(spark):
+    """Deletes of the second half whose last image lies in the first, across the middle of the log."""
+    sf = scratch_path(spark, "test-halves")
+    write_orders(spark, sf, 2000)
+    want = catalog.fold_lsn_state(spark, sf)
+    got = catalog.stream_state_store(spark, sf).select(want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_change_files_are_compressed_and_the_store_keeps_few_versions(spark, spec):
+    src, root, ckpt = (scratch_path(spark, x) for x in ("test-lines", "test-kept-out", "test-kept-ckpt"))
+    lines = [envelope("c", i + 1, key=i) for i in range(500)]
+    catalog.write_lines(spark.createDataFrame([(x,) for x in lines], "value string"), src)
+    assert spark.read.format("binaryFile").load(src).agg(F.sum("length")).first()[0] < len("".join(lines)) / 4
+    keyed.start(sm.text_source(spark, src), spec, root, ckpt).awaitTermination()
+    assert keyed.read_state(spark, root, spec).count() == 500
+    (conf,) = [r["value"] for r in spark.read.text(f"{ckpt}/offsets/0").collect() if "RocksDB" in r["value"]]
+    assert keyed.STORE[keyed.PROVIDER] in conf
+    assert fs.matches(spark, f"{ckpt}/state/0/*/*.changelog")
+
+
 # -- strict lines ------------------------------------------------------------------------------------
 
 def test_no_line_brings_its_own_sentinel(spark, spec):

@@ -418,11 +418,21 @@ def stream_into(spark, src_dir: str, st: StateTable, checkpoint: str) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+# Fixed value: lines of a change file at most. The files are compressed, so each is read by one task.
+LINES_PER_FILE = 50_000
+
+
+def write_lines(lines, path: str) -> None:
+    """Add ``value`` lines to the change files in ``path``."""
+    lines.select("value").write.mode("append").option("compression", "gzip").option(
+        "maxRecordsPerFile", LINES_PER_FILE).text(path)
+
+
 def write_change_files(spark, sf_dir) -> str:
-    """The envelopes as text files, one for each of their natural partitions: the merge does not
+    """The envelopes as text files, in their natural partitions: the merge does not
     depend on the order of delivery, so they need not be sorted into files."""
     src_dir = scratch_path(spark, "changes")
-    envelopes(spark, sf_dir).select("value").write.mode("overwrite").text(src_dir)
+    write_lines(envelopes(spark, sf_dir), src_dir)
     return src_dir
 
 
@@ -628,11 +638,13 @@ def snapshot_history(spark, sf_dir):
 def stream_state_store(spark, sf_dir):
     """The log through a streaming aggregation that keeps each key's state in Spark's state store: half of
     the change files, then, restarted on its checkpoint, the other half. The latest output of a key counts,
-    so late changes of the second half must lose against state of the first."""
-    early, late = halves(fx.with_batch(log(spark, sf_dir)))
-    src, root, ckpt = (scratch_path(spark, label) for label in ("changes", "keyed", "ckpt"))
-    for part in (early, late):
-        envelopes(spark, sf_dir, part).select("value").write.mode("append").text(src)
+    so late changes of the second half must lose against state of the first. The envelopes are rendered
+    before the log is split, as the prior image of a change may lie in the other half."""
+    src, root, ckpt, rendered = (scratch_path(spark, label) for label in ("changes", "keyed", "ckpt", "rendered"))
+    imaged = cl.with_before_images(fx.with_batch(log(spark, sf_dir)), SPEC)
+    cl.to_envelopes(imaged, SPEC, keep=("batch",)).write.option("compression", "zstd").parquet(rendered)
+    for part in halves(spark.read.schema("batch BIGINT, value STRING").parquet(rendered)):
+        write_lines(part, src)
         run = keyed.start(sm.text_source(spark, src, max_bytes_per_trigger=BYTES_PER_TRIGGER), SPEC, root, ckpt, "strict")
         run.awaitTermination()
     return keyed.read_state(spark, root, SPEC)
