@@ -7,7 +7,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import DELETE_OP, decimal_text
@@ -23,18 +23,16 @@ def with_before_images(log: DataFrame, spec: TableSpec, chunk_span: int = LSN_CH
     Redelivered copies (equal LSN) do not see each other, so they carry the same image.
 
     The previous image is that of the latest lower-LSN change of the key; it is null for a first insert and
-    after a delete. Its LSN is found first, as a number, by a skew-safe running max; one join on (key, LSN)
-    then fetches the image, so no image takes part in a window or a maximum.
+    after a delete. It comes with its LSN through a skew-safe running max, so the rows are shuffled once;
+    besides, only the last image of each (key, chunk) is.
     """
-    # One level of chunk maxima: numbers only, a row for a million LSNs of a key.
-    marked = prior_max(log, [spec.key], [LSN], F.col(LSN), "_prev_lsn", chunk_of(LSN, chunk_span), strictly_lower=True, levels=1)
-    images = log.where(F.col("op") != DELETE_OP).select(
-        F.col(spec.key).alias("_k"), F.col(LSN).alias("_l"), *[F.col(n).alias(BEFORE + n) for n in spec.column_names])
-    # One of the redelivered copies; a ranking, as an aggregate of whole images would be sort-based and slower.
-    copy = F.row_number().over(Window.partitionBy("_k", "_l").orderBy("_k"))
-    images = images.withColumn("_copy", copy).where("_copy = 1").drop("_copy")
-    found = (F.col(spec.key) == F.col("_k")) & (F.col("_prev_lsn") == F.col("_l"))
-    return marked.join(images, found, "left").drop("_prev_lsn", "_k", "_l")
+    is_live = F.coalesce(F.col("op") != DELETE_OP, F.lit(False))
+    image = F.when(is_live, F.struct(*[F.col(n) for n in spec.column_names]))
+    # LSNs differ but for redelivered copies; of those, one with an image counts.
+    last = F.struct(F.col(LSN).alias("lsn"), is_live.alias("live"), image.alias("image"))
+    # One level of chunk maxima: a row for a million LSNs of a key.
+    marked = prior_max(log, [spec.key], [LSN], last, "_prev", chunk_of(LSN, chunk_span), strictly_lower=True, levels=1)
+    return marked.select(*log.columns, *[F.col(f"_prev.image.{n}").alias(BEFORE + n) for n in spec.column_names])
 
 
 def _image_json(spec: TableSpec, prefix: str = "") -> F.Column:

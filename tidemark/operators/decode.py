@@ -43,11 +43,12 @@ ON_ERROR = ("strict", "quarantine")
 def _with_object(df: DataFrame, text: F.Column, spec: TableSpec, name: str) -> DataFrame:
     """Add the envelope that ``text`` consists of; null unless it is one JSON object and nothing else."""
     schema = T.ArrayType(spec.envelope_parse_schema(_END))
-    parsed = F.from_json(F.concat(F.lit("["), text, F.lit(f',{{"{_END}":"'), F.sha2(text, 256), F.lit('"}]')), schema)
+    df = _evaluate_once(df, F.sha2(text, 256), "_d")
+    parsed = F.from_json(F.concat(F.lit("["), text, F.lit(f',{{"{_END}":"'), F.col("_d"), F.lit('"}]')), schema)
     df = _evaluate_once(df, parsed, "_a")
     first, last = F.get("_a", F.lit(0)), F.get("_a", F.lit(1))
-    alone = (F.size("_a") == 2) & (last.getField(_END) == F.sha2(text, 256))
-    return df.withColumn(name, F.when(alone, first)).drop("_a")
+    alone = (F.size("_a") == 2) & (last.getField(_END) == F.col("_d"))
+    return df.withColumn(name, F.when(alone, first)).drop("_a", "_d")
 
 
 def decode(lines: DataFrame, spec: TableSpec, value: str = "value",

@@ -20,6 +20,8 @@ more than ``FAN`` chunks below the top; with the widths below, a key's top windo
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, Window
@@ -91,11 +93,14 @@ def prior_max(df: DataFrame, by: Sequence[str], order: Sequence[str], value: Spa
     base = df.withColumn("_chunk", chunk).withColumn("_val", value)
     wide = base if maxima_of is None else maxima_of.withColumn("_chunk", chunk).withColumn("_val", value)
     chunk_max = wide.groupBy(*by, "_chunk").agg(F.max("_val").alias("_cmax"))
-    before_chunk = _before_chunks(chunk_max, by, levels, fan)
+    # Most groups lie in one chunk and have none before it; only the others take part in the join.
+    before_chunk = _before_chunks(chunk_max, by, levels, fan).where("_before_chunk is not null")
     within = Window.partitionBy(*by, "_chunk").orderBy(*order)
     within = (within.rangeBetween(Window.unboundedPreceding, -1) if strictly_lower
               else within.rowsBetween(Window.unboundedPreceding, -1))
-    rows = base.withColumn("_before_in", F.max("_val").over(within))
-    return (rows.join(before_chunk, [*by, "_chunk"], "inner")
+    # A row without group or place has no earlier rows and no place among them: it is left out.
+    placed = reduce(and_, [F.col(c).isNotNull() for c in [*by, "_chunk"]])
+    rows = base.where(placed).withColumn("_before_in", F.max("_val").over(within))
+    return (rows.join(before_chunk, [*by, "_chunk"], "left")
             .withColumn(out, F.greatest(F.col("_before_chunk"), F.col("_before_in")))
             .drop("_chunk", "_val", "_before_chunk", "_before_in"))

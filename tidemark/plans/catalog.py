@@ -164,11 +164,16 @@ def decode_wrapped(spark, sf_dir):
     return dc.accepted(decoded, "strict").select(*DECODED)
 
 
+# Fixed value: lines of a change file at most. The files are compressed, so each is read by one task.
+LINES_PER_FILE = 50_000
+
+
 @query("json_round_trip")
 def json_round_trip(spark, sf_dir):
     """Envelopes written as JSON lines to the shared folder, read back and decoded."""
     path = scratch_path(spark, "jsonl")
-    envelopes(spark, sf_dir).write.mode("overwrite").json(path)
+    envelopes(spark, sf_dir).write.mode("overwrite").option("compression", "gzip").option(
+        "maxRecordsPerFile", LINES_PER_FILE).json(path)
     lines = spark.read.json(path, schema="slot BIGINT, pos BIGINT, dup INT, value STRING")
     decoded = dc.decode(lines, SPEC, keep=fx.ARRIVAL)
     return dc.accepted(decoded, "strict").select(*DECODED)
@@ -418,10 +423,6 @@ def stream_into(spark, src_dir: str, st: StateTable, checkpoint: str) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-# Fixed value: lines of a change file at most. The files are compressed, so each is read by one task.
-LINES_PER_FILE = 50_000
-
-
 def write_lines(lines, path: str) -> None:
     """Add ``value`` lines to the change files in ``path``."""
     lines.select("value").write.mode("append").option("compression", "gzip").option(
