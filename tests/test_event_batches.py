@@ -47,6 +47,24 @@ def test_places_of_lines(spark):
     assert {int(r["value"]): r["_cut"] for r in cut.collect()} == {i: i // 64 for i in range(1000)}
 
 
+def test_cut_shuffles_no_line(spark):
+    src = scratch_path(spark, "test-cut-plan")
+    spark.range(1000).repartition(5).select(F.col("id").cast("string").alias("value")).write.text(src)
+    cut = sm.cut(sm.delivered(spark.read.text(src)), 64, ("_file", "_block", "_row"))
+    assert sorted(r["_place"] for r in cut.collect()) == list(range(1000))
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_round_trip_files_are_compressed(spark, monkeypatch):
+    sf, path = scratch_path(spark, "test-trip"), scratch_path(spark, "test-trip-files")
+    write_orders(spark, sf, 500)
+    monkeypatch.setattr(catalog, "scratch_path", lambda *_: path)
+    assert catalog.json_round_trip(spark, sf).count() == catalog.log(spark, sf).count()
+    written = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    assert written < spark.read.text(path).agg(F.sum(F.length("value"))).first()[0] / 4
+
+
 def lines_of(spark, rows):
     return spark.createDataFrame(rows, "seq long, value string")
 

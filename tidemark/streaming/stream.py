@@ -119,19 +119,20 @@ def epoch_path(root: str, run: str, epoch_id: int) -> str:
 
 def cut(lines: DataFrame, events: int, order: Sequence[str], split: Sequence[str] = FILE_ARRIVAL[:-1],
         row: str = FILE_POSITION) -> DataFrame:
-    """Lines that carry an event (neither null nor blank), with the number ``_cut`` of their batch of
-    ``events`` lines in delivery order; the last batch is what is left.
+    """Lines that carry an event (neither null nor blank), with their place ``_place`` (from 0) in delivery
+    order and the number ``_cut`` of their batch of ``events`` lines; the last batch is what is left.
 
     An index of the splits, one row each, says how many lines come before a split; a line's place is that
-    and its place in the split. Only the index is sorted as a whole, never the lines. Index and lines come
+    and its place in the split. Only the index is sorted as a whole, never the lines; it goes to every task, so
+    the lines are not shuffled either. Index and lines come
     from one listing of files, which Spark packs into the same tasks, so the rows are numbered alike in both.
     """
     text = lines.where(F.col("value").isNotNull() & (F.trim("value") != ""))
     index = text.groupBy(*split).agg(F.min(row).alias("_first"), F.count(F.lit(1)).alias("_lines"))
     earlier = Window.orderBy(*[c for c in order if c in split]).rowsBetween(Window.unboundedPreceding, -1)
     index = index.withColumn("_before", F.coalesce(F.sum("_lines").over(earlier), F.lit(0))).drop("_lines")
-    place = F.col("_before") + F.col(row) - F.col("_first")
-    return text.join(index, list(split)).withColumn("_cut", F.floor(place / F.lit(events)).cast("bigint")).drop("_first", "_before")
+    placed_text = text.join(F.broadcast(index), list(split)).withColumn("_place", F.col("_before") + F.col(row) - F.col("_first"))
+    return placed_text.withColumn("_cut", F.floor(F.col("_place") / F.lit(events)).cast("bigint")).drop("_first", "_before")
 
 
 def epoch_writer(state: StateTable, spec: TableSpec, run: str, arrival: Sequence[str] = FILE_ARRIVAL,
