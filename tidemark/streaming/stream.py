@@ -163,7 +163,7 @@ def epoch_writer(state: StateTable, spec: TableSpec, run: str, arrival: Sequence
             lines, keep = cut(lines, events_per_epoch, order), (*order, "_cut")
         decoded = dc.decode(lines, spec, keep=keep)
         if rejects_root or stats_root:  # the batch is read by the probe and the marks besides the write
-            decoded = decoded.persist()
+            decoded = (decoded if rejects_root else decoded.drop("value")).persist()  # only rejects need the text
         try:
             name = (f"{run}-{int(epoch_id)}", BULK) if events_per_epoch else (run, int(epoch_id))
             stats = stats_root and epoch_path(stats_root, run, epoch_id)
