@@ -133,6 +133,36 @@ def test_change_files_are_compressed_and_the_store_keeps_few_versions(spark, spe
     assert fs.matches(spark, f"{ckpt}/state/0/*/*.changelog")
 
 
+def test_a_write_lists_no_other_commits(spark, spec, monkeypatch):
+    """What one commit asks of the file system does not grow with the commits before it."""
+    st = StateTable(spark, scratch_path(spark, "test-many"), spec)
+    events = dc.accepted(dc.decode(lines_of(spark, [(0, envelope("c", 1))]), spec))
+    st.write_epoch(events, 0, "run")
+    st.write_epoch(events, 1, "run")
+    listed = []
+    for name in ("children", "committed_children", "named"):
+        def counted(*args, real=getattr(fs, name, lambda *_: [])):
+            listed.extend(found := real(*args))
+            return found
+        monkeypatch.setattr(fs, name, counted, raising=False)
+    assert [st.number("run", e) for e in (0, 1, 2)] == [1, 2, None]
+    assert st.number("other", 1) is None
+    assert st.write_epoch(events, 2, "run") and not st.write_epoch(events, 1, "run")
+    assert len(listed) <= 3  # the epochs asked for, found
+    assert [c.number for c in st.commits()] == [1, 2, 3]
+
+
+def test_counting_caches_no_text(spark, spec, monkeypatch):
+    cached = []
+    frame = type(spark.range(1))
+    real = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, *a: cached.append(self.columns) or real(self, *a))
+    st = StateTable(spark, scratch_path(spark, "test-slim"), spec)
+    write = sm.epoch_writer(st, spec, "run", ("seq",), "seq", "quarantine", stats_root=scratch_path(spark, "test-slim-stats"))
+    write(lines_of(spark, [(0, envelope("c", 1, key=1)), (1, "{")]), 0)
+    assert cached and all("value" not in columns for columns in cached)
+
+
 # -- strict lines ------------------------------------------------------------------------------------
 
 def test_no_line_brings_its_own_sentinel(spark, spec):

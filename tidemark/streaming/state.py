@@ -91,20 +91,24 @@ class StateTable:
     def _last(self, every: list[Commit]) -> int:
         return max([c.number for c in every] + self.bases(), default=NEVER_COMMITTED)
 
+    def _next(self) -> int:
+        """The number of the next write: above all commits, those that never committed included."""
+        name = fs.last_named(self.spark, f"{self.root}/epochs", "c[0-9]*.*.*")  # names sort by number
+        return self._last(self._parse([name] if name else [])) + 1
+
     def _place(self, run: str, epoch: str) -> tuple[str, bool]:
         """Where an epoch goes, and whether its run has committed it. A write that never committed is
-        written again in its place."""
+        written again in its place. Asks for names that fit and no list of all commits, whose number grows."""
         if not re.fullmatch(r"[\w-]+", run):
             raise ValueError(f"run id {run!r}: letters, digits, _ and - only")
-        every = self._parse(fs.children(self.spark, f"{self.root}/epochs"))
-        for c in every:
-            if (c.run, c.epoch) == (run, epoch):
-                return c.path, fs.committed(self.spark, c.path)
+        fitting = f"c[0-9]*.{run}.{epoch}"
+        for c in self._parse(fs.named(self.spark, f"{self.root}/epochs", fitting)):
+            return c.path, fs.committed(self.spark, c.path)
         # A retired epoch is known from the log alone.
-        for name in fs.committed_children(self.spark, f"{self.root}/log"):
-            if name.endswith(f".{run}.{epoch}"):
+        for name in fs.named(self.spark, f"{self.root}/log", fitting):
+            if fs.committed(self.spark, f"{self.root}/log/{name}"):
                 return f"{self.root}/epochs/{name}", True
-        return f"{self.root}/epochs/c{self._last(every) + 1:012d}.{run}.{epoch}", False
+        return f"{self.root}/epochs/c{self._next():012d}.{run}.{epoch}", False
 
     def number(self, run: str, epoch: int | str) -> int | None:
         """The commit number of an epoch (or ``BULK``), retired ones included; None if it is not committed."""
@@ -153,7 +157,7 @@ class StateTable:
 
     def replace(self, state: DataFrame) -> str:
         """Make ``state`` (key, value columns, LSN, delete flag) the whole table, over all commits so far."""
-        n = self._last(self._parse(fs.children(self.spark, f"{self.root}/epochs"))) + 1
+        n = self._next()
         rows = state.select(*self._columns, F.lit(0).alias(RANGE))
         return self._write_base(n, rows, state.count(), [])
 
